@@ -1,0 +1,47 @@
+"""Joining a per-group summary back to the rows it summarises.
+
+Summaries (bucket counts, cut-offs, totals) are small in nearly every corpus,
+but their size follows the number of groups.  So it is measured: up to
+``MAX_SUMMARY_ROWS`` rows are fetched once and broadcast; beyond that the summary
+stays a distributed table and the join is an ordinary shuffle join.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_SUMMARY_ROWS = 100_000
+
+
+def bounded_copy(summary: DataFrame, max_rows: int = MAX_SUMMARY_ROWS) -> DataFrame | None:
+    """The summary as a local table, or None where it has more than ``max_rows`` rows.
+
+    At most ``max_rows + 1`` rows reach the driver.
+    """
+    rows = summary.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
+        return None
+    return summary.sparkSession.createDataFrame(rows, schema=summary.schema)
+
+
+def settled(summary: DataFrame, max_rows: int = MAX_SUMMARY_ROWS) -> tuple[DataFrame, bool]:
+    """``(table, is_small)``: computed once when small, left lazy otherwise."""
+    local = bounded_copy(summary, max_rows)
+    return (summary, False) if local is None else (local, True)
+
+
+def attach(
+    df: DataFrame, summary: DataFrame, on: Sequence[str], small: bool, how: str = "left"
+) -> DataFrame:
+    """Join on null-safe equality of ``on``; the key columns of ``df`` stay."""
+    renamed = summary.select(
+        *[F.col(c).alias(f"__{c}") if c in on else F.col(c) for c in summary.columns]
+    )
+    condition = F.lit(True)
+    for column in on:
+        condition = condition & F.col(column).eqNullSafe(F.col(f"__{column}"))
+    right = F.broadcast(renamed) if small else renamed
+    return df.join(right, condition, how).drop(*[f"__{c}" for c in on])
