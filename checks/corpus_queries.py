@@ -6,7 +6,7 @@ from millrace.operators import shape as S
 from millrace.plans import quiz as Z
 from millrace.plans import retrieval as R
 
-from .base import SPACE, SPACE_SET, key, query, shuffled_sql, spaced, strip, sub, table, tokens, view
+from .base import SPACE, SPACE_SET, canonical, key, query, shuffled_sql, spaced, strip, sub, table, tokens, view
 from .choice_queries import FOUR, QUIZ_COMPLETION, QUIZ_PROMPT, STRIPPED, flat, labelled
 from .rule_queries import CITES, FIGURE, LOOSE, REFUSED, UNNAMED
 from .text_queries import MENTION
@@ -158,14 +158,16 @@ PREFIXED = sub("rationale", f"(?i)^(solution|sol[.]?|explanation|expl){SPACE}*:?
 
 
 @query(f"""
-    WITH raw AS (SELECT q.* FROM quiz q WHERE {strip('q.rationale')} <> '' AND q.subject_name <> 'PROMO'
-                 AND q.question NOT IN (SELECT question FROM mcq4 WHERE subject_name = 'PROMO')),
+    WITH raw AS (SELECT q.row_id, q.split, q.answer, q.choices, q.rationale, d.text AS question
+                 FROM quiz q JOIN documents d ON d.doc_id = q.row_id
+                 WHERE {strip('q.rationale')} <> '' AND {strip('d.text')} <> '' AND {canonical('d.text')} NOT IN
+                       (SELECT {canonical('text')} FROM documents WHERE doc_id IN (SELECT doc_id FROM labels))),
     a AS (SELECT row_id, split, question, answer, {STRIPPED} AS choices, {APPENDED} AS rationale FROM raw),
     b AS (SELECT * REPLACE ({NO_STATEMENT} AS rationale) FROM a
-          WHERE row_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)),
+          WHERE row_id NOT IN (SELECT p_partkey FROM part WHERE p_size > 45)),
     c AS (SELECT * REPLACE ({NO_ANS} AS rationale) FROM b),
     d AS (SELECT * REPLACE (translate({PREFIXED}, '–—', '--') AS rationale) FROM c
-          WHERE NOT regexp_matches(rationale, 'https?://[^{SPACE_SET}]+')),
+          WHERE NOT regexp_matches(rationale, 'https?://[^{SPACE_SET}]+') AND NOT regexp_matches(question, 'https?://[^{SPACE_SET}]+')),
     e AS (SELECT * FROM d WHERE NOT (regexp_matches(rationale, '{REFUSED}') OR regexp_matches(rationale, '{UNNAMED}'))
           AND (length(rationale) >= 27 OR (length({strip('rationale')}) >= 8 AND NOT contains(lower(rationale), 'option') AND NOT contains(lower(rationale), 'correct')))),
     f AS (SELECT row_id, split, rationale, choices[ord(answer) - 64] AS right_choice, {FOUR} AS choices FROM e),
@@ -175,14 +177,14 @@ PREFIXED = sub("rationale", f"(?i)^(solution|sol[.]?|explanation|expl){SPACE}*:?
     FROM f LEFT JOIN t USING (row_id)
 """, "quiz")
 def aqua_corpus(spark, sf):
-    quiz = view(spark, sf, "quiz")
-    promo = F.col("subject_name") == "PROMO"
-    raw = quiz.where(~promo).select(
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    texts = docs.select(F.col("doc_id").alias("row_id"), F.col("text").alias("question"))
+    raw = view(spark, sf, "quiz").drop("question").join(texts, "row_id").select(
         "row_id", "split", "question", F.col("choices").alias("options"), "rationale", F.col("answer").alias("correct")
     )
-    known = quiz.where(promo).select(F.col("question").alias("Problem"))
-    verdicts = table(spark, sf, "labels").select(
-        F.col("doc_id").alias("question_id"), F.when(F.col("toxic") == 1, "MISMATCH").otherwise("MATCH").alias("verdict")
+    known = docs.join(labels.select("doc_id"), "doc_id", "left_semi").select(F.col("text").alias("Problem"))
+    verdicts = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("question_id"), F.when(F.col("p_size") > 45, "MISMATCH").otherwise("MATCH").alias("verdict")
     )
     return Z.aqua_corpus(raw, known, verdicts).select("row_id", flat(), "answer", "rationale", "split")
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from millrace.functions.keys import content_hash
 from millrace.functions.rules import has_loose_url, has_text
 from millrace.functions.text import normalize_spaces, soften_quotes, strip_solution_prefix
+from millrace.operators.columns import computed_once
 from millrace.session import work_path
 from millrace.sources import readers as R
 from millrace.sources import writers as W
@@ -66,7 +67,7 @@ def stream_clean_drain(spark, sf):
     sink = work_path(spark, "clean")
 
     def chain(docs):
-        cleaned = docs.select("doc_id", normalize_spaces(strip_solution_prefix("text")).alias("text"))
+        cleaned = computed_once(docs.select("doc_id", "text"), text=normalize_spaces(strip_solution_prefix("text")))
         return cleaned.where(has_text("text") & ~has_loose_url("text"))
 
     files = I.new_files(spark, sf, schema, pattern="documents.parquet")

@@ -130,7 +130,7 @@ def before_after_rows(spark, sf):
 @query("""
     SELECT doc_id, replace(replace(text, '"', ''''), chr(10), ' ') AS one_line,
            split_part(text, '. ', -1) AS tail,
-           CAST(strpos(text, 'the') AS BIGINT) AS first_the, upper(text) AS shout
+           CAST(strpos(text, 'the') AS BIGINT) AS first_the, replace(replace(upper(text), 'ß', 'SS'), 'ẞ', 'SS') AS shout
     FROM documents
 """)
 def quotes_and_pieces(spark, sf):

@@ -6,8 +6,10 @@ from millrace.functions import rules as R
 from millrace.functions import tokens as T
 from millrace.functions.prompts import quiz_completion, quiz_prompt
 from millrace.operators import order as O
+from millrace.operators.filtering import within_budget
 from millrace.operators import sequences as Q
 from millrace.plans.quantised import quantised_sequences
+from millrace.plans.retrieval import searchable_passages
 
 from .base import TOKENS, key, query, table, tokens, view
 from .choice_queries import PLAIN_PROMPT, QUIZ_COMPLETION, QUIZ_PROMPT
@@ -27,9 +29,7 @@ def text_of(value):
 
 @query(f"SELECT doc_id, CAST({tokens('text')} AS INT) AS tokens FROM documents WHERE {tokens('text')} <= 512")
 def token_budget(spark, sf):
-    docs = table(spark, sf, "documents")
-    kept = docs.where(R.within_tokens(T.count_tokens("text"), 512))
-    return kept.select("doc_id", T.count_tokens("text").alias("tokens"))
+    return within_budget(table(spark, sf, "documents").select("doc_id", "text"), "text").select("doc_id", "tokens")
 
 
 @query(f"""
@@ -130,6 +130,5 @@ def chunk_passages(spark, sf):
 
 @query(f"WITH {CHUNKS.strip()} SELECT doc_id, passage_no, passage FROM c ORDER BY doc_id, passage_no LIMIT 777")
 def bounded_passages(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", T.split_tokens("text").alias("tokens"))
-    first = Q.first_passages(Q.chunk_passages(docs, "doc_id", "tokens"), "doc_id", 777)
+    first = searchable_passages(table(spark, sf, "documents"), "doc_id", "text", most=777)
     return first.select("doc_id", "passage_no", F.array_join("passage", " ").alias("passage"))

@@ -3,9 +3,10 @@
 Everything in this file is a constant that has to keep exactly this value for a
 corpus to come out the same; the code that uses it lives elsewhere.
 
-Patterns are written for java.util.regex with explicit Unicode classes
-(``S`` whitespace, ``D`` digit, ``W`` word character) so that they mean the
-same thing on every JVM and can be restated in other regex dialects.
+Patterns are written for java.util.regex with explicit Unicode classes (``S``
+whitespace, ``D`` digit, ``W`` word character), so they mean the same on every
+JVM.  The classes test the plain range before any Unicode property, which is
+what most characters need.
 """
 
 # -- fixed values: character classes -----------------------------------------
@@ -13,13 +14,13 @@ WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004"
     "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-S_SET = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-W_SET = r"\p{L}\p{N}_"
+S_SET = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}[\x{1680}-\x{3000}&&[\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]]"
+W_SET = r"a-zA-Z0-9_[\x{80}-\x{10ffff}&&[\p{L}\p{N}]]"
 S = f"[{S_SET}]"
 W = f"[{W_SET}]"
 D = r"\p{Nd}"
-NOT_AFTER_WORD = rf"(?<!{W})"
-NOT_BEFORE_WORD = rf"(?!{W})"
+NOT_AFTER_WORD = f"(?<!{W})"
+NOT_BEFORE_WORD = f"(?!{W})"
 
 # -- fixed values: text patterns ----------------------------------------------
 NUMBER = rf"{D}+([.,]{D}+)?"
@@ -27,6 +28,7 @@ NUMBER_MARK = "<num>"
 CANONICAL_EDGE = " ?."
 LETTER_PREFIX = rf"^(?:\([A-E]\)\*?|[A-E]\))+{S}*"
 LAST_LINE_AND_EDGES = rf"\A{S}+(?=(?s:.*)\n)|{S}*\n[^\n]*\z"
+CORRECT_WORD = "correct"  # part of every match of the first statement
 ANSWER_STATEMENTS = (  # the answer letter follows each of these
     rf"[\-=~>]*{S}*the{S}+correct{S}+answer{S}+is{S}+",
     rf"(answer|correct answer){S}*:{S}*",
@@ -41,22 +43,25 @@ LEADING_ANSWER = (
     rf"[\)\]\']?(?:\.|:)?(?:{S}*i\.?e\.?|,)?{S}*",
 )
 LEADING_PUNCTUATION = rf"^[.,;:\-{S_SET}]+"
-URL = r"https?://[^" + S_SET + "]+"
-URL_LOOSE = rf"(https?{S}*:{S}*//|www{S}*\.)"
+SPACE_RUN = f" {S}+|[{S}&&[^ ]]{S}*"  # every whitespace run but a single space
+URL = f"https?://[^{S_SET}]"
+URL_LOOSE = rf"(?=[hw])(https?{S}*:{S}*//|www{S}*\.)"
+FIGURE_WORD = "figure"  # part of every match of FIGURE
 FIGURE = rf"{NOT_AFTER_WORD}(see|as{S}+shown{S}+in|refer{S}+to){S}+Figure{NOT_BEFORE_WORD}"
 TEXTBOOKS = (
     "harrison", "guyton", "robbins", "chandrasoma", "kdt", "bdc", "snell", "goodman",
     "gilman", "harper", "uptodate", "lippincott", "ganong", "grays", "netter",
 )
-CITATIONS = (
-    rf"{NOT_AFTER_WORD}ref(?:er)?{NOT_BEFORE_WORD}",
-    rf"{NOT_AFTER_WORD}chapter{NOT_BEFORE_WORD}{S}*{D}+",
-    rf"{NOT_AFTER_WORD}p(?:ages?|g)?\.?{S}*{D}+",
-    rf"{NOT_AFTER_WORD}volume{NOT_BEFORE_WORD}{S}*{D}+",
-    rf"{NOT_AFTER_WORD}(?:[1-9][0-9]?)(?:/?e|th edition){NOT_BEFORE_WORD}",
-    r"http[s]?://",
-    rf"{NOT_AFTER_WORD}www\.",
-    rf"{NOT_AFTER_WORD}({'|'.join(TEXTBOOKS)}){NOT_BEFORE_WORD}",
+CITATION_LINK = "http[s]?://"
+CITATION_START = "[cghbksnlpruvw1-9]"  # every one of the following begins with one of these
+CITATIONS = (  # each begins where a word begins
+    rf"ref(?:er)?{NOT_BEFORE_WORD}",
+    rf"chapter{NOT_BEFORE_WORD}{S}*{D}+",
+    rf"p(?:ages?|g)?\.?{S}*{D}+",
+    rf"volume{NOT_BEFORE_WORD}{S}*{D}+",
+    rf"(?:[1-9][0-9]?)(?:/?e|th edition){NOT_BEFORE_WORD}",
+    r"www\.",
+    rf"({'|'.join(TEXTBOOKS)}){NOT_BEFORE_WORD}",
 )
 TOKEN = rf"{W}+|[^{W_SET}{S_SET}]"
 

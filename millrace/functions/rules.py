@@ -50,12 +50,15 @@ def has_loose_url(text: ColumnLike) -> Column:
 
 
 def has_figure_reference(text: ColumnLike) -> Column:
-    return _matches(text, "(?iu)" + V.FIGURE)
+    return _matches(text, "(?iu)" + V.FIGURE_WORD) & _matches(text, "(?iu)" + V.FIGURE)
 
 
 def cites_reference(text: ColumnLike) -> Column:
     """Any of the citation patterns, on lower-cased text, as one regex."""
-    return _matches(F.lower(as_column(text)), "|".join(f"(?:{p})" for p in V.CITATIONS))
+    # cheapest test first: a possible first letter, then the word edge, then the patterns
+    words = f"(?={V.CITATION_START}){V.NOT_AFTER_WORD}(?:{'|'.join(V.CITATIONS)})"
+    pattern = f"{words}|{V.CITATION_LINK}"
+    return _matches(F.lower(as_column(text)), pattern)
 
 
 def is_single_choice(choice_type: ColumnLike, answer_index: ColumnLike) -> Column:
@@ -83,9 +86,10 @@ def is_complete_mcq(question: ColumnLike, choices: ColumnLike, answer: ColumnLik
 
 def has_only_allowed_characters(text: ColumnLike) -> Column:
     """ASCII, the listed symbols, maths symbols, lower-case letters, Greek-named characters."""
+    # ASCII is let through by a range test before the classes are looked at
+    accepted = rf"{V.EXTRA_ALLOWED}\p{{Sm}}\p{{Ll}}{V.GREEK_NAMED}\p{{IsGreek}}"
     refused = (
-        rf"[^\x{{0}}-\x{{7f}}{V.EXTRA_ALLOWED}\p{{Sm}}\p{{Ll}}{V.GREEK_NAMED}\p{{IsGreek}}]"
-        rf"|[{V.GREEK_UNNAMED}]"
+        rf"[\x{{80}}-\x{{10ffff}}&&[^{accepted}]]|[\x{{80}}-\x{{10ffff}}&&[{V.GREEK_UNNAMED}]]"
     )
     return ~_matches(text, refused)
 

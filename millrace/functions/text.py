@@ -40,11 +40,11 @@ def canonicalize(text: ColumnLike) -> Column:
     """Lower case, numbers replaced by a mark, single spaces, edge punctuation removed."""
     lowered = F.lower(as_column(text))
     numbered = F.regexp_replace(lowered, V.NUMBER, V.NUMBER_MARK)
-    return F.btrim(F.regexp_replace(numbered, f"{V.S}+", " "), F.lit(V.CANONICAL_EDGE))
+    return F.btrim(F.regexp_replace(numbered, V.SPACE_RUN, " "), F.lit(V.CANONICAL_EDGE))
 
 
 def normalize_spaces(text: ColumnLike) -> Column:
-    return F.regexp_replace(trim_ws(text), f"{V.S}+", " ")
+    return F.regexp_replace(trim_ws(text), V.SPACE_RUN, " ")
 
 
 def append_answer(rationale: ColumnLike, answer: ColumnLike) -> Column:
@@ -69,13 +69,12 @@ def strip_answer_statements(rationale: ColumnLike, label: ColumnLike) -> Column:
     Literal on purpose: nothing is required after the letter, so ``answer: all``
     with label A loses ``answer: a``.
     """
-    label = as_column(label)
-    text = reduce(
-        lambda acc, before: _delete_around(acc, label, "(?iu)" + before),
-        V.ANSWER_STATEMENTS,
-        as_column(rationale),
-    )
-    return trim_ws(text)
+    text, label = as_column(rationale), as_column(label)
+    first, *others = ["(?iu)" + before for before in V.ANSWER_STATEMENTS]
+    # the first pattern starts anywhere, so it only runs where it can match
+    possible = F.rlike(text, F.lit("(?iu)" + V.CORRECT_WORD))
+    text = F.when(possible, _delete_around(text, label, first)).otherwise(text)
+    return trim_ws(reduce(lambda acc, before: _delete_around(acc, label, before), others, text))
 
 
 def strip_ans_letter(rationale: ColumnLike, label: ColumnLike) -> Column:

@@ -7,7 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fixed_values as V
+from ..functions.rules import within_tokens
+from ..functions.tokens import TokenCounter, count_tokens
 from .bounded import attach, settled
+from .columns import computed_once
 
 
 def partition_by_rule(df: DataFrame, rule: Column) -> tuple[DataFrame, DataFrame]:
@@ -35,3 +39,12 @@ def drop_shortest(
         df.where(size > 0).groupBy(*group).agg(F.percentile(size, F.lit(share)).alias("__cut"))
     )
     return attach(df, cuts, list(group), small).where(size > F.col("__cut")).drop("__cut")
+
+
+def within_budget(
+    df: DataFrame, text: str, limit: int = V.PASSAGE_TOKENS, counter: TokenCounter = count_tokens,
+    name: str = "tokens",
+) -> DataFrame:
+    """Texts of at most ``limit`` tokens, with their count; each text is counted once."""
+    counted = computed_once(df, **{name: counter(F.col(text))})
+    return counted.where(within_tokens(F.col(name), limit))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .columns import computed_once
 from ..functions.text import ColumnLike, as_column, blank_to_empty, canonicalize, trim_ws
 
 SPREAD = 8
@@ -34,8 +35,9 @@ def drop_known_questions(
     spread: int = SPREAD,
 ) -> DataFrame:
     """Drop rows whose canonical question also occurs in ``known``."""
-    keys = known.select(canonicalize(known_question).alias("__canonical")).distinct()
-    keyed = df.withColumn("__canonical", canonicalize(question))
+    keys = computed_once(known.select(known_question), __canonical=canonicalize(known_question))
+    keyed = computed_once(df, __canonical=canonicalize(question))
+    keys = keys.select("__canonical").distinct()
     return spread_join(keyed, keys, "__canonical", row_id, "left_anti", spread).drop("__canonical")
 
 

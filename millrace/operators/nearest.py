@@ -31,7 +31,7 @@ from .order import top_k
 MAX_SENT_BYTES = 64 * 2**20  # all query vectors or token lists together
 ROWS_PER_BLOCK = 50_000
 QUERIES_PER_BLOCK = 5_000
-SCORES_AT_ONCE = 4_000_000
+SCORES_AT_ONCE = 1_000_000
 DIGITS = 9  # scores are rounded before ranking, so summation order cannot decide a tie
 
 Scorer = Callable[[list], Callable[[list], np.ndarray]]
@@ -59,23 +59,29 @@ def _vector_scorer(similarity: str) -> Scorer:
 
 
 def _jaccard_scorer() -> Scorer:
+    """Shared items are counted through an index from item to the queries holding it."""
+
     def prepare(queries: list) -> Callable[[list], np.ndarray]:
-        known: dict[Any, list[int]] = {}
-        for number, items in enumerate(queries):
-            for item in set(items):
-                known.setdefault(item, []).append(number)
-        holders = {item: np.asarray(numbers) for item, numbers in known.items()}
+        width = len(queries)
+        number: dict[Any, int] = {}
+        pairs = [(number.setdefault(item, len(number)), q) for q, items in enumerate(queries) for item in set(items)]
+        pairs.sort()
+        holders = np.asarray([q for _, q in pairs], dtype="int64")
+        counts = np.bincount(np.asarray([i for i, _ in pairs], dtype="int64"), minlength=len(number))
+        starts = np.concatenate([[0], np.cumsum(counts)])
         sizes = np.asarray([len(set(items)) for items in queries], dtype="float64")
 
         def score(rows: list) -> np.ndarray:
-            shared = np.zeros((len(rows), len(queries)))
-            row_sizes = np.empty(len(rows))
-            for i, items in enumerate(rows):
-                distinct = set(items)
-                row_sizes[i] = len(distinct)
-                for item in distinct:
-                    if item in holders:
-                        shared[i, holders[item]] += 1
+            row_sizes = np.asarray([len(items) for items in rows], dtype="float64")
+            known = [(r, number[item]) for r, items in enumerate(rows) for item in items if item in number]
+            shared = np.zeros(len(rows) * width)
+            if known:
+                at, items = np.asarray(known, dtype="int64").T
+                repeats = counts[items]
+                offsets = np.arange(repeats.sum()) - np.repeat(np.cumsum(repeats) - repeats, repeats)
+                hits = np.repeat(at * width, repeats) + holders[np.repeat(starts[items], repeats) + offsets]
+                shared = np.bincount(hits, minlength=len(rows) * width).astype("float64")
+            shared = shared.reshape(len(rows), width)
             union = row_sizes[:, None] + sizes[None, :] - shared
             return np.divide(shared, union, out=np.zeros_like(shared), where=union > 0)
 
@@ -96,6 +102,9 @@ def _best_of(k: int, scorer: Scorer, names: tuple[str, str, str]) -> Callable:
         top_scores = np.full((0, width), -np.inf)
         top_ids = np.empty((0, width), dtype=object)
         for ids, values in batches:
+            present = [i for i, value in enumerate(values) if value is not None]
+            if len(present) < len(ids):
+                ids, values = [ids[i] for i in present], [values[i] for i in present]
             for start in range(0, len(ids), step):
                 part = ids[start : start + step]
                 scores = np.round(score(values[start : start + step]), digits)
@@ -134,6 +143,8 @@ def best_rows(
 ) -> DataFrame:
     """The ``k`` most similar rows per query: ``query_id, row_id, score, rank``.
 
+    Rows and queries without a value take no part.
+
     ``similarity`` is cosine, dot_product, max_inner_product, l2 (score = negative
     squared distance) or jaccard (over token lists).  Exact; ties go to the smaller
     row id.  Ids are unique on both sides.
@@ -141,11 +152,10 @@ def best_rows(
     if similarity not in ("cosine", "dot_product", "max_inner_product", "l2", "jaccard"):
         raise ValueError(f"unknown similarity: {similarity}")
     scorer = _jaccard_scorer() if similarity == "jaccard" else _vector_scorer(similarity)
-    given = rows.where(F.col(row_value).isNotNull()).select(
-        F.col(row_id).alias("__row"), F.col(row_value).alias("__value")
-    )
+    as_set = F.array_distinct if similarity == "jaccard" else F.col
+    given = rows.select(F.col(row_id).alias("__row"), as_set(row_value).alias("__value"))
     asked = queries.where(F.col(query_value).isNotNull()).select(
-        F.col(query_id).alias("__query"), F.col(query_value).alias("__asked")
+        F.col(query_id).alias("__query"), as_set(query_value).alias("__asked")
     )
     schema = T.StructType(
         [

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import fixed_values as V
-from ..functions.tokens import cut, masked_labels, ones, padded, passages
-from .order import attach_cut_keys, number_order
+from ..functions.tokens import (
+    TokenCounter, count_tokens, cut, masked_labels, ones, padded, passages, split_tokens,
+)
+from ..session import staged
+from .order import cut_keys, number_order
 
 
 def masked_sequences(
@@ -63,19 +66,25 @@ def chunk_passages(
 
 
 def first_passages(
-    passages_df: DataFrame, id_column: str, most: int = V.MAX_PASSAGES
+    df: DataFrame, id_column: str, text: str, size: int = V.PASSAGE_TOKENS, most: int = V.MAX_PASSAGES,
+    counter: TokenCounter = count_tokens, splitter: Callable[[Column], Column] = split_tokens,
 ) -> DataFrame:
     """The first ``most`` passages by document and passage number (numeric ids).
 
     The retrieval setting that bounds the searched corpus.  The last document to
-    take part is found from counts; no row is gathered for it.
+    take part is found from a narrow table of passage counts; only documents up to it
+    are split into tokens.
     """
-    order = number_order(passages_df, id_column)
-    marked = attach_cut_keys(
-        passages_df, order, {"__last": lambda total: F.lit(most)}
+    pieces = F.ceil(counter(F.col(text)) / size).cast("int")
+    counted = staged(df.select(id_column, pieces.alias("__pieces")), "passage-counts")
+    numbered = counted.select(id_column, F.explode(F.array_repeat(F.lit(True), F.col("__pieces"))))
+    cuts, _ = cut_keys(
+        numbered, number_order(counted, id_column), {"__last": lambda total: F.lit(most)}
     )
-    before = marked.where(F.col(id_column) < F.col("__last")).agg(F.count("*").alias("n")).scalar()
-    return marked.where(
-        (F.col(id_column) < F.col("__last"))
-        | ((F.col(id_column) == F.col("__last")) & (F.col("passage_no") < F.lit(most) - before))
-    ).drop("__last")
+    last = cuts.select("__last").scalar()
+    before = counted.where(F.col(id_column) < last).agg(
+        F.coalesce(F.sum("__pieces"), F.lit(0)).alias("rows")
+    ).scalar()
+    tokens = df.where(F.col(id_column) <= last).select(id_column, splitter(F.col(text)).alias("__tokens"))
+    chunks = chunk_passages(tokens, id_column, "__tokens", size)
+    return chunks.where((F.col(id_column) < last) | (F.col("passage_no") < F.lit(most) - before))

@@ -30,17 +30,6 @@ def tag_source(df: DataFrame, name: str, column: str = "dataset") -> DataFrame:
     return df.withColumn(column, F.lit(name))
 
 
-def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
-    """Add columns that later filters do not recompute.
-
-    A filter on a computed column is normally moved below the computation, which
-    repeats it; a generator of exactly one row is where that stops.
-    """
-    bundle = F.struct(*[value.alias(name) for name, value in columns.items()])
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
-    return df.select(*kept, F.inline(F.array(bundle)))
-
-
 def prefixed_id(prefix: str, row_id: str) -> Column:
     return F.concat(F.lit(prefix), F.col(row_id).cast("string"))
 

@@ -27,7 +27,7 @@ def batch_predicate(rule: Callable[..., Sequence[bool]]) -> Callable[..., Column
     @F.pandas_udf("boolean")
     def flags(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for columns in batches:
-            lists = [c.tolist() for c in columns]
+            lists = [c.tolist() for c in (columns if isinstance(columns, tuple) else (columns,))]
             try:
                 found = list(rule(*lists))
             except Exception:

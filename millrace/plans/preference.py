@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions.rules import is_usable_preference
 from ..functions.tokens import TokenCounter, count_tokens
+from ..operators.columns import computed_once
 from ..operators.order import sample_rows
-from ..operators.shape import (
-    computed_once, from_code_preferences, from_math_preferences, union_sources,
-)
+from ..operators.shape import from_code_preferences, from_math_preferences, union_sources
 from ..operators.splits import three_way_split
 from ..session import staged
 
@@ -33,5 +33,5 @@ def preference_corpus(
     math_pairs = from_math_preferences(sample_rows(math, row_id, math_rows, seed), row_id)
     code_pairs = from_code_preferences(sample_rows(code, row_id, code_rows, seed), row_id)
     both = union_sources([math_pairs.select(*COLUMNS), code_pairs.select(*COLUMNS)])
-    usable = staged(usable_pairs(computed_once(both, prompt=both["prompt"]), counter), "preferences")
+    usable = staged(usable_pairs(computed_once(both, prompt=F.col("prompt")), counter), "preferences")
     return three_way_split(usable, "id", test_share, validation_share, seed, group=["dataset"])

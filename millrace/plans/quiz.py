@@ -23,12 +23,13 @@ from ..functions.text import (
     strip_explanation_prefix, strip_solution_prefix,
 )
 from ..functions.tokens import TokenCounter, count_tokens
+from ..operators.columns import computed_once
 from ..operators.dedup import drop_repeated_questions
 from ..operators.filtering import drop_shortest
 from ..operators.joins import attach_text, drop_known_questions, drop_mismatches
 from ..operators.sampling import mix_order, mix_sources, weight_of, weighted_resample
 from ..operators.shape import (
-    computed_once, four_choices, from_aqua, from_arc, from_medmcqa, from_openbook, from_sciq, retain_fields,
+    four_choices, from_aqua, from_arc, from_medmcqa, from_openbook, from_sciq, retain_fields,
     tag_source, union_sources,
 )
 from ..operators.splits import drop_split, holdout, top_up_validation

@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions.prompts import answer_candidate, hint_candidate, joined_paragraphs
-from ..functions.rules import has_text, keeps_in_corpus, within_tokens
+from ..functions.rules import has_text, keeps_in_corpus
 from ..functions.text import soften_quotes
-from ..functions.tokens import TokenCounter, count_tokens, split_tokens
+from ..functions.tokens import TokenCounter, count_tokens
+from ..operators.columns import computed_once
+from ..operators.filtering import within_budget
 from ..operators.nearest import best_rows, diverse_rows
 from ..operators.order import seeded_shuffle
-from ..operators.sequences import chunk_passages, first_passages
+from ..operators.sequences import first_passages
 from ..operators.shape import (
-    answer_passages, computed_once, context_pairs, hint_passages, keyed_choice, keyed_passages, sciq_passages,
+    answer_passages, context_pairs, hint_passages, keyed_choice, keyed_passages, sciq_passages,
     union_sources,
 )
 
@@ -24,21 +26,23 @@ def hint_candidates(
 ) -> DataFrame:
     """Questions with joined paragraphs that fit the encoder: ``row_id, question, answer, text``."""
     hint = joined_paragraphs("context.contexts")
-    return raw.select(
+    candidates = raw.select(
         row_id, soften_quotes("question").alias("question"), soften_quotes(hint).alias("answer"),
         hint_candidate("question", hint).alias("text"),
-    ).where(within_tokens(counter(F.col("text")), limit))
+    )
+    return within_budget(candidates, "text", limit, counter).drop("tokens")
 
 
 def answer_candidates(
     raw: DataFrame, row_id: str = "row_id", counter: TokenCounter = count_tokens, limit: int = V.PASSAGE_TOKENS
 ) -> DataFrame:
     """Cleaned question and rationale pairs that fit the encoder."""
-    return raw.where(F.col("was_cleaned")).select(
+    candidates = raw.where(F.col("was_cleaned")).select(
         row_id, soften_quotes("question", newlines=True).alias("question"),
         soften_quotes("rationale", newlines=True).alias("answer"),
         answer_candidate("question", "rationale").alias("text"),
-    ).where(within_tokens(counter(F.col("text")), limit))
+    )
+    return within_budget(candidates, "text", limit, counter).drop("tokens")
 
 
 def selected_examples(
@@ -92,8 +96,7 @@ def searchable_passages(
     documents: DataFrame, id_column: str, text: str, size: int = V.PASSAGE_TOKENS, most: int = V.MAX_PASSAGES
 ) -> DataFrame:
     """The first passages of a corpus: ``id, passage_no, passage`` (token list)."""
-    tokens = documents.select(id_column, split_tokens(text).alias("tokens"))
-    return first_passages(chunk_passages(tokens, id_column, "tokens", size), id_column, most)
+    return first_passages(documents, id_column, text, size, most)
 
 
 def retrieve(
