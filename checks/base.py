@@ -6,6 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.operators.columns import computed_once
+from millrace.sources.readers import dealt_out
+
+LONG_TEXTS = ("documents",)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -27,7 +31,8 @@ def query(sql: str | None = None, views: str = ""):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    return dealt_out(df) if name in LONG_TEXTS else df
 
 
 # Views, in SQL both engines read; <list>..</list> stands for an array literal.
@@ -107,7 +112,9 @@ def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     if name not in VIEWS:
         return table(spark, folder, name)
     inputs = {used: view(spark, folder, used) for used in USES[name]}
-    return spark.sql(_spelled(VIEWS[name], SPARK_DIALECT), **inputs)
+    df = spark.sql(_spelled(VIEWS[name], SPARK_DIALECT), **inputs)
+    # filters of a query then run on the dealt-out rows, not inside the one-file scan
+    return computed_once(df, rationale=df["rationale"]) if name == "rationales" else df
 
 
 def with_views(sql: str, views: str) -> str:

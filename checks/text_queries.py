@@ -13,14 +13,14 @@ from .base import SPACE, SPACE_SET, canonical, has, query, spaced, strip, sub, t
 
 
 @query(f"""
-    WITH d AS (SELECT doc_id, lang, md5({spaced(canonical('text'))}) AS h,
+    WITH d AS (SELECT doc_id, lang, md5({canonical('text')}) AS h,
                       {strip('coalesce(text, $$$$)')} <> '' AS has_text FROM documents),
     firsts AS (SELECT min(doc_id) AS doc_id FROM d WHERE has_text GROUP BY h)
     SELECT lang, count(*) AS docs FROM d JOIN firsts USING (doc_id) GROUP BY lang
 """)
 def canonical_dedup_count(spark, sf):
     docs = table(spark, sf, "documents").where(~X.is_blank("text"))
-    kept = keep_first(docs, content_hash(X.canonicalize("text")), "doc_id")
+    kept = keep_first(docs, F.md5(X.canonicalize("text")), "doc_id")
     return kept.groupBy("lang").agg(F.count("*").alias("docs"))
 
 

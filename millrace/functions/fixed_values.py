@@ -27,11 +27,11 @@ NUMBER = rf"{D}+([.,]{D}+)?"
 NUMBER_MARK = "<num>"
 CANONICAL_EDGE = " ?."
 LETTER_PREFIX = rf"^(?:\([A-E]\)\*?|[A-E]\))+{S}*"
-LAST_LINE_AND_EDGES = rf"\A{S}+(?=(?s:.*)\n)|{S}*\n[^\n]*\z"
 CORRECT_WORD = "correct"  # part of every match of the first statement
+ANSWER_WORD = "answer"  # part of every match of all statements
 ANSWER_STATEMENTS = (  # the answer letter follows each of these
     rf"[\-=~>]*{S}*the{S}+correct{S}+answer{S}+is{S}+",
-    rf"(answer|correct answer){S}*:{S}*",
+    rf"(?=[ac])(answer|correct answer){S}*:{S}*",
     rf"the answer is{S}*:{S}*",
 )
 ANS_LETTER = (rf"Ans{S}+", rf"\.?{S}*(?:\r?\n)?")  # before and after the letter
@@ -43,7 +43,8 @@ LEADING_ANSWER = (
     rf"[\)\]\']?(?:\.|:)?(?:{S}*i\.?e\.?|,)?{S}*",
 )
 LEADING_PUNCTUATION = rf"^[.,;:\-{S_SET}]+"
-SPACE_RUN = f" {S}+|[{S}&&[^ ]]{S}*"  # every whitespace run but a single space
+# every whitespace run but a single space; the look-ahead rules out most characters at once
+SPACE_RUN = rf"(?=[\x{{0}}-\x{{20}}\x{{80}}-\x{{3000}}])(?:[{S}&&[^ ]]{S}*+| {S}++)"
 URL = f"https?://[^{S_SET}]"
 URL_LOOSE = rf"(?=[hw])(https?{S}*:{S}*//|www{S}*\.)"
 FIGURE_WORD = "figure"  # part of every match of FIGURE
@@ -63,7 +64,9 @@ CITATIONS = (  # each begins where a word begins
     r"www\.",
     rf"({'|'.join(TEXTBOOKS)}){NOT_BEFORE_WORD}",
 )
-TOKEN = rf"{W}+|[^{W_SET}{S_SET}]"
+SYMBOL = f"[^{W_SET}{S_SET}]"
+TOKEN = f"{W}+|{SYMBOL}"
+TOKEN_AND_SPACE = f"(?:{W}++|{SYMBOL}){S}*+"
 
 # -- fixed values: characters accepted besides ASCII, maths symbols, lower-case letters
 EXTRA_ALLOWED = "⁄×⇒→…‘’“”−∴∵πθαβΔ‹›€"

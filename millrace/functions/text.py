@@ -22,6 +22,13 @@ def using(value: Column, build: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), build), 1)
 
 
+def replace_each(text: ColumnLike, replacements: dict[str, str]) -> Column:
+    return reduce(
+        lambda acc, pair: F.replace(acc, F.lit(pair[0]), F.lit(pair[1])),
+        replacements.items(), as_column(text),
+    )
+
+
 def trim_ws(text: ColumnLike) -> Column:
     """Strip every Unicode whitespace character, not just the space."""
     return F.btrim(as_column(text), F.lit(V.WHITESPACE))
@@ -50,10 +57,12 @@ def normalize_spaces(text: ColumnLike) -> Column:
 def append_answer(rationale: ColumnLike, answer: ColumnLike) -> Column:
     """Replace the last line (if there is more than one) by a stated answer.
 
-    One pattern drops the last line together with the whitespace that is then at
-    the edges; a single line keeps its edges.
+    A single line keeps its edges; otherwise the rest is stripped.
     """
-    body = F.regexp_replace(as_column(rationale), V.LAST_LINE_AND_EDGES, "")
+    text = as_column(rationale)
+    last_line = F.substring_index(text, "\n", -1)
+    above = trim_ws(F.left(text, F.length(text) - F.length(last_line) - 1))
+    body = F.when(F.contains(text, F.lit("\n")), above).otherwise(text)
     return F.concat(body, F.lit("\nThe answer is: "), as_column(answer))
 
 
@@ -71,10 +80,12 @@ def strip_answer_statements(rationale: ColumnLike, label: ColumnLike) -> Column:
     """
     text, label = as_column(rationale), as_column(label)
     first, *others = ["(?iu)" + before for before in V.ANSWER_STATEMENTS]
-    # the first pattern starts anywhere, so it only runs where it can match
-    possible = F.rlike(text, F.lit("(?iu)" + V.CORRECT_WORD))
-    text = F.when(possible, _delete_around(text, label, first)).otherwise(text)
-    return trim_ws(reduce(lambda acc, before: _delete_around(acc, label, before), others, text))
+    # a word that every match contains is looked for before the costly patterns run
+    correct = F.rlike(text, F.lit("(?iu)" + V.CORRECT_WORD))
+    answer = F.rlike(text, F.lit("(?iu)" + V.ANSWER_WORD))
+    start = F.when(correct, _delete_around(text, label, first)).otherwise(text)
+    deleted = reduce(lambda acc, before: _delete_around(acc, label, before), others, start)
+    return trim_ws(F.when(answer, deleted).otherwise(text))
 
 
 def strip_ans_letter(rationale: ColumnLike, label: ColumnLike) -> Column:
@@ -97,7 +108,7 @@ def strip_explanation_prefix(text: ColumnLike) -> Column:
 
 
 def normalize_dashes(text: ColumnLike) -> Column:
-    return F.translate(as_column(text), "–—", "--")
+    return replace_each(text, {"–": "-", "—": "-"})
 
 
 def remove_answer_mention(text: ColumnLike, word_boundary: bool = False) -> Column:
@@ -110,8 +121,7 @@ def remove_answer_mention(text: ColumnLike, word_boundary: bool = False) -> Colu
 
 def soften_quotes(text: ColumnLike, newlines: bool = False) -> Column:
     """Double quotes to single quotes; optionally newlines to spaces."""
-    source, target = ('"\n', "' ") if newlines else ('"', "'")
-    return F.translate(as_column(text), source, target)
+    return replace_each(text, {'"': "'", "\n": " "} if newlines else {'"': "'"})
 
 
 def after_last(text: ColumnLike, mark: str) -> Column:
