@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.operators.columns import computed_once
 from millrace.sources.readers import dealt_out
 
-LONG_TEXTS = ("documents",)
+LONG_TEXTS = ("rationales", "quiz")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -30,9 +30,10 @@ def query(sql: str | None = None, views: str = ""):
     return register
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def table(spark: SparkSession, folder: str, name: str, deal: bool = False) -> DataFrame:
+    """A given table; ``deal`` spreads its rows for queries that work on long texts."""
     df = spark.read.parquet(f"{folder}/{name}.parquet")
-    return dealt_out(df) if name in LONG_TEXTS else df
+    return dealt_out(df) if deal else df
 
 
 # Views, in SQL both engines read; <list>..</list> stands for an array literal.
@@ -107,11 +108,12 @@ def _spelled(text: str, dialect: dict[str, str]) -> str:
     return text
 
 
-def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def view(spark: SparkSession, folder: str, name: str, deal: bool = False) -> DataFrame:
     """A test view as a DataFrame over the given tables."""
     if name not in VIEWS:
-        return table(spark, folder, name)
-    inputs = {used: view(spark, folder, used) for used in USES[name]}
+        return table(spark, folder, name, deal)
+    deal = deal or name in LONG_TEXTS
+    inputs = {used: view(spark, folder, used, deal) for used in USES[name]}
     df = spark.sql(_spelled(VIEWS[name], SPARK_DIALECT), **inputs)
     # filters of a query then run on the dealt-out rows, not inside the one-file scan
     return computed_once(df, rationale=df["rationale"]) if name == "rationales" else df

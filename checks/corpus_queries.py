@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from millrace.operators import shape as S
 from millrace.plans import quiz as Z
 from millrace.plans import retrieval as R
+from millrace.session import staged
 
 from .base import SPACE, SPACE_SET, canonical, key, query, shuffled_sql, spaced, strip, sub, table, tokens, view
 from .choice_queries import FOUR, QUIZ_COMPLETION, QUIZ_PROMPT, STRIPPED, flat, labelled
@@ -177,7 +178,7 @@ PREFIXED = sub("rationale", f"(?i)^(solution|sol[.]?|explanation|expl){SPACE}*:?
     FROM f LEFT JOIN t USING (row_id)
 """, "quiz")
 def aqua_corpus(spark, sf):
-    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    docs, labels = table(spark, sf, "documents", deal=True), table(spark, sf, "labels")
     texts = docs.select(F.col("doc_id").alias("row_id"), F.col("text").alias("question"))
     raw = view(spark, sf, "quiz").drop("question").join(texts, "row_id").select(
         "row_id", "split", "question", F.col("choices").alias("options"), "rationale", F.col("answer").alias("correct")
@@ -292,4 +293,4 @@ def joint_corpus(spark, sf):
     SELECT {key('42-mix', 'dataset', 'row_id', 'copy')} AS mix_key, dataset, {QUIZ_PROMPT} AS prompt, {QUIZ_COMPLETION} AS completion FROM c
 """, "quiz")
 def mixed_training(spark, sf):
-    return Z.mixed_training(Z.joint_corpus(*five_sources(spark, sf)))
+    return Z.mixed_training(staged(Z.joint_corpus(*five_sources(spark, sf)), "joint"))

@@ -16,7 +16,7 @@ from .base import canonical, key, query, table, tokens, view, strip
     SELECT doc_id, lang FROM a WHERE c NOT IN (SELECT c FROM b)
 """)
 def canonical_anti_join(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = table(spark, sf, "documents", deal=True)
     odd = F.col("source").isin("src1", "src3", "src5", "src7", "src9", "src11")
     known = docs.where(~odd).select(F.col("text").alias("Problem"))
     return J.drop_known_questions(docs.where(odd), known, "text", "Problem", "doc_id").select("doc_id", "lang")

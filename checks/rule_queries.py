@@ -59,7 +59,7 @@ def required_fields(spark, sf):
     WHERE NOT ({has('text', f'https?://[^{SPACE_SET}]+')} OR {has('lang', f'https?://[^{SPACE_SET}]+')} OR {has('source', f'https?://[^{SPACE_SET}]+')})
 """)
 def url_filter_any_column(spark, sf):
-    pages, docs = table(spark, sf, "pages"), table(spark, sf, "documents")
+    pages, docs = table(spark, sf, "pages"), table(spark, sf, "documents", deal=True)
     return pages.where(~R.url_in_any_string(pages)).select("page_id").unionByName(
         docs.where(~R.url_in_any_string(docs)).select((F.col("doc_id") + 1000000000).alias("page_id"))
     )
@@ -130,7 +130,7 @@ UNNAMED = r"[\x{1d5d}\x{1d5f}\x{1d61}\x{1dbf}\x{2126}\x{1018e}]"
     SELECT doc_id, lang, {has('text', REFUSED)} OR {has('text', UNNAMED)} AS was_filtered FROM documents
 """)
 def charset_allow_list(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = table(spark, sf, "documents", deal=True)
     return flag_rows(docs, R.has_only_allowed_characters("text")).select("doc_id", "lang", "was_filtered")
 
 
@@ -155,7 +155,7 @@ def short_rationale_rescue(spark, sf):
     SELECT doc_id, lang FROM documents JOIN cuts USING (lang) WHERE length(text) > cut
 """)
 def percentile_length_filter(spark, sf):
-    return drop_shortest(table(spark, sf, "documents"), "text", 0.1, ["lang"]).select("doc_id", "lang")
+    return drop_shortest(table(spark, sf, "documents", deal=True), "text", 0.1, ["lang"]).select("doc_id", "lang")
 
 
 @query("SELECT row_id, split FROM mcq5 WHERE split <> 'test'", "mcq5")
@@ -193,4 +193,4 @@ def dataset_eq(spark, sf):
 @query("SELECT doc_id FROM documents WHERE length(text) > 500 AND strpos(lower(text), 'the') > 0")
 def pandas_predicate_filter(spark, sf):
     long_english = batch_predicate(lambda texts: [len(t) > 500 and "the" in t.lower() for t in texts])
-    return table(spark, sf, "documents").where(long_english("text")).select("doc_id")
+    return table(spark, sf, "documents", deal=True).where(long_english("text")).select("doc_id")

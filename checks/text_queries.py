@@ -19,7 +19,7 @@ from .base import SPACE, SPACE_SET, canonical, has, query, spaced, strip, sub, t
     SELECT lang, count(*) AS docs FROM d JOIN firsts USING (doc_id) GROUP BY lang
 """)
 def canonical_dedup_count(spark, sf):
-    docs = table(spark, sf, "documents").where(~X.is_blank("text"))
+    docs = table(spark, sf, "documents", deal=True).where(~X.is_blank("text"))
     kept = keep_first(docs, F.md5(X.canonicalize("text")), "doc_id")
     return kept.groupBy("lang").agg(F.count("*").alias("docs"))
 
@@ -28,7 +28,7 @@ def canonical_dedup_count(spark, sf):
     SELECT count(DISTINCT {canonical('text')}) AS canonical_texts FROM documents
 """)
 def distinct_canonical_texts(spark, sf):
-    return distinct_values(table(spark, sf, "documents"), X.canonicalize("text"), "canonical_texts")
+    return distinct_values(table(spark, sf, "documents", deal=True), X.canonicalize("text"), "canonical_texts")
 
 
 @query(f"""
@@ -36,13 +36,13 @@ def distinct_canonical_texts(spark, sf):
     SELECT doc_id, lang, source, CAST(length(text) AS BIGINT) AS chars FROM d WHERE n = 1
 """)
 def keep_first_md5(spark, sf):
-    kept = keep_first(table(spark, sf, "documents"), content_hash("text"), "doc_id")
+    kept = keep_first(table(spark, sf, "documents", deal=True), content_hash("text"), "doc_id")
     return kept.select("doc_id", "lang", "source", F.length("text").cast("bigint").alias("chars"))
 
 
 @query(f"SELECT doc_id, {canonical('text')} AS canonical FROM documents")
 def canonical_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", X.canonicalize("text").alias("canonical"))
+    return table(spark, sf, "documents", deal=True).select("doc_id", X.canonicalize("text").alias("canonical"))
 
 
 @query(f"""
@@ -134,7 +134,7 @@ def before_after_rows(spark, sf):
     FROM documents
 """)
 def quotes_and_pieces(spark, sf):
-    return table(spark, sf, "documents").select(
+    return table(spark, sf, "documents", deal=True).select(
         "doc_id",
         X.soften_quotes("text", newlines=True).alias("one_line"),
         X.after_last("text", ". ").alias("tail"),

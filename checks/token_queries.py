@@ -29,7 +29,7 @@ def text_of(value):
 
 @query(f"SELECT doc_id, CAST({tokens('text')} AS INT) AS tokens FROM documents WHERE {tokens('text')} <= 512")
 def token_budget(spark, sf):
-    return within_budget(table(spark, sf, "documents").select("doc_id", "text"), "text").select("doc_id", "tokens")
+    return within_budget(table(spark, sf, "documents", deal=True).select("doc_id", "text"), "text").select("doc_id", "tokens")
 
 
 @query(f"""
@@ -43,7 +43,7 @@ def user_token_counter(spark, sf):
         return lambda texts: [len(pattern.findall(t)) for t in texts]
 
     counter = T.token_counter(factory)
-    return table(spark, sf, "documents").select("doc_id", counter("text").alias("tokens"))
+    return table(spark, sf, "documents", deal=True).select("doc_id", counter("text").alias("tokens"))
 
 
 @query(f"""
@@ -123,12 +123,12 @@ CHUNKS = f"""
 
 @query(f"WITH {CHUNKS.strip()} SELECT doc_id, passage_no, passage FROM c")
 def chunk_passages(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", T.split_tokens("text").alias("tokens"))
+    docs = table(spark, sf, "documents", deal=True).select("doc_id", T.split_tokens("text").alias("tokens"))
     chunks = Q.chunk_passages(docs, "doc_id", "tokens")
     return chunks.select("doc_id", F.col("passage_no"), F.array_join("passage", " ").alias("passage"))
 
 
 @query(f"WITH {CHUNKS.strip()} SELECT doc_id, passage_no, passage FROM c ORDER BY doc_id, passage_no LIMIT 777")
 def bounded_passages(spark, sf):
-    first = searchable_passages(table(spark, sf, "documents"), "doc_id", "text", most=777)
+    first = searchable_passages(table(spark, sf, "documents", deal=True), "doc_id", "text", most=777)
     return first.select("doc_id", "passage_no", F.array_join("passage", " ").alias("passage"))

@@ -77,7 +77,7 @@ def dot_topk_in_blocks(spark, sf):
     FROM s QUALIFY rank <= 2
 """)
 def jaccard_topk(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", split_tokens("text").alias("tokens"))
+    docs = table(spark, sf, "documents", deal=True).select("doc_id", split_tokens("text").alias("tokens"))
     items = table(spark, sf, "benchmark").select("item_id", split_tokens("text").alias("asked"))
     found = N.best_rows(docs, items, "doc_id", "item_id", "tokens", "asked", "jaccard", 2)
     return found.withColumn("score", F.round("score", 6))
@@ -111,7 +111,7 @@ def kmeans_representatives(spark, sf):
 """)
 def embed_map_in_pandas(spark, sf):
     encoded = embed(
-        table(spark, sf, "documents").select("doc_id", "text"), "text",
+        table(spark, sf, "documents", deal=True).select("doc_id", "text"), "text",
         lambda texts: [[len(t), t.count("e")] for t in texts], name="vector",
     )
     return encoded.select(

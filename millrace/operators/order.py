@@ -93,7 +93,8 @@ def cut_keys(
 
     ``marks`` maps a column name to a function of the group's row count.  A
     position of 0 gives a null key; one past the end gives the last key.  Only
-    the order key is read, and only the buckets holding a mark are sorted.
+    the order key is read, and only the buckets holding a mark are sorted.  The
+    second result tells whether the table is small enough to broadcast.
     """
     keyed, by = _keyed(df, order, group)
     keyed = keyed.select(*by, KEY, BUCKET)
@@ -126,7 +127,8 @@ def cut_keys(
         .groupBy(*by)
         .agg(*[F.max(F.when(F.col("__mark") == m, F.col(KEY))).alias(m) for m in marks])
     )
-    return settled(found)
+    # one row per group, so no more rows than the counts that were measured
+    return found, small
 
 
 def attach_cut_keys(

@@ -133,7 +133,10 @@ def joint_corpus(
 def mixed_training(
     joint: DataFrame, row_id: str = "row_id", shares: dict[str, float] | None = None, seed: int = V.SEED
 ) -> DataFrame:
-    """Train rows mixed to fixed shares, as prompt and completion, with a sort key."""
+    """Train rows mixed to fixed shares, as prompt and completion, with a sort key.
+
+    ``joint`` is best a stored table: a few of its columns are read three times.
+    """
     mixed = mix_sources(
         joint.where(F.col("split") == "train"), row_id, shares or V.MIX_SHARES, seed=seed
     )

@@ -53,7 +53,11 @@ class Catalog:
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """CSV with a header; quoted fields may hold line breaks and doubled quotes."""
+    """CSV with a header; quoted fields may hold line breaks and doubled quotes.
+
+    Empty fields are null.  A file with line breaks inside fields cannot be split,
+    so large tables should come as many files.
+    """
     return spark.read.csv(
         path, schema=schema, header=True, multiLine=True, quote='"', escape='"',
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,

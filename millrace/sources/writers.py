@@ -34,7 +34,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_quoted_csv(df: DataFrame, path: str, columns: Sequence[str], mode: str = "overwrite") -> None:
     """CSV with header, every field quoted, double quotes softened beforehand."""
     df.select(*[soften_quotes(c).alias(c) for c in columns]).write.mode(mode).csv(
-        path, header=True, quoteAll=True, escape='"', emptyValue="",
+        path, header=True, quoteAll=True, escape='"',
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )
 
