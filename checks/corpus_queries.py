@@ -96,7 +96,6 @@ def eval_format(spark, sf):
     return S.evaluation_rows(raw).select("id", "question", flat(), "answer")
 
 
-QUOTED_HINT = "replace(list_aggregate([a.text, coalesce(b.text, '')], 'string_agg', ' '), '\"', '''')"
 
 
 @query(f"""
@@ -118,12 +117,12 @@ def hint_candidates(spark, sf):
 
 @query(f"""
     WITH t AS (SELECT row_id, replace(replace(question, '"', ''''), chr(10), ' ') AS question,
-                      replace(replace(rationale, '"', ''''), chr(10), ' ') AS answer FROM quiz WHERE length(rationale) % 2 = 0),
+                      replace(replace(rationale, '"', ''''), chr(10), ' ') AS answer FROM quiz WHERE NOT contains(rationale, 'Ans')),
     f AS (SELECT *, 'Example of related question Q and answer A: Q: ' || question || ' A: ' || answer AS text FROM t)
     SELECT row_id, question, answer, text FROM f WHERE {tokens('text')} <= 512
 """, "quiz")
 def answer_candidates(spark, sf):
-    raw = view(spark, sf, "quiz").withColumn("was_cleaned", F.length("rationale") % 2 == 0)
+    raw = view(spark, sf, "quiz").withColumn("was_cleaned", ~F.contains("rationale", F.lit("Ans")))
     return R.answer_candidates(raw)
 
 

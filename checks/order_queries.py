@@ -106,10 +106,8 @@ def subject_probabilities(spark, sf):
     rows = view(spark, sf, "mcq5").withColumn(
         "w", W.weight_of("subject_name", {"PROMO": 0.10, "SMALL": 0.04, "LARGE": 0.07, "ECONOMY": 0.01})
     ).where("w is not null")
-    per_subject = rows.groupBy("subject_name").agg(F.sum("w").alias("w"))
-    return per_subject.select(
-        "subject_name", F.round(F.col("w") / rows.agg(F.sum("w").alias("t")).scalar(), 9).alias("probability")
-    )
+    per_row = W.with_probability(rows, "w").groupBy("subject_name").agg(F.sum("probability").alias("p"))
+    return per_row.select("subject_name", F.round("p", 9).alias("probability"))
 
 
 @query(f"""

@@ -18,6 +18,7 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -28,7 +29,7 @@ from ..functions import fixed_values as V
 from ..functions.vectors import squared_distance
 from .order import top_k
 
-MAX_SENT_BYTES = 64 * 2**20  # all query vectors or token lists together
+MAX_SENT_BYTES = 256 * 2**20  # all query vectors (as doubles) or token lists together
 ROWS_PER_BLOCK = 50_000
 QUERIES_PER_BLOCK = 5_000
 SCORES_AT_ONCE = 1_000_000
@@ -39,7 +40,7 @@ Scorer = Callable[[list], Callable[[list], np.ndarray]]
 
 def _vector_scorer(similarity: str) -> Scorer:
     def prepare(queries: list) -> Callable[[list], np.ndarray]:
-        q = np.asarray([np.asarray(v, dtype="float64") for v in queries])
+        q = np.asarray([np.asarray(v, dtype="float64") for v in queries]) if isinstance(queries, list) else queries
         q_norm = np.sqrt((q * q).sum(axis=1))
 
         def score(rows: list) -> np.ndarray:
@@ -184,9 +185,12 @@ def best_rows(
 def _against_sent(given: DataFrame, asked: DataFrame, best: Callable, schema: T.StructType) -> DataFrame:
     """Queries of a measured size go to every task; rows stay where they are."""
     table = asked.orderBy("__query").toArrow()
-    sent = given.sparkSession.sparkContext.broadcast(
-        (table.column("__query").to_pylist(), table.column("__asked").to_pylist())
-    )
+    values = table.column("__asked").combine_chunks()
+    if pa.types.is_floating(values.type.value_type):
+        asked_values = values.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(len(values), -1)
+    else:
+        asked_values = values.to_pylist()
+    sent = given.sparkSession.sparkContext.broadcast((table.column("__query").to_pylist(), asked_values))
 
     def scored(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, values = sent.value
@@ -268,9 +272,15 @@ def diverse_rows(
     """
     model = cluster_centers(rows, vector, k, iterations, seed)
     # k centers of fixed width: the model itself, whatever the number of rows
+    found_centers = np.asarray(model.clusterCenters(), dtype="float64")
+    offsets = np.arange(0, found_centers.size + 1, found_centers.shape[1], dtype="int32")
     centers = rows.sparkSession.createDataFrame(
-        [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
-        "cluster int, center array<double>",
+        pa.table(
+            {
+                "cluster": np.arange(len(found_centers), dtype="int32"),
+                "center": pa.ListArray.from_arrays(offsets, found_centers.ravel()),
+            }
+        )
     )
     if mode == "assigned":
         labelled = model.transform(

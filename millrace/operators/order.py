@@ -142,7 +142,8 @@ def attach_cut_keys(
     cuts, small = cut_keys(df if within is None else within, order, marks, group)
     if group:
         return attach(df, cuts, group, small)
-    return attach(df.withColumn(GROUP, F.lit(0)), cuts, [GROUP], small).drop(GROUP)
+    keys = cuts.select(F.struct(*marks)).scalar()
+    return df.withColumns({mark: keys[mark] for mark in marks})
 
 
 def seeded_shuffle(df: DataFrame, id_column: str, seed: int | str = V.SEED) -> DataFrame:

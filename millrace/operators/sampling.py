@@ -18,6 +18,11 @@ def weight_of(key: str, weights: dict[str, float], scale: int = 100) -> Column:
     return F.try_element_at(F.create_map(*entries), F.col(key)).cast("bigint")
 
 
+def with_probability(df: DataFrame, weight: str, name: str = "probability") -> DataFrame:
+    """Each row's share of all weight."""
+    return df.withColumn(name, F.col(weight) / df.agg(F.sum(weight).alias("total")).scalar())
+
+
 def weighted_resample(
     df: DataFrame, id_column: str, weight: str, seed: int | str = V.SEED, digits: int = 3,
     copy_name: str = "copy",
