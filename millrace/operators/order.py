@@ -32,7 +32,10 @@ class RowOrder:
 
 
 def hash_order(id_column: str, seed: int | str = V.SEED, digits: int = 3) -> RowOrder:
-    """Seeded shuffle order; 16**digits evenly filled buckets."""
+    """Seeded shuffle order; 16**digits evenly filled buckets per group.
+
+    More digits for larger groups: a bucket is what one task sorts.
+    """
     key = hash_key(seed, id_column)
     return RowOrder(key, F.substring(key, 1, digits))
 
@@ -119,6 +122,8 @@ def cut_keys(
         .where("__m.at > __upto - __n and __m.at <= __upto")
         .select(*by, BUCKET, F.col("__m.mark").alias("__mark"), F.expr("__m.at - (__upto - __n)").alias("__nth"))
     )
+    if not small:
+        hits, small = settled(hits)
     inside = Window.partitionBy(*by, BUCKET, "__mark").orderBy(KEY)
     found = (
         attach(keyed, hits, [*by, BUCKET], small, how="inner")
@@ -127,7 +132,7 @@ def cut_keys(
         .groupBy(*by)
         .agg(*[F.max(F.when(F.col("__mark") == m, F.col(KEY))).alias(m) for m in marks])
     )
-    # one row per group, so no more rows than the counts that were measured
+    # one row per group, so no more rows than the table that was measured
     return found, small
 
 
