@@ -6,6 +6,7 @@ from millrace.functions.keys import content_hash
 from millrace.functions.rules import has_loose_url, has_text
 from millrace.functions.text import normalize_spaces, soften_quotes, strip_solution_prefix
 from millrace.operators.columns import computed_once
+from millrace.operators.order import number_order, row_batches
 from millrace.session import work_path
 from millrace.sources import readers as R
 from millrace.sources import writers as W
@@ -49,6 +50,19 @@ def json_roundtrip(spark, sf):
     return spark.read.schema("doc_id bigint, lang string, text string").json(path)
 
 
+@query("SELECT conv_id, turn, role, text, (row_number() OVER (ORDER BY conv_id * 100 + turn) - 1) // 25 AS batch_id FROM conversations")
+def json_array_batches(spark, sf):
+    """Batches of 25 rows, each a file with one JSON array."""
+    path = work_path(spark, "arrays")
+    talks = table(spark, sf, "conversations").withColumn("id", F.col("conv_id") * 100 + F.col("turn"))
+    batches = row_batches(talks, number_order(talks, "id"), 25)
+    rows = F.collect_list(F.struct("conv_id", "turn", "role", "text"))  # at most 25
+    arrays = batches.groupBy("batch_id").agg(F.to_json(rows).alias("value"))
+    arrays.write.partitionBy("batch_id").text(path)
+    found = R.read_json_list(spark, path, "conv_id bigint, turn bigint, role string, text string, batch_id bigint")
+    return found.select("conv_id", "turn", "role", "text", "batch_id")
+
+
 @query("SELECT doc_id, source FROM documents")
 def resumed_append(spark, sf):
     path = work_path(spark, "append")

@@ -99,8 +99,8 @@ def is_long_or_valid_short(
 ) -> Column:
     """Keep long rationales; keep short ones that hold more than a bare answer.
 
-    The reference behaviour also tests for an upper-case letter in lower-cased
-    text, which can never match and is therefore left out.
+    The literal rule also looks for an upper-case letter in lower-cased text, which
+    can never match and is therefore left out.
     """
     text = as_column(rationale)
     short = F.lower(trim_ws(text))
