@@ -9,22 +9,54 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import op8_language
+from millrace.llm import op4_pfair_mix, op5_secret_ledger, op6_token_groups, op8_language, op9_spaced_seeds
 from millrace.session import work_path
 
 LEAST_SCORE = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows with a language: those that are undetermined, or that no language explains better than all others together, go."""
+    """Documents in a known language stay.
+
+    Those without a letter go, and those that no language explains better than
+    all others together.
+    """
     known = op8_language.learn_and_identify(docs)
     return known.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
 
 
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every component of near duplicates the document with the least id stays."""
+    return op6_token_groups.keep_first(docs)
+
+
+def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, also with substituted words, go."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    leaks = op9_spaced_seeds.contaminated(docs, benchmark).select("doc_id").distinct()
+    return docs.join(leaks, "doc_id", "left_anti")
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; secrets in their texts are replaced by a mark, and n_chars follows."""
+    found = op5_secret_ledger.scan(docs, work_path(spark, "secret-ledger"))
+    clean = op5_secret_ledger.redacted(found)
+    return clean.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The training order of all documents that are left; the text stays in the stage before, under the same id."""
+    return op4_pfair_mix.mix(docs.select("doc_id", "lang", "source", "n_chars"))
+
+
 STAGES = [
     ("language", identify_language),
+    ("near_duplicates", keep_one_of_each_group),
+    ("decontamination", drop_benchmark_passages),
+    ("secrets", redact_secrets),
+    ("mixing", mix_sources),
 ]
-ORACLE_SQL = None  # trained and iterative stages; tests/llm compares with brute force
+ORACLE_SQL = None  # trained and iterative stages; tests/llm compares with a brute-force version
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

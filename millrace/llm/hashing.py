@@ -67,9 +67,13 @@ SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def _block_words(data: np.ndarray) -> np.ndarray:
+#: ASCII characters other than letters and digits
+MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def _block_words(data: np.ndarray, between: np.ndarray) -> np.ndarray:
     inside = np.zeros(len(data) + 2, np.int8)
-    inside[1:-1] = ~SPACE[data]
+    inside[1:-1] = ~between[data]
     edges = np.diff(inside)
     starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
     if not len(starts):
@@ -79,21 +83,21 @@ def _block_words(data: np.ndarray) -> np.ndarray:
     return mixed((sums[ends] - sums[starts]) * powers(BASE_INVERSE, len(data))[starts])
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    """One hash per word ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased; null has no words."""
+def word_hashes(text: str | None, between: np.ndarray = SPACE) -> np.ndarray:
+    """One hash per word, A-Z lower-cased; words are what ``between`` separates (ASCII space).  Null has no words."""
     data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
     if len(data) <= BLOCK:
-        return _block_words(data)
+        return _block_words(data, between)
     parts, at = [], 0
     while at < len(data):
         end = min(len(data), at + BLOCK)
         while end < len(data):  # a block ends at a space
-            spaces = np.flatnonzero(SPACE[data[at:end]])
+            spaces = np.flatnonzero(between[data[at:end]])
             if len(spaces):
                 end = at + int(spaces[-1]) + 1
                 break
             end = min(len(data), end + BLOCK)
-        parts.append(_block_words(data[at:end]))
+        parts.append(_block_words(data[at:end], between))
         at = end
     return np.concatenate(parts)
 

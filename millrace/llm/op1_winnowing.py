@@ -16,6 +16,7 @@ from .hashing import BASE, BLOCK, Stretches, mixed
 
 GRAM, WINDOW = 24, 40  # any common stretch of GRAM + WINDOW - 1 = 63 characters shares a fingerprint
 NEIGHBOURS = 2048  # rows per bucket when documents are laid out in the order of their ids
+SENT = 1 << 20  # bucket heads (some 40 bytes each) that are broadcast; more are joined by a shuffle
 _POSITIONS = np.uint64(0xFFFFFFFF)
 
 
@@ -80,8 +81,8 @@ def fingerprints(docs: DataFrame, text: str = "text", gram: int = GRAM, window:
     return with_arrays(docs, {"hashes": "array<long>", "positions": "array<long>"}, make)
 
 
-def _bucketed(docs: DataFrame) -> DataFrame:
-    """Number buckets of about NEIGHBOURS rows in the order of the ids (null ids: -1, the lowest).
+def _bucketed(docs: DataFrame) -> tuple[DataFrame, int]:
+    """Number buckets of about NEIGHBOURS rows in the order of the ids (null ids: -1, the lowest); also their highest count.
 
     64 quantile cells follow the spread of the ids and equal steps divide each cell,
     so neither clustered nor sparse ids put many rows in one bucket.
@@ -91,7 +92,7 @@ def _bucketed(docs: DataFrame) -> DataFrame:
         F.count("doc_id").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
         F.percentile_approx("doc_id", steps, 1000).alias("cuts")).first()
     if not seen["n"]:
-        return docs.withColumns({"cell": F.lit(-1), "bucket": F.lit(-1).cast("long")})
+        return docs.withColumns({"cell": F.lit(-1), "bucket": F.lit(-1).cast("long")}), 1
     borders = sorted({seen["low"], *seen["cuts"]})
     share = max(1, seen["n"] // (len(borders) * NEIGHBOURS))
     lows = F.lit(borders)
@@ -102,7 +103,7 @@ def _bucketed(docs: DataFrame) -> DataFrame:
         docs.withColumn("cell", F.when(F.col("doc_id").isNull(), -1).otherwise(cell))
         .withColumn("bucket", F.when(F.col("cell") < 0, -1).otherwise(
             F.col("cell") * F.lit(share).cast("long") + F.least(F.lit(share - 1).cast("long"), inside)))
-    )
+    ), len(borders) * share + 1
 
 
 def beside_next(docs: DataFrame) -> DataFrame:
@@ -113,7 +114,8 @@ def beside_next(docs: DataFrame) -> DataFrame:
     the following bucket (after the last bucket: of the first).  Equal ids are
     ordered by the hash of their texts.  Texts are shuffled once.
     """
-    keyed = _bucketed(docs.select("doc_id", "text")).withColumn("tie", F.xxhash64("text"))
+    keyed, buckets = _bucketed(docs.select("doc_id", "text"))
+    keyed = keyed.withColumn("tie", F.xxhash64("text"))
     heads = keyed.groupBy("cell", "bucket").agg(F.max(F.struct("doc_id", "tie")).alias("head"))
     # the following bucket of each: inside its cell, else the first of the next cell (at most 65 cells)
     order = Window.partitionBy("cell").orderBy(F.desc("bucket"))
@@ -127,7 +129,7 @@ def beside_next(docs: DataFrame) -> DataFrame:
     )
     keyed = keyed.withColumns({"next_id": F.coalesce("doc_id", F.lit(0)), "next_null": F.col("doc_id").isNull()})
     borders = (
-        keyed.join(links, ["next_id", "next_null", "tie"])
+        keyed.join(F.broadcast(links) if buckets <= SENT else links, ["next_id", "next_null", "tie"])
         .select("doc_id", "text", F.col("to").alias("bucket"), F.lit(True).alias("border"), "tie")
     )
     rows = keyed.select("doc_id", "text", "bucket", F.lit(False).alias("border"), "tie")

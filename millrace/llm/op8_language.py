@@ -16,8 +16,8 @@ from .base import id_hash, query, table, with_arrays
 
 WORD = re.compile(r"[^\W\d_]+")
 LONGEST, SHORTEST = 5, 1  # lengths of n-grams
-ROWS_PER_LANGUAGE = 4000  # expected number of rows that are learned from
-TERMS_PER_LANGUAGE = 40_000  # most frequent words, and as many n-grams, of a language
+ROWS_PER_LANGUAGE = 2500  # expected number of rows that are learned from
+TERMS_PER_LANGUAGE = 20_000  # most frequent words, and as many n-grams, of a language
 LANGUAGES = 1000  # most languages a model holds; more are an error
 REMEMBERED = 400_000  # words a task keeps the evidence of
 
@@ -27,7 +27,7 @@ def words_of(text: str) -> list[str]:
 
 
 def grams_of(word: str, size: int) -> list[str]:
-    marked = f"<{word}>"
+    marked = f"<{word}>" if size > 1 else word  # a border alone is no evidence
     return [marked[i : i + size] for i in range(len(marked) - size + 1)]
 
 
