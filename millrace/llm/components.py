@@ -5,13 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import work_path
-
-
-def _stored(df: DataFrame, label: str) -> DataFrame:
-    path = work_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from millrace.session import staged
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -37,10 +31,10 @@ def components(edges: DataFrame) -> DataFrame:
     are never gathered: a node's neighbourhood is an aggregate and a join.
     Loops and repeated edges change nothing; no edges give no rows.
     """
-    edges = _stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    edges = staged(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     mark = None
     while True:
-        edges = _stored(_small_star(_large_star(edges)).where("u <> v").distinct(), "edges")
+        edges = staged(_small_star(_large_star(edges)).where("u <> v").distinct(), "edges")
         seen = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if mark == (seen["n"], seen["h"]):
             break

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import work_path
+from millrace.session import staged
 
 from .base import query, table
 from .hashing import BLOCK, BYTE_CODES, Stretches, mixed
@@ -201,18 +201,12 @@ def removed_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     Buckets are packed rows of bounded size, keyed by content: a task that runs
     again after a loss gives the same rows.  Equality is that of 64-bit names.
     """
-    spark = docs.sparkSession
     period, _ = difference_cover()
     texts = docs.select(F.xxhash64("text").alias("key"), F.coalesce("doc_id", F.lit(-1)).cast("long").alias("id"), "text")
     texts = texts.where(F.octet_length("text") >= length)
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 1 << max(6, (total // BUCKET_BYTES).bit_length())
 
-    def stored(df: DataFrame, label: str) -> DataFrame:
-        path = work_path(spark, label)
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
     def sampled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pile, seen, size = [], set(), 0
 
@@ -241,7 +235,7 @@ def removed_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     answer = _answer(np.uint32, lambda b: np.cumsum(np.frombuffer(b, np.int32), dtype=np.int64))
     samples = texts.select("key", "text").mapInPandas(sampled, BLOB).groupBy("bucket").applyInPandas(answer, "key long, runs binary")
     # at most one row per bucket and text; a text's rows are its own samples
-    samples = stored(samples.groupBy("key").agg(F.collect_list("runs").alias("runs")), "repeated-samples")
+    samples = staged(samples.groupBy("key").agg(F.collect_list("runs").alias("runs")), "repeated-samples")
 
     classes = texts.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("n"))
     wanted = samples.join(classes.select("key", "id"), "key").select("key", "id", "runs")
@@ -285,7 +279,7 @@ def removed_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     covered = found.mapInPandas(cover, "key long, low array<long>, high array<long>")
     copies = classes.where("n > 1").select("key")
     whole = copies.select("key", F.array(F.lit(0).cast("long")).alias("low"), F.array(F.lit(2**62)).alias("high"))
-    return stored(whole.union(covered.join(copies, "key", "left_anti")), "removed-runs")
+    return staged(whole.union(covered.join(copies, "key", "left_anti")), "removed-runs")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:

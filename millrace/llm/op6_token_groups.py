@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import work_path
+from millrace.session import staged
 
 from .base import query, table, with_arrays
 from .components import components
@@ -20,7 +20,7 @@ WIDTH = 5  # words of a shingle
 GROUP = 64  # expected most documents of a group
 SLOTS = 20  # 2**20 counters (1 MB) tell frequent shingles from rare ones
 PILE = 1 << 22  # shingles a task counts at once
-SENT = 2_000_000  # ids that are broadcast (8 bytes each); more are joined by a shuffle
+SENT = 1_000_000  # keys (some 50 bytes each) that are broadcast; more are joined by a shuffle
 _SALT = np.uint64(0xA0761D6478BD642F)
 
 
@@ -174,15 +174,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
-    def stored(df: DataFrame, label: str) -> DataFrame:
-        path = work_path(spark, label)
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    members = stored(docs.mapInPandas(_members, "doc_id long, key binary, n_shingles long, slots binary, counts binary"), "members")
+    members = staged(docs.mapInPandas(_members, "doc_id long, key binary, n_shingles long, slots binary, counts binary"), "members")
     classes = spark.sparkContext.broadcast(frequency_classes(members))  # 2**SLOTS bytes
     members = members.where("slots IS NULL").select("doc_id", "key", "n_shingles")
     firsts = members.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    copies = (
+        members.join(firsts.select("key", F.coalesce("doc_id", F.lit(-1)).alias("first")), "key")
+        .where(F.coalesce("doc_id", F.lit(-1)) != F.col("first"))
+        .select("key", F.coalesce("doc_id", F.lit(-1)).alias("doc_id"))
+    )
 
     def index():
         def run(batch):
@@ -196,14 +196,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         return run
 
     rows = with_arrays(docs, {"key": "binary", "tokens": "array<long>", "first": "long", "second": "long", "bits": "binary", "n": "int"}, index, dropped=("text",))
-    rows = rows.withColumn("doc_id", F.coalesce("doc_id", F.lit(-1)))
-    rows = rows.join(firsts.withColumn("doc_id", F.coalesce("doc_id", F.lit(-1))), ["key", "doc_id"])
-    rows = stored(rows, "index")
+    rows = rows.where("key IS NOT NULL").withColumn("doc_id", F.coalesce("doc_id", F.lit(-1)))
+    sent = F.broadcast if copies.count() <= SENT else (lambda df: df)
+    rows = staged(rows.join(sent(copies), ["key", "doc_id"], "left_anti"), "index")
     sizes = rows.select("key", "first", "second").distinct().groupBy("first", "second").agg(F.count("*").alias("size"))
     parts = F.ceil(F.col("size") / GROUP)
     grouped = rows.join(sizes, ["first", "second"]).withColumn("group", F.xxhash64("first", "second", F.pmod(F.xxhash64("key"), parts)))
     # (token, group) index and the candidate pairs of groups
-    entries = grouped.select("group", F.explode("tokens").alias("token")).distinct()
+    # dealt by token once: that serves the removal of repeats and both sides of the join
+    entries = grouped.select("group", F.explode("tokens").alias("token")).repartition("token").distinct()
     left, right = entries.withColumnRenamed("group", "g"), entries.withColumnRenamed("group", "h")
     pairs = left.join(right, "token").where("g < h").select("g", "h").distinct()
     alone = grouped.groupBy("group").agg(F.count_distinct("key").alias("n")).where("n > 1").select(F.col("group").alias("g"), F.col("group").alias("h"))
@@ -226,15 +227,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         return run
 
     opened = with_arrays(pairs, {"left": "array<binary>", "right": "array<binary>"}, bound, dropped=("mine", "others"))
-    opened = stored(opened.where("size(left) > 0"), "opened-groups")
+    opened = staged(opened.where("size(left) > 0"), "opened-groups")
     wanted = (
         opened.select("g", "h", F.lit(0).alias("side"), F.explode("left").alias("key"))
         .union(opened.select("g", "h", F.lit(1), F.explode("right")))
     )
-    texts = firsts.join(wanted.select("key").distinct(), "key")
-    small = texts.count() <= SENT
-    ids = texts.select(F.coalesce("doc_id", F.lit(-1)).alias("id"), F.col("key").alias("want"))
-    full = docs.withColumn("id", F.coalesce("doc_id", F.lit(-1))).join(F.broadcast(ids) if small else ids, "id")
+    sent = F.broadcast if wanted.count() <= SENT else (lambda df: df)
+    ids = firsts.join(wanted.select("key").distinct(), "key")
+    ids = ids.select(F.coalesce("doc_id", F.lit(-1)).alias("id"), F.col("key").alias("want"))
+    full = docs.withColumn("id", F.coalesce("doc_id", F.lit(-1))).join(sent(ids), "id")
 
     def sets():
         def run(batch):
@@ -244,15 +245,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         return run
 
     full = with_arrays(full, {"key": "binary", "set": "binary"}, sets, dropped=("text", "doc_id", "id"))
-    full = full.where("key = want").select("key", "set").dropDuplicates(["key"])
+    full = full.where("key = want").select("key", "set")
 
     def verify(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["side", "key"])
+        rows = rows.drop_duplicates(["side", "key"]).sort_values(["side", "key"])  # repeated rows of a document
         found = _links(list(rows["key"]), [np.frombuffer(s, np.uint64) for s in rows["set"]], list(rows["side"]), percent)
         return pd.DataFrame(found, columns=["u", "v"])
 
     # a group of this is the documents of two groups of documents, about 2 * GROUP
-    links = wanted.join(full, "key").groupBy("g", "h").applyInPandas(verify, "u binary, v binary")
+    links = full.join(sent(wanted), "key").groupBy("g", "h").applyInPandas(verify, "u binary, v binary")
     reached = components(links)
     named = firsts.join(reached.withColumnRenamed("node", "key"), "key").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     roots = reached.join(named, "root").select(F.col("node").alias("key"), "component_id")
@@ -263,8 +264,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 def keep_first(docs: DataFrame, percent: int = 80) -> DataFrame:
     """One row of each component stays: that of the least doc_id (of equal ids, those rows; null ids stay)."""
-    first = near_duplicates(docs, percent).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_anti")
+    gone = near_duplicates(docs, percent).where("doc_id <> component_id").select("doc_id").distinct()
+    gone = staged(gone, "near-duplicates")
+    return docs.join(F.broadcast(gone) if gone.count() <= SENT else gone, "doc_id", "left_anti")
 
 
 @query()
