@@ -14,7 +14,7 @@ from .base import query, table
 
 BLOCK = 16  # rows that stay together
 SOURCES = 10_000  # most sources; one count of each comes to the driver
-ROWS_PER_BUCKET = 20_000  # rows that one task sorts when rows of a source are numbered
+ROWS_PER_BUCKET = 4_000  # rows that one task sorts when rows of a source are numbered
 RESULT = ("block", "phase", "slot", "position")
 
 
