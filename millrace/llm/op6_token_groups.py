@@ -17,7 +17,8 @@ from .components import components
 from .hashing import BASE, mixed, shingles, word_hashes
 
 WIDTH = 5  # words of a shingle
-GROUP = 64  # expected most documents of a group
+GROUP = 256  # expected most documents of a group
+FAMILY = 2  # frequency class from which an index token names the group of its documents
 SLOTS = 20  # 2**20 counters (1 MB) tell frequent shingles from rare ones
 PILE = 1 << 22  # shingles a task counts at once
 SENT = 1_000_000  # keys (some 50 bytes each) that are broadcast; more are joined by a shuffle
@@ -101,12 +102,22 @@ def misses(own: np.ndarray, other: np.ndarray) -> int:
 
 
 def _index_row(tokens: np.ndarray, classes: np.ndarray, percent: int) -> tuple[list[int], int, int, bytes]:
-    """Index tokens, two least hashes, and the matrix row of one token set."""
+    """Index tokens, the two parts of the group's name, and the matrix row of one token set.
+
+    Index tokens are the rarest ones.  If even they are frequent, most of the
+    document is shared by a family of documents, and the first token of their
+    most frequent class names the group: nearly all of the family agree in it.
+    All others are named by two min-hashes.
+    """
     size = len(tokens)
     needed = size - -(-percent * size // 100) + 1
-    order = np.lexsort((tokens, classes[(tokens >> np.uint64(64 - SLOTS)).astype(np.int64)]))[:needed]
-    second = mixed(tokens * np.uint64(BASE) ^ _SALT).min()
-    return tokens[order].astype(np.int64).tolist(), int(tokens.min().astype(np.int64)), int(second.astype(np.int64)), np.packbits(bitmap(tokens)).tobytes()
+    often = classes[(tokens >> np.uint64(64 - SLOTS)).astype(np.int64)]
+    order = np.lexsort((tokens, often))[:needed]
+    if often[order[-1]] >= FAMILY:
+        first, second = tokens[order[np.searchsorted(often[order], often[order[-1]])]], np.uint64(0)
+    else:
+        first, second = tokens.min(), mixed(tokens * np.uint64(BASE) ^ _SALT).min()
+    return tokens[order].astype(np.int64).tolist(), int(first.astype(np.int64)), int(second.astype(np.int64)), np.packbits(bitmap(tokens)).tobytes()
 
 
 def _qualifying(mine: list[dict], others: list[dict], percent: int) -> list[bytes]:
@@ -161,8 +172,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     linked with nothing and their own component; null ids and repeated rows stay.
 
     1. Equal word sequences are one class; only its first row goes on.
-    2. Classes that agree in two min-hashes form a group, cut by a hash into
-       parts of about ``GROUP``.  A group's row of the token-group matrix is the
+    2. Classes that agree in a frequent index token, or else in two min-hashes,
+       form a group, cut by a hash into parts of about ``GROUP``.  A group's row of the token-group matrix is the
        union of its tokens over hashed columns.
     3. Groups meet on index tokens: of each set the first n - ceil(t*n) + 1 in
        an order from rare to frequent, one of which linked sets must share.

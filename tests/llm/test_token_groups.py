@@ -52,7 +52,7 @@ def corpus(seed, families=12, size=14):
     return rows
 
 
-@pytest.mark.parametrize("group", [3, 64])
+@pytest.mark.parametrize("group", [3, 256])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_against_all_pairs(docs_of, monkeypatch, group, seed):
     monkeypatch.setattr(g, "GROUP", group)
