@@ -33,8 +33,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, also with substituted words, go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaks = op9_spaced_seeds.contaminated(docs, benchmark).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti")
+    return op9_spaced_seeds.without_overlaps(docs, benchmark)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

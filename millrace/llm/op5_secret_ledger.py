@@ -24,6 +24,7 @@ RULES = (
     ("access", 1, r"AKIA[A-Z0-9]{14,}", 0, 18),
     ("hex", 1, r"[0-9a-f]{16,}", 0, 16),
 )
+SENT_BYTES = 1 << 25  # findings that are broadcast to be joined back to texts
 LEDGER = T.StructType([
     T.StructField("blob", T.BinaryType()), T.StructField("kind", T.StringType()), T.StructField("version", T.IntegerType()),
     T.StructField("starts", T.ArrayType(T.LongType())), T.StructField("ends", T.ArrayType(T.LongType())),
@@ -116,10 +117,14 @@ def scan(docs: DataFrame, ledger_path: str, rules=RULES, id_column: str = "doc_i
     if {"spans", "__blob"} & set(docs.columns):
         raise ValueError("columns spans and __blob are taken by the result")
     found = findings(docs.select(F.col(id_column).alias("path"), F.col(text).alias("text")), ledger_path, rules)
+    found = found.withColumnRenamed("blob", "__blob")
     empty = F.array().cast(found.schema["spans"].dataType)
+    seen = found.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("spans")), F.lit(0)).alias("spans")).first()
+    if 64 * seen["n"] + 48 * seen["spans"] <= SENT_BYTES:  # else texts and findings meet by a shuffle
+        found = F.broadcast(found)
     return (
         docs.withColumn("__blob", blob_of(text))
-        .join(found.withColumnRenamed("blob", "__blob"), "__blob", "left")
+        .join(found, "__blob", "left")
         .withColumn("spans", F.coalesce("spans", empty)).drop("__blob")
     )
 
@@ -141,7 +146,9 @@ def redacted(rows: DataFrame, text: str = "text", mark: str = "<secret>") -> Dat
 
         return run
 
-    return with_arrays(rows, {}, make, replaced=(text,), dropped=("spans",))
+    # only rows with secrets go through Python
+    changed = with_arrays(rows.where(F.size("spans") > 0), {}, make, replaced=(text,), dropped=("spans",))
+    return changed.unionByName(rows.where(F.size("spans") == 0).drop("spans"))
 
 
 def _written(spans: str):

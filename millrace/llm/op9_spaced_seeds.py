@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import work_path
+from millrace.session import staged
 
 from .base import query, table
 from .hashing import BASE, MARKS, mixed, word_hashes
@@ -20,6 +20,7 @@ SPAN = max(map(len, MASKS))
 BITS = 24  # the filter in front of the join has 2**24 bits, 2 MB, whatever the benchmark
 AROUND = 128  # tokens kept on each side of a hit for the comparison
 LEAST = 13  # tokens an overlap must span
+SENT = 1_000_000  # ids that are broadcast; more are joined by a shuffle
 SAME = 0.8  # and the share of them that must be equal
 HIT = "doc_id long, text_key long, cluster int, start int, tokens binary, hits array<struct<hash: long, at: int>>"
 
@@ -131,9 +132,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, same
             yield pd.DataFrame(rows, columns=["doc_id", "text_key", "cluster", "start", "tokens", "hits"])
 
     keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text").where("text IS NOT NULL AND doc_id IS NOT NULL")
-    path = work_path(spark, "benchmark-hits")
-    keyed.mapInPandas(search, HIT).write.parquet(path)
-    found = spark.read.schema(HIT).parquet(path)
+    found = staged(keyed.mapInPandas(search, HIT), "benchmark-hits")
     diagonals = (
         found.select("doc_id", "text_key", "cluster", F.explode("hits").alias("hit"))
         .select("doc_id", "text_key", "cluster", F.col("hit.hash").alias("hash"), F.col("hit.at").alias("at"))
@@ -164,6 +163,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, same
     return overlaps.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.*")
 
 
+def without_overlaps(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, same: float = SAME) -> DataFrame:
+    """The documents that overlap with no benchmark item; rows without an id stay."""
+    leaks = staged(contaminated(docs, benchmark, least, same).select("doc_id").distinct(), "leaks")
+    return docs.join(F.broadcast(leaks) if leaks.count() <= SENT else leaks, "doc_id", "left_anti")
+
+
 @query()
 def op9_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that hold benchmark items, and which."""
