@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.operators.columns import computed_once
-from millrace.sources.readers import dealt_out
-
 LONG_TEXTS = ("rationales", "quiz")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -31,9 +29,8 @@ def query(sql: str | None = None, views: str = ""):
 
 
 def table(spark: SparkSession, folder: str, name: str, deal: bool = False) -> DataFrame:
-    """A given table; ``deal`` spreads its rows for queries that work on long texts."""
-    df = spark.read.parquet(f"{folder}/{name}.parquet")
-    return dealt_out(df) if deal else df
+    """A given table; how its rows are dealt to tasks is left to the scan (``deal`` marks long texts)."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 # Views, in SQL both engines read; <list>..</list> stands for an array literal.
@@ -62,7 +59,7 @@ VIEWS = {
     "rationales": """
         SELECT row_id, source, lang, answer, split,
                CASE CAST(row_id % 12 AS INT)
-                    WHEN 0 THEN ' '
+                    WHEN 0 THEN concat('  ', t, ' ')
                     WHEN 1 THEN concat('Explanation: ', t)
                     WHEN 2 THEN concat('Sol. ', t)
                     WHEN 3 THEN concat(t, chr(10), 'The answer is: ', answer)
@@ -71,8 +68,8 @@ VIEWS = {
                     WHEN 6 THEN concat(t, ' as shown in Figure 3')
                     WHEN 7 THEN concat(t, ' http : //x.example')
                     WHEN 8 THEN concat('Ans ', answer, '. ', t)
-                    WHEN 9 THEN concat('option ', answer)
-                    WHEN 10 THEN concat(lang, ' only ', source)
+                    WHEN 9 THEN concat(t, ' option ', answer)
+                    WHEN 10 THEN concat(lang, ' only ', source, ' ', t)
                     ELSE t END AS rationale
         FROM (SELECT doc_id AS row_id, source, lang, text AS t,
                      substr('ABCD', CAST(doc_id % 4 AS INT) + 1, 1) AS answer,
@@ -94,7 +91,8 @@ VIEWS = {
     "quiz": """
         SELECT m.row_id, m.question_id, m.question, m.choices, m.answer, m.subject_name, m.split,
                coalesce(r.rationale, '') AS rationale
-        FROM {mcq4} m LEFT JOIN {rationales} r ON r.row_id = m.row_id""",
+        FROM (SELECT q.*, q.row_id % n.n AS document FROM {mcq4} q JOIN (SELECT count(*) AS n FROM {rationales}) n ON true) m
+        LEFT JOIN {rationales} r ON r.row_id = m.document""",
 }
 USES = {"mcq5": ["part"], "mcq4": ["mcq5"], "rationales": ["documents"], "pairs": ["conversations"],
         "quiz": ["mcq4", "rationales"]}

@@ -11,6 +11,7 @@ from .base import SPACE, SPACE_SET, canonical, key, query, shuffled_sql, spaced,
 from .choice_queries import FOUR, QUIZ_COMPLETION, QUIZ_PROMPT, STRIPPED, flat, labelled
 from .rule_queries import CITES, FIGURE, LOOSE, REFUSED, UNNAMED
 from .text_queries import MENTION
+from .vector_queries import lloyd_sql
 
 
 def sciq_raw(spark, sf):
@@ -126,11 +127,14 @@ def answer_candidates(spark, sf):
     return R.answer_candidates(raw)
 
 
-@query()
+WITH_TEXT = "(SELECT * FROM embeddings WHERE vec_id IN (SELECT row_id FROM rationales))"
+
+
+@query(f"SELECT r.source AS question, r.rationale AS answer FROM ({lloyd_sql(20, 3, WITH_TEXT)}) p JOIN rationales r ON r.row_id = p.vec_id", "rationales")
 def selected_examples(spark, sf):
     rows = table(spark, sf, "embeddings").withColumnRenamed("vec_id", "row_id")
     texts = view(spark, sf, "rationales").select("row_id", F.col("source").alias("question"), F.col("rationale").alias("answer"))
-    return R.selected_examples(rows.join(texts, "row_id"), k=20)
+    return R.selected_examples(rows.join(texts, "row_id"), k=20, iterations=3)
 
 
 @query(f"""
@@ -275,12 +279,21 @@ def five_sources(spark, sf):
 
 
 @query(f"""
+    SELECT *, {key('42', 'dataset', 'row_id')} AS shuffle_key FROM (
     SELECT row_id, question, array_to_string(choices, '|') AS choices, answer, rationale, {SOURCE_OF} AS dataset, split
-    FROM quiz WHERE split IN ('train', 'validation')
+    FROM quiz) WHERE split IN ('train', 'validation')
 """, "quiz")
 def joint_corpus(spark, sf):
     joint = Z.joint_corpus(*five_sources(spark, sf))
-    return joint.withColumn("choices", flat()).select("row_id", "question", "choices", "answer", "rationale", "dataset", "split")
+    return joint.withColumn("choices", flat()).select("row_id", "question", "choices", "answer", "rationale", "dataset", "split", "shuffle_key")
+
+
+@query(f"""
+    SELECT {key('42', 'dataset', 'row_id')} AS shuffle_key, dataset, {QUIZ_PROMPT} AS prompt, {QUIZ_COMPLETION} AS completion
+    FROM (SELECT *, {SOURCE_OF} AS dataset FROM quiz) WHERE split = 'validation'
+""", "quiz")
+def formatted_validation(spark, sf):
+    return Z.formatted_validation(Z.joint_corpus(*five_sources(spark, sf)))
 
 
 @query(f"""

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from millrace.operators import joins as J
+from millrace.operators.dedup import keep_first
 from millrace.operators.profile import composition, dataset_card
 from millrace.operators.shape import prefixed_id, union_sources
 from millrace.plans.preference import preference_corpus
@@ -19,7 +20,7 @@ def canonical_anti_join(spark, sf):
     docs = table(spark, sf, "documents", deal=True)
     odd = F.col("source").isin("src1", "src3", "src5", "src7", "src9", "src11")
     known = docs.where(~odd).select(F.col("text").alias("Problem"))
-    return J.drop_known_questions(docs.where(odd), known, "text", "Problem", "doc_id").select("doc_id", "lang")
+    return J.drop_known_questions(docs.where(odd), known, "text", "Problem").select("doc_id", "lang")
 
 
 @query("""
@@ -48,7 +49,7 @@ def subject_semi_filter(spark, sf):
     mean = part.agg(F.avg("p_size").alias("m")).scalar()
     large = part.groupBy("p_type").agg(F.avg("p_size").alias("size")).where(F.col("size") > mean)
     allowed = large.select(F.col("p_type").alias("subject_name"))
-    return J.keep_members(view(spark, sf, "mcq5"), allowed, "subject_name", "row_id").select("row_id", "subject_name")
+    return J.keep_members(view(spark, sf, "mcq5"), allowed, "subject_name").select("row_id", "subject_name")
 
 
 @query("""
@@ -102,9 +103,9 @@ def preference_filter(spark, sf):
     return usable_pairs(pairs.withColumn("prompt", prompt)).select("row_id", "dataset", "prompt")
 
 
-@query(f"{WITH_SPLIT} SELECT id, dataset, prompt, chosen, rejected, split FROM split", "pairs")
+@query(f"{WITH_SPLIT} SELECT id, dataset, prompt, chosen, rejected, split, {key('42', 'dataset', 'id')} AS shuffle_key FROM split", "pairs")
 def preference_corpus_rows(spark, sf):
-    return preferences(spark, sf).select("id", "dataset", "prompt", "chosen", "rejected", "split")
+    return preferences(spark, sf).select("id", "dataset", "prompt", "chosen", "rejected", "split", "shuffle_key")
 
 
 @query(f"""
@@ -135,3 +136,13 @@ def composition_card(spark, sf):
         F.col("role").alias("split"),
     )
     return dataset_card(rows, "Talks")
+
+
+@query("""
+    WITH t AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE text END AS text FROM documents)
+    SELECT doc_id FROM t QUALIFY text IS NULL OR row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1
+""")
+def keep_first_null_text(spark, sf):
+    """A null text is equal to nothing: all its rows stay."""
+    docs = table(spark, sf, "documents").withColumn("text", F.when(F.col("doc_id") % 5 != 0, F.col("text")))
+    return keep_first(docs, F.md5("text"), "doc_id").select("doc_id")

@@ -9,7 +9,7 @@ from millrace.operators import order as O
 from millrace.operators.filtering import within_budget
 from millrace.operators import sequences as Q
 from millrace.plans.quantised import quantised_sequences
-from millrace.plans.retrieval import searchable_passages
+from millrace.plans.retrieval import retrieve, searchable_passages
 
 from .base import TOKENS, key, query, table, tokens, view
 from .choice_queries import PLAIN_PROMPT, QUIZ_COMPLETION, QUIZ_PROMPT
@@ -103,7 +103,7 @@ def pad_batch(spark, sf):
 @query(f"""
     WITH t AS (SELECT row_id, {PLAIN_PROMPT} || chr(10) AS head,
                       answer || '. ' || choices[ord(answer) - 64] || chr(10) || 'Explanation: ' || rationale AS tail
-               FROM quiz WHERE substr({key('42', 'row_id')}, 1, 8) < '26666666'),
+               FROM quiz),
     p AS (SELECT row_id, {ids('head')} AS a, list_slice({ids('head || tail')}, 1, 512) AS b FROM t)
     SELECT row_id, {text_of('list_concat(b, list_transform(range(512 - len(b)), lambda x: 0))')} AS input_ids,
            {text_of('list_transform(list_concat(b, list_transform(range(512 - len(b)), lambda x: 0)), lambda x, i: CASE WHEN i <= len(a) THEN -100 ELSE x END)')} AS labels,
@@ -132,3 +132,21 @@ def chunk_passages(spark, sf):
 def bounded_passages(spark, sf):
     first = searchable_passages(table(spark, sf, "documents", deal=True), "doc_id", "text", most=777)
     return first.select("doc_id", "passage_no", F.array_join("passage", " ").alias("passage"))
+
+
+@query(f"""
+    WITH t AS (SELECT doc_id, regexp_extract_all(text, '{TOKENS}') AS tokens FROM documents),
+    p AS (SELECT doc_id * 100000 + n AS passage_id, list_distinct(list_slice(tokens, n * 64 + 1, n * 64 + 64)) AS t
+          FROM (SELECT doc_id, tokens, unnest(range((len(tokens) + 63) // 64)) AS n FROM t)),
+    b AS (SELECT item_id, list_distinct(regexp_extract_all(text, '{TOKENS}')) AS t FROM benchmark),
+    i AS (SELECT item_id, passage_id, len(list_intersect(p.t, b.t)) AS shared, len(p.t) + len(b.t) AS total FROM p CROSS JOIN b)
+    SELECT item_id, passage_id, round(shared::DOUBLE / (total - shared), 6) AS score, CAST(1 AS INT) AS rank FROM i
+    QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY shared::DOUBLE / (total - shared) DESC, passage_id) = 1
+""")
+def retrieval_end_to_end(spark, sf):
+    """Documents cut into passages, and the best passage for every benchmark item."""
+    passages = searchable_passages(table(spark, sf, "documents"), "doc_id", "text", size=64)
+    passages = passages.withColumn("passage_id", F.col("doc_id") * 100000 + F.col("passage_no"))
+    asked = table(spark, sf, "benchmark").select("item_id", T.split_tokens("text").alias("asked"))
+    found = retrieve(passages, asked, "passage_id", "item_id", "passage", "asked", "jaccard", 1)
+    return found.withColumn("score", F.round("score", 6))

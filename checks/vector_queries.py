@@ -7,7 +7,7 @@ from millrace.functions.tokens import split_tokens
 from millrace.operators import nearest as N
 from millrace.operators.workers import embed, enrich
 
-from .base import TOKENS, query, table
+from .base import TOKENS, key, query, table
 
 MEANS = """
     m AS (SELECT label, list(mean ORDER BY pos) AS center FROM
@@ -35,6 +35,24 @@ def nearest_to_label_mean(spark, sf):
     return found.withColumn("d2", F.round("d2", 6))
 
 
+@query(f"""
+    WITH {MEANS.strip()},
+    t AS (SELECT label, list_transform(center, lambda x: 100.0 + x * 0.00001) AS center FROM m),
+    r AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: 100.0 + x * 0.00001) AS embedding FROM embeddings)
+    SELECT label, vec_id FROM (SELECT label, vec_id, {L2} AS d2 FROM r v CROSS JOIN t m)
+    QUALIFY row_number() OVER (PARTITION BY label ORDER BY d2, vec_id) = 1
+""")
+def nearest_small_scale(spark, sf):
+    """Vectors that differ by less than a ten-thousandth, far from the origin."""
+    def moved(column):
+        return F.transform(column, lambda x: F.lit(100.0) + x.cast("double") * 0.00001)
+
+    rows = table(spark, sf, "embeddings")
+    means = label_means(rows).withColumn("center", moved("center"))
+    found = N.nearest_rows(rows.withColumn("embedding", moved("embedding")), means, "vec_id", "label", "embedding", "center")
+    return found.select("label", "vec_id")
+
+
 def topk_sql(score, k):
     return f"""
     WITH s AS (SELECT q.vec_id AS query_id, v.vec_id, round({score}, 9) AS score FROM embeddings v CROSS JOIN embeddings q)
@@ -99,9 +117,24 @@ def vector_functions(spark, sf):
     )
 
 
-@query()
+def lloyd_sql(k, steps, rows="embeddings"):
+    """Lloyd steps from the k vectors whose hashed ids are least, one CTE per step."""
+    parts = [f"""c0 AS (SELECT CAST(row_number() OVER (ORDER BY {key('42', 'vec_id')}) - 1 AS INT) AS cluster, embedding::DOUBLE[] AS center
+             FROM {rows} QUALIFY cluster < {k})"""]
+    for n in range(steps):
+        parts.append(f"""a{n} AS (SELECT vec_id, embedding, arg_min(cluster, {L2.replace('m.center', 'center')}) AS cluster
+             FROM {rows} v CROSS JOIN c{n} GROUP BY vec_id, embedding)""")
+        parts.append(f"""c{n + 1} AS (SELECT cluster, coalesce(moved, center) AS center FROM c{n} LEFT JOIN
+            (SELECT cluster, list(mean ORDER BY pos) AS moved FROM (SELECT cluster, pos, avg(x) AS mean FROM
+             (SELECT cluster, unnest(embedding::DOUBLE[]) AS x, unnest(range(len(embedding))) AS pos FROM a{n}) GROUP BY cluster, pos) GROUP BY cluster) USING (cluster))""")
+    return "WITH " + ", ".join(parts) + f""" SELECT cluster, vec_id, round(d2, 6) AS d2 FROM
+        (SELECT cluster, vec_id, {L2.replace('m.center', 'center')} AS d2 FROM {rows} v CROSS JOIN c{steps})
+        QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY d2, vec_id) = 1"""
+
+
+@query(lloyd_sql(10, 3))
 def kmeans_representatives(spark, sf):
-    found = N.diverse_rows(table(spark, sf, "embeddings"), "vec_id", "embedding", k=10)
+    found = N.diverse_rows(table(spark, sf, "embeddings"), "vec_id", "embedding", k=10, iterations=3)
     return found.withColumn("d2", F.round("d2", 6))
 
 

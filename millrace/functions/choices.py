@@ -11,13 +11,14 @@ from .text import ColumnLike, as_column, trim_ws
 
 
 def letter_of(position: Column) -> Column:
-    """Zero-based position to letter."""
-    return F.char(F.lit(65) + position)
+    """Zero-based position to letter; null for a negative position."""
+    return F.when(position >= 0, F.char(F.lit(65) + position))
 
 
 def position_of(letter: ColumnLike) -> Column:
-    """Letter (any case, padded or not) to zero-based position."""
-    return F.ascii(F.upper(trim_ws(letter))) - 65
+    """One letter (any case, padded or not) to zero-based position; null for everything else."""
+    text = F.upper(trim_ws(letter))
+    return F.when(F.rlike(text, F.lit(r"\A[A-Z]\z")), F.ascii(text) - 65)
 
 
 def position_or_minus_one(letter: ColumnLike) -> Column:

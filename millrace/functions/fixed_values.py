@@ -54,7 +54,6 @@ TEXTBOOKS = (
     "gilman", "harper", "uptodate", "lippincott", "ganong", "grays", "netter",
 )
 CITATION_LINK = "http[s]?://"
-CITATION_START = "[cghbksnlpruvw1-9]"  # every one of the following begins with one of these
 CITATIONS = (  # each begins where a word begins
     rf"ref(?:er)?{NOT_BEFORE_WORD}",
     rf"chapter{NOT_BEFORE_WORD}{S}*{D}+",
@@ -64,6 +63,8 @@ CITATIONS = (  # each begins where a word begins
     r"www\.",
     rf"({'|'.join(TEXTBOOKS)}){NOT_BEFORE_WORD}",
 )
+# what a citation can begin with: the textbooks' first letters and those of the patterns above
+CITATION_START = f"[{''.join(sorted({name[0] for name in TEXTBOOKS} | set('rcpvw')))}1-9]"
 SYMBOL = f"[^{W_SET}{S_SET}]"
 TOKEN = f"{W}+|{SYMBOL}"
 TOKEN_AND_SPACE = f"(?:{W}++|{SYMBOL}){S}*+"

@@ -31,10 +31,11 @@ def content_hash(question: ColumnLike, choices: ColumnLike | None = None, ordere
     """md5 over the space-normalised question and choices.
 
     Choices are sorted first, so a shuffled copy counts as a copy; ``ordered``
-    keeps their order.
+    keeps their order.  A null question has a null hash; null choices count.
     """
     parts = F.array(normalize_spaces(question))
     if choices is not None:
         options = F.transform(as_column(choices), normalize_spaces)
         parts = F.concat(parts, options if ordered else F.array_sort(options))
-    return F.md5(F.array_join(parts, V.FIELD_MARK))
+    joined = F.array_join(parts, V.FIELD_MARK, V.FIELD_MARK + "null")
+    return F.when(as_column(question).isNotNull(), F.md5(joined))

@@ -10,6 +10,9 @@ from .choices import choice_at, letter_of, position_of
 from .text import ColumnLike, as_column, blank_to_empty, soften_quotes, trim_ws
 
 
+SHOWN = 4  # choices in a quiz prompt
+
+
 def lettered(choices: ColumnLike, mark: str) -> Column:
     """``A<mark>choice`` for every choice."""
     return F.transform(
@@ -20,7 +23,7 @@ def lettered(choices: ColumnLike, mark: str) -> Column:
 def quiz_prompt(question: ColumnLike, choices: ColumnLike) -> Column:
     """Preamble, question and up to four lettered choices, one per line."""
     lines = F.transform(
-        lettered(F.slice(as_column(choices), 1, 4), ". "),
+        lettered(F.slice(as_column(choices), 1, SHOWN), ". "),
         lambda line: F.concat(F.lit(" "), line, F.lit("\n")),
     )
     return F.concat(
@@ -30,7 +33,9 @@ def quiz_prompt(question: ColumnLike, choices: ColumnLike) -> Column:
 
 
 def quiz_completion(choices: ColumnLike, answer: ColumnLike, rationale: ColumnLike) -> Column:
+    """Letter, choice and rationale; null where the answer is not one of the choices that the prompt shows."""
     position = position_of(answer)
+    position = F.when(position < SHOWN, position)
     return F.concat(
         F.lit(" "), letter_of(position), F.lit(". "), choice_at(choices, position),
         F.lit("\nExplanation: "), trim_ws(rationale),

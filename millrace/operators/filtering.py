@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions.rules import within_tokens
 from ..functions.tokens import TokenCounter, count_tokens
-from .bounded import attach, settled
+from .attach import attach
 from .columns import computed_once
 
 
@@ -35,10 +35,8 @@ def drop_shortest(
     lengths and not with the number of rows.
     """
     size = F.length(text)
-    cuts, small = settled(
-        df.where(size > 0).groupBy(*group).agg(F.percentile(size, F.lit(share)).alias("__cut"))
-    )
-    return attach(df, cuts, list(group), small).where(size > F.col("__cut")).drop("__cut")
+    cuts = df.where(size > 0).groupBy(*group).agg(F.percentile(size, F.lit(share)).alias("__cut"))
+    return attach(df, cuts, list(group)).where(size > F.col("__cut")).drop("__cut")
 
 
 def within_budget(

@@ -1,9 +1,8 @@
 """Removing, keeping and enriching rows by a second table.
 
-Spark chooses between broadcast and shuffle from measured sizes.  Where the join
-key is a value that many rows may share (a question, a subject), the rows of a
-frequent key are spread over ``spread`` tasks and the other side, which holds
-each key once, is repeated that many times.
+All are plain equi-joins in one lazy plan: Spark chooses between broadcast and
+shuffle from the sizes it sees and splits frequent keys.  Long texts are never
+keys; their digests are.
 """
 
 from __future__ import annotations
@@ -11,34 +10,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .columns import computed_once
 from ..functions.text import ColumnLike, as_column, blank_to_empty, canonicalize, trim_ws
 
-SPREAD = 8
 
-
-def spread_join(
-    left: DataFrame, keys: DataFrame, key: str, row_id: str, how: str, spread: int = SPREAD
-) -> DataFrame:
-    """Join on ``key`` where ``left`` may be dominated by one key value.
-
-    ``keys`` holds each key once.  Rows of ``left`` get a slot from their id, so
-    one value is handled by up to ``spread`` tasks.
-    """
-    slots = keys.withColumn("__slot", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    slotted = left.withColumn("__slot", F.pmod(F.xxhash64(row_id), F.lit(spread)).cast("int"))
-    return slotted.join(slots, [key, "__slot"], how).drop("__slot")
+def digest(text: ColumnLike) -> Column:
+    """A 128-bit key of a text (binary md5); null for null."""
+    return F.unhex(F.md5(as_column(text)))
 
 
 def drop_known_questions(
-    df: DataFrame, known: DataFrame, question: str, known_question: str, row_id: str,
-    spread: int = SPREAD,
+    df: DataFrame, known: DataFrame, question: str, known_question: str,
 ) -> DataFrame:
-    """Drop rows whose canonical question also occurs in ``known``."""
-    keys = computed_once(known.select(known_question), __canonical=canonicalize(known_question))
-    keyed = computed_once(df, __canonical=canonicalize(question))
-    keys = keys.select("__canonical").distinct()
-    return spread_join(keyed, keys, "__canonical", row_id, "left_anti", spread).drop("__canonical")
+    """Drop rows whose canonical question also occurs in ``known``.
+
+    Only digests of the known questions are shuffled; rows with a null question stay.
+    """
+    keys = known.select(digest(canonicalize(known_question)).alias("__known")).distinct()
+    keyed = df.withColumn("__key", digest(canonicalize(question)))
+    return keyed.join(keys, F.col("__key") == F.col("__known"), "left_anti").drop("__key")
 
 
 def drop_mismatches(
@@ -72,14 +61,9 @@ def attach_text(
     return df.join(found, row_id, "left").withColumn(name, blank_to_empty(name))
 
 
-def keep_members(df: DataFrame, allowed: DataFrame, key: str, row_id: str, spread: int = SPREAD) -> DataFrame:
+def keep_members(df: DataFrame, allowed: DataFrame, key: str) -> DataFrame:
     """Keep rows whose value occurs in ``allowed`` (each value may occur there often)."""
-    return spread_join(df, allowed.select(key).distinct(), key, row_id, "left_semi", spread)
-
-
-def changed_rows(df: DataFrame, before: ColumnLike, after: ColumnLike) -> DataFrame:
-    """Rows in which a cleaning step changed more than the edges."""
-    return df.where(is_changed(before, after))
+    return df.join(allowed.select(key).distinct(), key, "left_semi")
 
 
 def is_changed(before: ColumnLike, after: ColumnLike) -> Column:

@@ -19,21 +19,20 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed_values as V
-from ..functions.vectors import squared_distance
+from ..functions.keys import hash_key
 from .order import top_k
 
 MAX_SENT_BYTES = 256 * 2**20  # all query vectors (as doubles) or token lists together
 ROWS_PER_BLOCK = 50_000
 QUERIES_PER_BLOCK = 5_000
 SCORES_AT_ONCE = 1_000_000
-DIGITS = 9  # scores are rounded before ranking, so summation order cannot decide a tie
+DIGITS = 12  # significant digits that decide a rank, so summation order cannot decide a tie
+SPARE = 8  # rows kept per query beyond k until their distances are computed exactly
 
 Scorer = Callable[[list], Callable[[list], np.ndarray]]
 
@@ -42,18 +41,28 @@ def _vector_scorer(similarity: str) -> Scorer:
     def prepare(queries: list) -> Callable[[list], np.ndarray]:
         q = np.asarray([np.asarray(v, dtype="float64") for v in queries]) if isinstance(queries, list) else queries
         q_norm = np.sqrt((q * q).sum(axis=1))
+        middle = q.mean(axis=0)
 
         def score(rows: list) -> np.ndarray:
             x = np.asarray([np.asarray(v, dtype="float64") for v in rows])
-            products = x @ q.T
+            products = x @ q.T if similarity != "l2" else None
             if similarity == "l2":
-                squares = (x * x).sum(axis=1)[:, None] + (q_norm**2)[None, :]
-                return -np.maximum(squares - 2 * products, 0.0)
+                # around the queries' middle, where little cancels; ``exact`` settles the rest
+                near, asked = x - middle, q - middle
+                squares = (near * near).sum(axis=1)[:, None] + (asked * asked).sum(axis=1)[None, :]
+                return -np.maximum(squares - 2 * (near @ asked.T), 0.0)
             if similarity == "cosine":
                 lengths = np.sqrt((x * x).sum(axis=1))[:, None] * q_norm[None, :]
                 return np.divide(products, lengths, out=np.zeros_like(products), where=lengths > 0)
             return products
 
+        def exact(rows: list, picked: np.ndarray) -> np.ndarray:
+            """Negative squared distances of the picked rows (one line per query) from the differences."""
+            x = np.asarray([np.asarray(v, dtype="float64") for v in rows])
+            return np.stack([-((x[line] - q) ** 2).sum(axis=1) for line in picked])
+
+        if similarity == "l2":
+            score.exact = exact
         return score
 
     return prepare
@@ -93,7 +102,13 @@ def _jaccard_scorer() -> Scorer:
 
 def _best_of(k: int, scorer: Scorer, names: tuple[str, str, str]) -> Callable:
     """``(query_ids, queries, batches) -> frame`` with the k best rows per query."""
-    digits, at_once = DIGITS, SCORES_AT_ONCE
+    digits, at_once, spare = DIGITS, SCORES_AT_ONCE, SPARE
+
+    def significant(scores: np.ndarray) -> np.ndarray:
+        with np.errstate(divide="ignore", invalid="ignore"):
+            scale = 10.0 ** (digits - 1 - np.floor(np.log10(np.abs(scores))))
+        return np.where(np.isfinite(scale), np.round(scores * scale) / scale, scores)
+
     query_name, row_name, score_name = names
 
     def best(query_ids: list, queries: list, batches: Iterator[tuple[list, list]]) -> pd.DataFrame:
@@ -108,14 +123,16 @@ def _best_of(k: int, scorer: Scorer, names: tuple[str, str, str]) -> Callable:
                 ids, values = [ids[i] for i in present], [values[i] for i in present]
             for start in range(0, len(ids), step):
                 part = ids[start : start + step]
-                scores = np.round(score(values[start : start + step]), digits)
+                exact = getattr(score, "exact", None)
                 order = sorted(range(len(part)), key=part.__getitem__)
                 part = np.asarray([part[i] for i in order], dtype=object)
-                scores = scores[order]
+                own = [values[start + i] for i in order]
+                scores = score(own) if exact else significant(score(own))
                 picked_scores, picked_ids = [top_scores], [top_ids]
-                for _ in range(min(k, len(part))):
+                for _ in range(min(k + (spare if exact else 0), len(part))):
                     first = scores.argmax(axis=0)
-                    picked_scores.append(scores[first, np.arange(width)][None, :])
+                    kept = significant(exact(own, first[None, :])) if exact else scores[first, np.arange(width)][None, :]
+                    picked_scores.append(kept)
                     picked_ids.append(part[first][None, :])
                     scores[first, np.arange(width)] = -np.inf
                 all_scores = np.concatenate(picked_scores)
@@ -249,13 +266,65 @@ def nearest_rows(
     return found.select(center_id, row_id, (F.lit(0.0) - F.col("score")).alias("d2"))
 
 
+def _nearest_center(sent, row_id: str | None = None) -> Callable:
+    """Per task: the sums of the rows of each center, or with ``row_id`` the nearest row of each."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        centers = sent.value
+        squares = (centers * centers).sum(axis=1)
+        totals, counts = np.zeros_like(centers), np.zeros(len(centers), "int64")
+        best: dict[int, tuple] = {}
+        for frame in frames:
+            step = max(1, SCORES_AT_ONCE // len(centers))
+            for start in range(0, len(frame), step):
+                part = frame.iloc[start : start + step]
+                x = np.asarray([np.asarray(v, dtype="float64") for v in part["__value"]])
+                own = (squares[None, :] - 2 * (x @ centers.T)).argmin(axis=1)
+                np.add.at(totals, own, x)
+                counts += np.bincount(own, minlength=len(centers))
+                if row_id:
+                    d2 = ((x - centers[own]) ** 2).sum(axis=1)
+                    for cluster, pair in zip(own.tolist(), zip(d2.tolist(), part[row_id].tolist(), strict=True), strict=True):
+                        best[cluster] = min(best.get(cluster, pair), pair)
+        if not counts.any():  # an empty partition
+            return
+        if row_id:
+            yield pd.DataFrame([(c, i, d) for c, (d, i) in best.items()], columns=["cluster", row_id, "d2"])
+        else:
+            used = np.flatnonzero(counts)
+            yield pd.DataFrame({"cluster": used.astype("int32"), "n": counts[used], "total": list(totals[used])})
+
+    return run
+
+
 def cluster_centers(
-    rows: DataFrame, vector: str, k: int = V.CLUSTERS, iterations: int = V.CLUSTER_ITERATIONS,
+    rows: DataFrame, row_id: str, vector: str, k: int = V.CLUSTERS, iterations: int = V.CLUSTER_ITERATIONS,
     seed: int = V.SEED,
-):
-    """A fitted k-means model over an array column."""
-    features = rows.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features"))
-    return KMeans(k=k, maxIter=iterations, seed=seed, featuresCol="features").fit(features)
+) -> np.ndarray:
+    """k-means centers: Lloyd steps from the k rows whose hashed ids are least.
+
+    Every step is one pass: tasks add up the rows of each center, one sum per
+    center and task is shuffled, and the k new centers come to the driver.  A center
+    without rows stays where it is.  Rows without a vector take no part.
+    """
+    spark = rows.sparkSession
+    given = rows.where(F.col(vector).isNotNull()).select(row_id, F.col(vector).cast("array<double>").alias("__value"))
+    first = given.orderBy(hash_key(seed, row_id), row_id).limit(k).select("__value").collect()
+    centers = np.asarray([r["__value"] for r in first], dtype="float64")
+
+    def added(parts: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum([np.asarray(t) for t in parts["total"]], axis=0)
+        return pd.DataFrame({"cluster": parts["cluster"].iloc[:1], "center": [total / parts["n"].sum()]})
+
+    for _ in range(iterations if len(centers) else 0):
+        sums = given.mapInPandas(_nearest_center(spark.sparkContext.broadcast(centers)), "cluster int, n long, total array<double>")
+        moved = centers.copy()
+        for row in sums.groupBy("cluster").applyInPandas(added, "cluster int, center array<double>").collect():  # k rows
+            moved[row["cluster"]] = row["center"]
+        if np.array_equal(moved, centers):
+            break
+        centers = moved
+    return centers
 
 
 def diverse_rows(
@@ -270,9 +339,10 @@ def diverse_rows(
     pass over all pairs but may differ.  ``distinct`` keeps a row that represents
     several clusters only once.
     """
-    model = cluster_centers(rows, vector, k, iterations, seed)
     # k centers of fixed width: the model itself, whatever the number of rows
-    found_centers = np.asarray(model.clusterCenters(), dtype="float64")
+    found_centers = cluster_centers(rows, row_id, vector, k, iterations, seed)
+    if not len(found_centers):
+        return rows.sparkSession.createDataFrame([], T.StructType([T.StructField("cluster", T.IntegerType()), rows.schema[row_id], T.StructField("d2", T.DoubleType())]))
     offsets = np.arange(0, found_centers.size + 1, found_centers.shape[1], dtype="int32")
     centers = rows.sparkSession.createDataFrame(
         pa.table(
@@ -283,14 +353,11 @@ def diverse_rows(
         )
     )
     if mode == "assigned":
-        labelled = model.transform(
-            rows.select(row_id, array_to_vector(F.col(vector).cast("array<double>")).alias("features"))
-        ).withColumnRenamed("prediction", "cluster")
-        placed = labelled.join(F.broadcast(centers), "cluster").withColumn(
-            "d2", squared_distance(vector_to_array("features"), "center")
-        )
-        found = placed.groupBy("cluster").agg(
-            F.min(F.struct(F.round("d2", DIGITS).alias("d2"), F.col(row_id))).alias("best")
+        given = rows.where(F.col(vector).isNotNull()).select(row_id, F.col(vector).cast("array<double>").alias("__value"))
+        schema = T.StructType([T.StructField("cluster", T.IntegerType()), rows.schema[row_id], T.StructField("d2", T.DoubleType())])
+        sent = rows.sparkSession.sparkContext.broadcast(found_centers)
+        found = given.mapInPandas(_nearest_center(sent, row_id), schema).groupBy("cluster").agg(
+            F.min(F.struct("d2", F.col(row_id))).alias("best")
         ).select("cluster", f"best.{row_id}", "best.d2")
     else:
         found = nearest_rows(rows, centers, row_id, "cluster", vector, "center")

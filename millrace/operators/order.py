@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 
 from ..functions import fixed_values as V
 from ..functions.keys import hash_key
-from .bounded import attach, settled
+from .attach import attach, refuse_columns
 
 KEY, BUCKET, GROUP = "__key", "__bucket", "__group"
 
@@ -48,6 +48,7 @@ def number_order(df: DataFrame, id_column: str, parts: int = 256) -> RowOrder:
     a row, never its rank.
     """
     steps = [i / parts for i in range(1, parts)]
+    # a subquery cannot be the argument of a higher-order function, so the borders are fetched: one small job
     borders = df.agg(F.percentile_approx(id_column, steps, 10 * parts).alias("b")).first()["b"]
     borders = sorted(set(borders or []))
     if not borders:
@@ -70,17 +71,17 @@ def _keyed(df: DataFrame, order: RowOrder, group: Sequence[str]) -> tuple[DataFr
 def with_rank(
     df: DataFrame, order: RowOrder, group: Sequence[str] = (), name: str = "rank"
 ) -> DataFrame:
-    """Dense 1-based rank per group, in one shuffle of the rows."""
+    """Dense 1-based rank per group, in one shuffle of the rows.  ``name`` must be a new column."""
+    refuse_columns(df, name, KEY, BUCKET, GROUP, "__before")
     keyed, by = _keyed(df, order, group)
     counts = keyed.groupBy(*by, BUCKET).agg(F.count("*").alias("__n"))
     before = Window.partitionBy(*by).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    counts, small = settled(counts)
     offsets = counts.select(
         *by, BUCKET, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")
     )
     inside = Window.partitionBy(*by, BUCKET).orderBy(KEY)
     return (
-        attach(keyed, offsets, [*by, BUCKET], small)
+        attach(keyed, offsets, [*by, BUCKET])
         .withColumn(name, F.col("__before") + F.row_number().over(inside))
         .drop(KEY, BUCKET, GROUP, "__before")
     )
@@ -91,17 +92,16 @@ def cut_keys(
     order: RowOrder,
     marks: dict[str, Callable[[Column], Column]],
     group: Sequence[str] = (),
-) -> tuple[DataFrame, bool]:
+) -> DataFrame:
     """Per group and mark, the key of the row at that 1-based position.
 
     ``marks`` maps a column name to a function of the group's row count.  A
     position of 0 gives a null key; one past the end gives the last key.  Only
-    the order key is read, and only the buckets holding a mark are sorted.  The
-    second result tells whether the table is small enough to broadcast.
+    the order key is read, and only the buckets holding a mark are sorted.
     """
     keyed, by = _keyed(df, order, group)
     keyed = keyed.select(*by, KEY, BUCKET)
-    counts, small = settled(keyed.groupBy(*by, BUCKET).agg(F.count("*").alias("__n")))
+    counts = keyed.groupBy(*by, BUCKET).agg(F.count("*").alias("__n"))
     whole = Window.partitionBy(*by)
     totals = counts.select(
         *by, BUCKET, "__n",
@@ -122,18 +122,14 @@ def cut_keys(
         .where("__m.at > __upto - __n and __m.at <= __upto")
         .select(*by, BUCKET, F.col("__m.mark").alias("__mark"), F.expr("__m.at - (__upto - __n)").alias("__nth"))
     )
-    if not small:
-        hits, small = settled(hits)
     inside = Window.partitionBy(*by, BUCKET, "__mark").orderBy(KEY)
-    found = (
-        attach(keyed, hits, [*by, BUCKET], small, how="inner")
+    return (
+        attach(keyed, hits, [*by, BUCKET], how="inner")
         .withColumn("__pos", F.row_number().over(inside))
         .where("__pos = __nth")
         .groupBy(*by)
         .agg(*[F.max(F.when(F.col("__mark") == m, F.col(KEY))).alias(m) for m in marks])
     )
-    # one row per group, so no more rows than the table that was measured
-    return found, small
 
 
 def attach_cut_keys(
@@ -144,9 +140,9 @@ def attach_cut_keys(
 
     ``within`` restricts which rows are counted; all rows of ``df`` are returned.
     """
-    cuts, small = cut_keys(df if within is None else within, order, marks, group)
+    cuts = cut_keys(df if within is None else within, order, marks, group)
     if group:
-        return attach(df, cuts, group, small)
+        return attach(df, cuts, group)
     keys = cuts.select(F.struct(*marks)).scalar()
     return df.withColumns({mark: keys[mark] for mark in marks})
 
@@ -158,13 +154,14 @@ def seeded_shuffle(df: DataFrame, id_column: str, seed: int | str = V.SEED) -> D
 
 
 def sample_rows(
-    df: DataFrame, id_column: str, rows: int, seed: int | str = V.SEED, group: Sequence[str] = ()
+    df: DataFrame, id_column: str, rows: int, seed: int | str = V.SEED, group: Sequence[str] = (),
+    digits: int = 3,
 ) -> DataFrame:
     """``min(rows, size)`` rows (per group) without replacement.
 
     A filter against one key per group, so the size of the sample does not matter.
     """
-    order = hash_order(id_column, seed)
+    order = hash_order(id_column, seed, digits)
     marked = attach_cut_keys(df, order, {"__cut": lambda total: F.lit(rows)}, group)
     return marked.where(order.key <= F.col("__cut")).drop("__cut")
 

@@ -75,7 +75,7 @@ def composition(df: DataFrame, source: str = "dataset", split: str = "split") ->
     levels = counts.cube(source, split).agg(
         F.sum("rows").alias("rows"), F.grouping_id().alias("__level")
     )
-    whole = F.max(F.when(F.col("__level") == 3, F.col("rows"))).over(Window.partitionBy())
+    whole = counts.agg(F.sum("rows").alias("rows")).scalar()
     return levels.select(
         F.when(F.col("__level") >= 2, "(all)").otherwise(F.col(source)).alias(source),
         F.when(F.col("__level") % 2 == 1, "(all)").otherwise(F.col(split)).alias(split),

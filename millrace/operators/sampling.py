@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+from math import lcm
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import fixed_values as V
 from ..functions.keys import hash_key, hash_number
-from .bounded import attach, settled
+from .attach import attach, refuse_columns
 from .order import attach_cut_keys, hash_order
 
 
-def weight_of(key: str, weights: dict[str, float], scale: int = 100) -> Column:
-    """Integer weight of a value, from a constant map; null for values not in it."""
-    entries = [F.lit(x) for k, w in weights.items() for x in (k, round(w * scale))]
+COPIES_AT_ONCE = 1000
+
+
+def whole_weights(weights: dict[str, float]) -> dict[str, int]:
+    """The weights, as they are written, times the smallest number that makes all of them whole."""
+    exact = {key: Fraction(str(weight)) for key, weight in weights.items()}
+    scale = lcm(*[weight.denominator for weight in exact.values()])
+    return {key: int(weight * scale) for key, weight in exact.items()}
+
+
+def weight_of(key: str, weights: dict[str, float]) -> Column:
+    """Integer weight of a value, from a constant map, in exact proportion; null for values not in it."""
+    entries = [F.lit(x) for k, w in whole_weights(weights).items() for x in (k, w)]
     return F.try_element_at(F.create_map(*entries), F.col(key)).cast("bigint")
 
 
@@ -39,6 +52,7 @@ def weighted_resample(
     Rows with a null or non-positive weight take no part.  ``copy`` numbers the
     draws of one row from 1.
     """
+    refuse_columns(df, copy_name, "__hit", "__draws")
     usable = df.where(F.col(weight) > 0)
     key = hash_key(seed, id_column)
     narrow = usable.select(
@@ -47,7 +61,6 @@ def weighted_resample(
 
     pieces = 16**digits
     sums = narrow.groupBy("__bucket").agg(F.sum("__w").alias("__sum"))
-    sums, small = settled(sums, pieces)
     along = Window.partitionBy().orderBy("__bucket")
     line = sums.select(
         "__bucket",
@@ -58,7 +71,7 @@ def weighted_resample(
 
     # rows as intervals, one entry per piece of the line they touch
     inside = Window.partitionBy("__bucket").orderBy("__key").rowsBetween(Window.unboundedPreceding, 0)
-    placed = attach(narrow, line.select("__bucket", "__from", "__step"), ["__bucket"], small)
+    placed = attach(narrow, line.select("__bucket", "__from", "__step"), ["__bucket"])
     ends = placed.withColumn("__hi", F.col("__from") + F.sum("__w").over(inside))
     intervals = ends.withColumn("__lo", F.col("__hi") - F.col("__w")).select(
         "__bucket",
@@ -83,7 +96,7 @@ def weighted_resample(
         (hash_number(hash_key(f"{seed}-draw", "__id")) % F.col("__line")).alias("__pos"), "__step"
     ).withColumn("__piece", F.expr("__pos div __step"))
     points = (
-        attach(thrown, touched, ["__piece"], small, how="inner")
+        attach(thrown, touched, ["__piece"], how="inner")
         .where("__pos >= __from and __pos < __to")
         .select("__bucket", "__piece", "__pos", F.lit(1).alias("__kind"), F.lit(None).cast(narrow.schema["__id"].dataType).alias("__id"))
     )
@@ -98,11 +111,24 @@ def weighted_resample(
         .where("__kind = 1")
         .groupBy("__hit").agg(F.count("*").alias("__draws"))
     )
-    return (
-        usable.join(drawn, F.col(id_column) == F.col("__hit"))
-        .withColumn(copy_name, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__draws"))))
-        .drop("__hit", "__draws")
+    met = usable.join(drawn, F.col(id_column) == F.col("__hit"))
+    return copied(met, F.col("__draws"), id_column, copy_name).drop("__hit", "__draws")
+
+
+def copied(df: DataFrame, copies: Column, id_column: str, copy_name: str) -> DataFrame:
+    """Every row ``copies`` times, numbered from 1.
+
+    A row first becomes one row per COPIES_AT_ONCE copies; those are dealt out by
+    (id, part), so the copies of one row are made by many tasks.
+    """
+    parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("__copies") - 1) / COPIES_AT_ONCE)))
+    dealt = (
+        df.withColumn("__copies", copies).where("__copies > 0").withColumn("__part", parts)
+        .repartition(F.col(id_column), "__part")
     )
+    first = F.col("__part") * COPIES_AT_ONCE
+    numbers = F.sequence(first + 1, F.least(F.col("__copies"), first + COPIES_AT_ONCE))
+    return dealt.withColumn(copy_name, F.explode(numbers)).drop("__copies", "__part")
 
 
 def mix_sources(
@@ -116,9 +142,9 @@ def mix_sources(
     quota div size times, plus once more for the remainder, chosen by hash.  Rows
     of sources without a share are left out.
     """
+    refuse_columns(df, copy_name, "__size", "__quota", "__cut")
     named = df.where(F.col(source).isin(list(shares)))
-    # one row per named source, so at most len(shares) rows
-    sizes, small = settled(named.groupBy(source).agg(F.count("*").alias("__size")), len(shares))
+    sizes = named.groupBy(source).agg(F.count("*").alias("__size"))
     share = F.element_at(
         F.create_map(*[F.lit(x) for pair in shares.items() for x in pair]), F.col(source)
     )
@@ -126,14 +152,11 @@ def mix_sources(
     quota = F.floor(rows * share + F.lit(0.5)).cast("bigint")
 
     order = hash_order(id_column, seed)
-    counted = attach(named, sizes.withColumn("__quota", quota), [source], small)
+    counted = attach(named, sizes.withColumn("__quota", quota), [source])
     marked = attach_cut_keys(counted, order, {"__cut": lambda size: quota % size}, group=[source])
     once_more = F.when(order.key <= F.col("__cut"), 1).otherwise(0)
     copies = F.expr("__quota div __size") + once_more
-    return (
-        marked.withColumn(copy_name, F.explode(F.sequence(F.lit(1).cast("bigint"), copies)))
-        .drop("__size", "__quota", "__cut")
-    )
+    return copied(marked, copies, id_column, copy_name).drop("__size", "__quota", "__cut")
 
 
 def mix_order(id_column: str, source: str = "dataset", copy_name: str = "copy", seed: int | str = V.SEED) -> Column:

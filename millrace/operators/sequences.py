@@ -12,17 +12,26 @@ from ..functions import fixed_values as V
 from ..functions.tokens import (
     TokenCounter, count_tokens, cut, masked_labels, ones, padded, passages, split_tokens,
 )
-from ..session import staged
-from .order import cut_keys, number_order
+from .order import number_order
 
 
 def masked_sequences(
-    df: DataFrame, prompt_ids: str, completion_ids: str, limit: int = V.QUIZ_TOKENS
+    df: DataFrame, prompt_ids: str, completion_ids: str, limit: int = V.QUIZ_TOKENS,
+    end_id: int | None = None,
 ) -> DataFrame:
-    """Prompt and completion ids joined, the prompt masked in the labels, cut at ``limit``."""
-    ids = cut(F.concat(prompt_ids, completion_ids), limit)
-    labels = cut(masked_labels(prompt_ids, completion_ids), limit)
-    return df.withColumns({"input_ids": ids, "labels": labels, "attention_mask": ones(ids)})
+    """Prompt and completion ids joined, the prompt masked in the labels, cut at ``limit``.
+
+    ``end_id`` closes the completion before the cut.  ``dropped`` counts the tokens
+    that the cut took away.
+    """
+    completion = F.col(completion_ids)
+    if end_id is not None:
+        completion = F.concat(completion, F.array(F.lit(end_id)))
+    whole = F.concat(F.col(prompt_ids), completion)
+    ids = cut(whole, limit)
+    labels = cut(masked_labels(prompt_ids, completion), limit)
+    dropped = F.greatest(F.lit(0), F.size(whole) - limit)
+    return df.withColumns({"input_ids": ids, "labels": labels, "attention_mask": ones(ids), "dropped": dropped})
 
 
 def padded_sequences(
@@ -31,7 +40,9 @@ def padded_sequences(
     """The full text's ids cut and padded to ``limit``; labels masked over the prompt only.
 
     Padding keeps its id in the labels; only the attention mask tells it apart.
+    ``dropped`` counts the tokens that the cut took away.
     """
+    dropped = F.greatest(F.lit(0), F.size(F.col(full_ids)) - limit)
     short = cut(full_ids, limit)
     ids = padded(short, F.lit(limit), fill)
     hidden = F.least(F.size(F.col(prompt_ids)), F.lit(limit))
@@ -39,7 +50,7 @@ def padded_sequences(
         F.array_repeat(F.lit(V.MASK), hidden), F.slice(ids, hidden + 1, F.lit(limit))
     )
     return df.withColumns(
-        {"input_ids": ids, "labels": labels, "attention_mask": padded(ones(short), F.lit(limit), 0)}
+        {"input_ids": ids, "labels": labels, "attention_mask": padded(ones(short), F.lit(limit), 0), "dropped": dropped}
     )
 
 
@@ -66,25 +77,30 @@ def chunk_passages(
 
 
 def first_passages(
-    df: DataFrame, id_column: str, text: str, size: int = V.PASSAGE_TOKENS, most: int = V.MAX_PASSAGES,
+    df: DataFrame, id_column: str, text: str, size: int = V.PASSAGE_TOKENS, most: int | None = None,
     counter: TokenCounter = count_tokens, splitter: Callable[[Column], Column] = split_tokens,
 ) -> DataFrame:
-    """The first ``most`` passages by document and passage number (numeric ids).
+    """All passages, or the first ``most`` by document and passage number (numeric ids).
 
-    The retrieval setting that bounds the searched corpus.  The last document to
-    take part is found from a narrow table of passage counts; only documents up to it
-    are split into tokens.
+    With ``most``, a running sum of passage counts, bucket by bucket, tells how
+    many passages lie before each document; only documents that begin within the
+    limit are split into tokens.  ``counter`` and ``splitter`` must agree.
     """
-    pieces = F.ceil(counter(F.col(text)) / size).cast("int")
-    counted = staged(df.select(id_column, pieces.alias("__pieces")), "passage-counts")
-    numbered = counted.select(id_column, F.explode(F.array_repeat(F.lit(True), F.col("__pieces"))))
-    cuts, _ = cut_keys(
-        numbered, number_order(counted, id_column), {"__last": lambda total: F.lit(most)}
+    if most is None:
+        tokens = df.select(id_column, splitter(F.col(text)).alias("__tokens"))
+        return chunk_passages(tokens, id_column, "__tokens", size)
+    pieces = F.ceil(counter(F.col(text)) / size).cast("bigint")
+    order = number_order(df, id_column)
+    counted = df.select(id_column, order.bucket.alias("__bucket"), pieces.alias("__pieces"))
+    sums = counted.groupBy("__bucket").agg(F.sum("__pieces").alias("__sum"))
+    ahead = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket
+    sums = sums.select(F.col("__bucket").alias("__b"), F.coalesce(F.sum("__sum").over(ahead), F.lit(0)).alias("__ahead"))
+    inside = Window.partitionBy("__bucket").orderBy(id_column).rowsBetween(Window.unboundedPreceding, -1)
+    placed = (
+        counted.join(sums.where(F.col("__ahead") < most), F.col("__bucket") == F.col("__b"))
+        .withColumn("__before", F.col("__ahead") + F.coalesce(F.sum("__pieces").over(inside), F.lit(0)))
+        .where(F.col("__before") < most).select(id_column, "__before")
     )
-    last = cuts.select("__last").scalar()
-    before = counted.where(F.col(id_column) < last).agg(
-        F.coalesce(F.sum("__pieces"), F.lit(0)).alias("rows")
-    ).scalar()
-    tokens = df.where(F.col(id_column) <= last).select(id_column, splitter(F.col(text)).alias("__tokens"))
-    chunks = chunk_passages(tokens, id_column, "__tokens", size)
-    return chunks.where((F.col(id_column) < last) | (F.col("passage_no") < F.lit(most) - before))
+    tokens = df.join(placed, id_column).select(id_column, "__before", splitter(F.col(text)).alias("__tokens"))
+    chunks = chunk_passages(tokens, id_column, "__tokens", size, ["__before"])
+    return chunks.where(F.col("__before") + F.col("passage_no") < most).drop("__before")

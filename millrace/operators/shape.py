@@ -68,7 +68,7 @@ def from_aqua(df: DataFrame, row_id: str = "row_id") -> DataFrame:
 def _labelled(df: DataFrame, question: str, row_id: str, prefix: Column, seed: int | str) -> DataFrame:
     texts = F.col("choices.text")
     position = index_in("choices.label", "answerKey")
-    correct = choice_at(texts, position)
+    correct = F.when(position >= 0, choice_at(texts, position))
     final = F.when(F.size(texts) > 4, sampled_choices(texts, position, seed, row_id)).otherwise(texts)
     return df.withColumns({"__correct": correct, "__final": final}).select(
         *_carried(df, row_id), F.concat(prefix, F.col(row_id).cast("string")).alias("question_id"),
@@ -77,12 +77,28 @@ def _labelled(df: DataFrame, question: str, row_id: str, prefix: Column, seed: i
     )
 
 
+def has_key() -> Column:
+    """The answer key is one of the labels and its text is there."""
+    position = index_in("choices.label", "answerKey")
+    return F.coalesce((position >= 0) & (position < F.size("choices.text")), F.lit(False))
+
+
+def without_key(df: DataFrame) -> DataFrame:
+    """The rows that ``from_arc`` and ``from_openbook`` reject: no text for their answer key."""
+    return df.where(~has_key())
+
+
 def from_arc(df: DataFrame, row_id: str = "row_id", dataset: str = "ai2_arc_challenge", seed: int | str = V.SEED) -> DataFrame:
-    """Correct text found by its label; more than four choices cut to four."""
+    """Correct text found by its label; more than four choices cut to four.
+
+    Rows whose key is not among the labels are rejected, see ``without_key``.
+    """
+    df = df.where(has_key())
     return _labelled(df, "question", row_id, F.lit(f"{dataset}_"), seed).withColumn("dataset", F.lit(dataset))
 
 
 def from_openbook(df: DataFrame, row_id: str = "row_id", seed: int | str = V.SEED) -> DataFrame:
+    df = df.where(has_key())
     prefix = F.concat(F.col("split"), F.lit("_")) if "split" in df.columns else F.lit("openbookqa_")
     return _labelled(df, "question_stem", row_id, prefix, seed)
 

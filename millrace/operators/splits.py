@@ -13,16 +13,16 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions.keys import below_fraction, hash_key
-from .bounded import attach, settled
+from .attach import attach
 from .order import attach_cut_keys, hash_order
 
 
 def holdout(
     df: DataFrame, id_column: str, rows: int = V.HOLDOUT_ROWS, seed: int | str = V.SEED,
-    split: str = "split", source: str = "train", target: str = "validation",
+    split: str = "split", source: str = "train", target: str = "validation", digits: int = 3,
 ) -> DataFrame:
     """Move exactly ``rows`` randomly chosen rows of one split to another."""
-    order = hash_order(id_column, seed)
+    order = hash_order(id_column, seed, digits)
     inside = df.where(F.col(split) == source)
     marked = attach_cut_keys(df, order, {"__cut": lambda total: F.lit(rows)}, within=inside)
     moved = (F.col(split) == source) & (order.key <= F.col("__cut"))
@@ -31,10 +31,10 @@ def holdout(
 
 def top_up_validation(
     df: DataFrame, id_column: str, share: float | None = V.AQUA_TOPUP_SHARE, rows: int | None = None,
-    seed: int | str = V.SEED, split: str = "split",
+    seed: int | str = V.SEED, split: str = "split", digits: int = 3,
 ) -> DataFrame:
     """Move a share (rounded down) or a fixed number of train rows to validation."""
-    order = hash_order(id_column, seed)
+    order = hash_order(id_column, seed, digits)
     inside = df.where(F.col(split) == "train")
     size = (lambda total: F.lit(rows)) if rows is not None else (lambda total: F.floor(total * F.lit(share)))
     marked = attach_cut_keys(df, order, {"__cut": size}, within=inside)
@@ -45,9 +45,10 @@ def top_up_validation(
 def three_way_split(
     df: DataFrame, id_column: str, test_share: float = 0.1, validation_share: float = 0.1,
     seed: int | str = V.SEED, group: Sequence[str] = (), split: str = "split",
+    digits: int = 3,
 ) -> DataFrame:
     """Per group: the first share is test, the next validation, the rest train."""
-    order = hash_order(id_column, seed)
+    order = hash_order(id_column, seed, digits)
 
     def test_rows(total):
         return F.floor(total * F.lit(test_share))
@@ -75,8 +76,6 @@ def drop_split(df: DataFrame, name: str = "test", split: str = "split") -> DataF
 
 def evaluation_split(df: DataFrame, dataset: str = "dataset", split: str = "split") -> DataFrame:
     """Each dataset's validation rows, or its test rows where it has no validation."""
-    present, small = settled(
-        df.groupBy(dataset).agg(F.max(F.col(split) == "validation").alias("__has"))
-    )
+    present = df.groupBy(dataset).agg(F.max(F.col(split) == "validation").alias("__has"))
     wanted = F.when(F.col("__has"), "validation").otherwise("test")
-    return attach(df, present, [dataset], small).where(F.col(split) == wanted).drop("__has")
+    return attach(df, present, [dataset]).where(F.col(split) == wanted).drop("__has")

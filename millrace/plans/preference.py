@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
+from ..functions.keys import hash_key
 from ..functions.rules import is_usable_preference
 from ..functions.tokens import TokenCounter, count_tokens
 from ..operators.columns import computed_once
@@ -25,13 +26,18 @@ def usable_pairs(
 
 
 def preference_corpus(
-    math: DataFrame, code: DataFrame, row_id: str = "row_id", math_rows: int = V.MATH_ROWS,
-    code_rows: int = V.CODE_ROWS, test_share: float = 0.1, validation_share: float = 0.1,
+    math: DataFrame, code: DataFrame, row_id: str = "row_id", math_rows: int | None = None,
+    code_rows: int | None = None, test_share: float = 0.1, validation_share: float = 0.1,
     counter: TokenCounter = count_tokens, seed: int = V.SEED,
 ) -> DataFrame:
-    """``prompt, chosen, rejected, dataset, id, split``; split sizes exact per source."""
-    math_pairs = from_math_preferences(sample_rows(math, row_id, math_rows, seed), row_id)
-    code_pairs = from_code_preferences(sample_rows(code, row_id, code_rows, seed), row_id)
+    """``prompt, chosen, rejected, dataset, id, split, shuffle_key``; split sizes exact per source.
+
+    All rows take part unless ``math_rows`` or ``code_rows`` asks for a sample.
+    """
+    math = math if math_rows is None else sample_rows(math, row_id, math_rows, seed)
+    code = code if code_rows is None else sample_rows(code, row_id, code_rows, seed)
+    math_pairs, code_pairs = from_math_preferences(math, row_id), from_code_preferences(code, row_id)
     both = union_sources([math_pairs.select(*COLUMNS), code_pairs.select(*COLUMNS)])
     usable = staged(usable_pairs(computed_once(both, prompt=F.col("prompt")), counter), "preferences")
-    return three_way_split(usable, "id", test_share, validation_share, seed, group=["dataset"])
+    split = three_way_split(usable, "id", test_share, validation_share, seed, group=["dataset"])
+    return split.withColumn("shuffle_key", hash_key(seed, "dataset", "id"))

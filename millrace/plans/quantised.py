@@ -18,10 +18,10 @@ def hashed_encoder(text: ColumnLike) -> Column:
 
 
 def quantised_sequences(
-    df: DataFrame, row_id: str, encode=hashed_encoder, fraction: float = 0.15,
+    df: DataFrame, row_id: str, encode=hashed_encoder, fraction: float = 1.0,
     limit: int = V.PADDED_TOKENS, fill: int = 0, seed: int = V.SEED,
 ) -> DataFrame:
-    """A random fraction as ``input_ids, labels, attention_mask`` of equal length."""
+    """All rows (or a random fraction of them) as ``input_ids, labels, attention_mask`` of equal length."""
     prompt = plain_prompt("question", "choices")
     full = F.concat(prompt, F.lit("\n"), plain_completion("choices", "answer", "rationale"))
     encoded = random_fraction(df, row_id, fraction, seed).select(

@@ -5,8 +5,6 @@ Raw tables carry ``row_id`` (unique over all splits) and ``split``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,7 +52,7 @@ def aqua_rows(raw: DataFrame, known: DataFrame, known_question: str = "Problem",
     ``original`` keeps the rationale from before the deletion, for the review.
     """
     valid = has_required_fields("question", "rationale", "correct", "options")
-    fresh = drop_known_questions(raw.where(valid), known, "question", known_question, row_id)
+    fresh = drop_known_questions(raw.where(valid), known, "question", known_question)
     rows = from_aqua(fresh, row_id).withColumnRenamed("rationale", "original")
     return computed_once(rows, rationale=strip_answer_statements("original", "answer"))
 
@@ -123,11 +121,15 @@ def openbook_corpus(raw: DataFrame, rationales: DataFrame, row_id: str = "row_id
 
 def joint_corpus(
     sciq: DataFrame, aqua: DataFrame, medmcqa: DataFrame, arc: DataFrame, openbook: DataFrame,
+    row_id: str = "row_id", seed: int = V.SEED,
 ) -> DataFrame:
-    """The five sources as one table of train and validation rows."""
+    """The five sources as one table of train and validation rows.
+
+    Sorting by ``shuffle_key`` puts the rows of all sources in one seeded order.
+    """
     tables = [sciq, tag_source(aqua, "aqua_rat"), medmcqa, arc, openbook]
     joint = union_sources(tables).where(F.col("split").isin("train", "validation"))
-    return joint.drop("question_id", "subject_name")
+    return joint.drop("question_id", "subject_name").withColumn("shuffle_key", hash_key(seed, "dataset", row_id))
 
 
 def mixed_training(
@@ -147,6 +149,9 @@ def mixed_training(
     )
 
 
-def shuffled_rows(df: DataFrame, columns: Sequence[str], seed: int = V.SEED) -> DataFrame:
-    """Seeded order for tables without an id column, by the hash of their content."""
-    return df.orderBy(hash_key(seed, *columns))
+def formatted_validation(joint: DataFrame) -> DataFrame:
+    """The validation rows of all sources, unmixed, as prompt and completion with a sort key."""
+    return joint.where(F.col("split") == "validation").select(
+        F.col("shuffle_key"), "dataset", quiz_prompt("question", "choices").alias("prompt"),
+        quiz_completion("choices", "answer", "rationale").alias("completion"),
+    )

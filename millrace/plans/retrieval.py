@@ -9,7 +9,7 @@ from ..functions import fixed_values as V
 from ..functions.prompts import answer_candidate, hint_candidate, joined_paragraphs
 from ..functions.rules import has_text, keeps_in_corpus
 from ..functions.text import soften_quotes
-from ..functions.tokens import TokenCounter, count_tokens
+from ..functions.tokens import TokenCounter, count_tokens, split_tokens
 from ..operators.columns import computed_once
 from ..operators.filtering import within_budget
 from ..operators.nearest import best_rows, diverse_rows
@@ -93,10 +93,11 @@ def encoder_input(pairs: DataFrame, id_column: str, seed: int = V.SEED) -> DataF
 
 
 def searchable_passages(
-    documents: DataFrame, id_column: str, text: str, size: int = V.PASSAGE_TOKENS, most: int = V.MAX_PASSAGES
+    documents: DataFrame, id_column: str, text: str, size: int = V.PASSAGE_TOKENS, most: int | None = None,
+    counter: TokenCounter = count_tokens, splitter=split_tokens,
 ) -> DataFrame:
-    """The first passages of a corpus: ``id, passage_no, passage`` (token list)."""
-    return first_passages(documents, id_column, text, size, most)
+    """The passages of a corpus, all or the first ``most``: ``id, passage_no, passage`` (token list)."""
+    return first_passages(documents, id_column, text, size, most, counter, splitter)
 
 
 def retrieve(

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +26,8 @@ def local_session(cpus: int | str = "*", app: str = "millrace") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.files.maxPartitionBytes", "4m")  # small files are still read by all cores
+        .config("spark.sql.files.openCostInBytes", "256k")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
@@ -30,6 +35,14 @@ def local_session(cpus: int | str = "*", app: str = "millrace") -> SparkSession:
     )
 
 
+@cache
+def _own_folder() -> str:
+    """One temporary folder for this process; it goes with the process."""
+    root = tempfile.mkdtemp(prefix="millrace-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path for an intermediate table or a stream checkpoint.
 
@@ -41,7 +54,7 @@ def work_path(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="millrace-")
+        root = _own_folder()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

@@ -8,16 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def dealt_out(df: DataFrame) -> DataFrame:
-    """Rows over as many tasks as the session runs at once.
-
-    For costly work on a table of few large row groups.  A scan that already has
-    that many partitions is returned as it is.
-    """
-    width = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= width else df.repartition(width)
-
-
 @dataclass(frozen=True)
 class Source:
     path: str

@@ -48,9 +48,12 @@ def first_seen(
     """One row per key over the life of the stream.
 
     Without a time column the state holds every key ever seen.  With one, keys
-    are forgotten once ``lateness`` has passed, which bounds the state.
+    are forgotten once ``lateness`` has passed, which bounds the state; rows that
+    come later than that are dropped, so it has to be given (``ValueError``).
     """
+    if time is not None and lateness is None:
+        raise ValueError("state the lateness: later rows are dropped")
     keyed = stream.withColumn(name, key)
     if time is None:
         return keyed.dropDuplicates([name])
-    return keyed.withWatermark(time, lateness or "1 hour").dropDuplicatesWithinWatermark([name])
+    return keyed.withWatermark(time, lateness).dropDuplicatesWithinWatermark([name])

@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pytest
 
@@ -64,13 +66,35 @@ def test_nearest_rows_and_empty_queries(vectors):
     assert N.nearest_rows(r, q.where("qid = 'none'"), "id", "qid", "v", "w").count() == 0
 
 
-def test_diverse_rows(spark):
-    points = [(i, [float(i % 4) * 10 + (i % 7) * 0.01, float(i % 4)]) for i in range(200)]
-    df = spark.createDataFrame(points, "id int, v array<double>")
-    for mode in ("exact", "assigned"):
-        found = N.diverse_rows(df, "id", "v", k=4, mode=mode).collect()
-        assert sorted(r.id % 4 for r in found) == [0, 1, 2, 3]
-    assert N.diverse_rows(df, "id", "v", k=4, distinct=True).count() == 4
+def lloyd(points, k, steps):
+    """Centers after some steps from the k points whose hashed ids are least."""
+    start = sorted(points, key=lambda p: hashlib.md5(f"42:{p[0]}".encode()).hexdigest())[:k]
+    x, centers = np.array([v for _, v in points]), np.array([v for _, v in start])
+    for _ in range(steps):
+        own = ((x[:, None] - centers[None]) ** 2).sum(-1).argmin(1)
+        centers = np.array([x[own == c].mean(0) if (own == c).any() else centers[c] for c in range(k)])
+    return x, centers
+
+
+def test_diverse_rows_against_lloyd_steps(spark):
+    rng = np.random.default_rng(4)
+    points = [(i, rng.normal(0, 1, 3).tolist()) for i in range(200)]
+    df = spark.createDataFrame([*points, (999, None)], "id int, v array<double>")
+    x, centers = lloyd(points, 6, 4)
+    nearest = ((x[:, None] - centers[None]) ** 2).sum(-1)
+    found = {r.cluster: r.id for r in N.diverse_rows(df, "id", "v", k=6, iterations=4).collect()}
+    assert found == dict(enumerate(nearest.argmin(0).tolist()))
+    own = nearest.argmin(1)
+    assigned = {r.cluster: r.id for r in N.diverse_rows(df, "id", "v", k=6, iterations=4, mode="assigned").collect()}
+    assert assigned == {c: int(np.flatnonzero(own == c)[nearest[own == c, c].argmin()]) for c in range(6)}
+    assert N.diverse_rows(df, "id", "v", k=6, distinct=True).count() == len(set(found.values()))
+    assert N.diverse_rows(df.where("id < 0"), "id", "v", k=6).count() == 0
+
+
+def test_nearest_at_small_and_offset_scale(spark):
+    rows = spark.createDataFrame([(1, [2e-5]), (2, [1e-5]), (3, [0.0]), (4, [1e6]), (5, [1e6 + 1e-4]), (6, [1e6 + 3e-4])], "id int, v array<double>")
+    asked = spark.createDataFrame([(1, [1e-9]), (2, [1e6 + 2.9e-4])], "qid int, w array<double>")
+    assert {r.qid: r.id for r in N.nearest_rows(rows, asked, "id", "qid", "v", "w").collect()} == {1: 3, 2: 6}
 
 
 def test_unknown_similarity(vectors):

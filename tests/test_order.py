@@ -94,15 +94,18 @@ def test_batches_and_empty_input(spark, rows):
     assert O.row_index(empty, O.number_order(empty, "id")).count() == 0
 
 
-def test_large_summaries_stay_distributed(rows, monkeypatch):
-    from millrace.operators import bounded
-
-    expected = sorted(P.three_way_split(rows, "id", group=["g"], split="s").select("id", "s").collect())
-    ranks = sorted(O.with_rank(rows, O.hash_order("id"), ["g"]).select("id", "rank").collect())
-    monkeypatch.setattr(bounded.bounded_copy, "__defaults__", (3,))
-    monkeypatch.setattr(bounded.settled, "__defaults__", (3,))
-    assert sorted(P.three_way_split(rows, "id", group=["g"], split="s").select("id", "s").collect()) == expected
-    assert sorted(O.with_rank(rows, O.hash_order("id"), ["g"]).select("id", "rank").collect()) == ranks
+def test_building_a_plan_runs_no_job(spark, rows):
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    P.three_way_split(rows, "id", group=["g"], split="s")
+    O.with_rank(rows, O.hash_order("id"), ["g"])
+    O.sample_rows(rows, "id", 10)
+    assert set(tracker.getJobIdsForGroup(None)) == before
+
+
+def test_clashing_columns_are_refused(rows):
+    with pytest.raises(ValueError):
+        O.with_rank(rows.withColumn("rank", F.lit(1)), O.hash_order("id"))
 
 
 def test_plans_have_no_cross_join_and_no_global_window(rows):

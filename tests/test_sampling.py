@@ -54,7 +54,8 @@ def test_rows_without_weight_take_no_part(spark):
 def test_weight_lookup(spark):
     df = spark.createDataFrame([("Anatomy",), ("Surgery",), ("Other",)], "s string")
     found = [r.w for r in df.select(W.weight_of("s", {"Anatomy": 0.1, "Surgery": 0.04}).alias("w")).collect()]
-    assert found == [10, 4, None]
+    assert found == [5, 2, None]  # exact proportion
+    assert W.whole_weights({"a": 0.004, "b": 0.125, "c": 1}) == {"a": 4, "b": 125, "c": 1000}
 
 
 def test_mix_shares_and_exhaustion(spark):
