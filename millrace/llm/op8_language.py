@@ -19,7 +19,7 @@ LONGEST, SHORTEST = 5, 1  # lengths of n-grams
 ROWS_PER_LANGUAGE = 2500  # expected number of rows that are learned from
 TERMS_PER_LANGUAGE = 20_000  # most frequent words, and as many n-grams, of a language
 LANGUAGES = 1000  # most languages a model holds; more are an error
-REMEMBERED = 400_000  # words a task keeps the evidence of
+REMEMBERED = 150_000  # words a task keeps the evidence of
 
 
 def words_of(text: str) -> list[str]:
