@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -14,8 +15,10 @@ from millrace.session import staged
 from .base import query, table
 from .hashing import BASE, MARKS, mixed, word_hashes
 
-#: Which of the tokens in a row count (1) and which may differ (0); eight count in each mask.
-MASKS = ("11111111", "1101101011011", "1110010110111")
+#: Which of the tokens in a row count (1) and which may differ (0); six count in each mask.  Chosen by enumeration: one of them
+#: fits somewhere in every stretch of 13 tokens with 2 that differ, 15 with 3, 20 with 4 and 25 with 5.  Every stretch of at least
+#: ``LEAST`` tokens of which ``SAME`` are equal holds one of these: 26 and more can be halved, the rest holds a shorter one.
+MASKS = ("1100101011", "11110011", "1100100000111")
 SPAN = max(map(len, MASKS))
 BITS = 24  # the filter in front of the join has 2**24 bits, 2 MB, whatever the benchmark
 AROUND = 128  # tokens kept on each side of a hit for the comparison
@@ -30,10 +33,26 @@ def tokens_of(text: str | None) -> np.ndarray:
     return word_hashes((text or "").lower(), MARKS)
 
 
-def seeds(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and position of every mask at every place of the token sequence."""
+def whole_masks(length: int) -> list[str]:
+    """Masks over a whole item of ``length`` < ``SPAN`` tokens, one of which fits whichever tokens differ as ``SAME`` allows.
+
+    The tokens are cut into groups, three more than may differ, and every choice of as many groups as tokens is left out.
+    """
+    differ = length - -(-length * round(SAME * 1000) // 1000)
+    groups = np.array_split(np.arange(length), differ + 3 if differ else 1)
+    return ["".join("01"[at not in out] for at in range(length)) for gone in combinations(groups, differ) for out in [set(np.concatenate([[-1], *gone]).tolist())]]
+
+
+def masks_for(lengths: list[int]) -> list[tuple[int, str]]:
+    """Numbered masks for items of these lengths; any length from ``SPAN`` on stands for all of them."""
+    found = list(enumerate(MASKS, 1)) if any(n >= SPAN for n in lengths) else []
+    return found + [(n << 16 | at, mask) for n in sorted({n for n in lengths if n < SPAN}) for at, mask in enumerate(whole_masks(n))]
+
+
+def seeds(tokens: np.ndarray, masks: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and position of every mask at every place of the token sequence; of a hash without gaps over a short item the first place."""
     hashes, places = [], []
-    for number, mask in enumerate(MASKS, 1):
+    for number, mask in masks:
         count = len(tokens) - len(mask) + 1
         if count <= 0:
             continue
@@ -42,18 +61,26 @@ def seeds(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             if used == "1":
                 total *= np.uint64(BASE)
                 total += tokens[at : at + count]
+        if number >> 16 and "0" not in mask:  # a fit is the whole item, so one is enough
+            total, first = np.unique(total, return_index=True)
+            places.append(first)
+        else:
+            places.append(np.arange(count))
         hashes.append(mixed(total))
-        places.append(np.arange(count))
     if not hashes:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return np.concatenate(hashes), np.concatenate(places)
 
 
-def _item_seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for item_id, text in zip(batch["item_id"], batch["text"], strict=True):
-            hashes, places = seeds(tokens_of(text))
-            yield pd.DataFrame({"item_id": item_id, "hash": hashes.astype(np.int64), "item_at": places.astype(np.int32)})
+def _item_seeds(shortest: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for item_id, text in zip(batch["item_id"], batch["text"], strict=True):
+                tokens = tokens_of(text)
+                hashes, places = seeds(tokens, masks_for([len(tokens)]) if len(tokens) >= max(1, shortest) else [])
+                yield pd.DataFrame({"item_id": item_id, "hash": hashes.astype(np.int64), "item_at": places.astype(np.int32)})
+
+    return run
 
 
 def _item_tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -75,7 +102,7 @@ def longest_overlap(equal: np.ndarray, same: float) -> tuple[int, int]:
     return int(starts[best]), int(ends[best] - starts[best])
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, same: float = SAME) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, same: float = SAME, shortest: int = 8) -> DataFrame:
     """The overlaps of documents (doc_id, text) with benchmark items (item_id, text).
 
     One row per document and item that overlap: doc_id, item_id, ``doc_start``
@@ -84,7 +111,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, same
     where a mask fits both sides, the sequences are compared token by token
     (``AROUND`` tokens to each side), and the longest stretch with at least
     ``same`` equal tokens must span ``least`` tokens or the whole item, if that
-    is shorter.  Items shorter than eight tokens have no seed and never match.
+    is shorter.  With ``least`` and ``same`` as they are, or greater, every such
+    stretch holds a mask that fits, so none is missed.  Items shorter than
+    ``shortest`` tokens have no seed and never match; from 1 on all match.
 
     The filter only holds back hashes that no item has; the join on the hash
     and the comparison decide.  A null or empty text on either side overlaps
@@ -93,7 +122,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, same
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long"), "text").where("text IS NOT NULL")
-    item_seeds = items.mapInPandas(_item_seeds, "item_id long, hash long, item_at int")
+    item_tokens = items.mapInPandas(_item_tokens, "item_id long, item_tokens binary")
+    item_seeds = items.mapInPandas(_item_seeds(shortest), "item_id long, hash long, item_at int")
+    lengths = item_tokens.select(F.least(F.lit(SPAN), F.octet_length("item_tokens") / 8).cast("int").alias("n")).distinct().collect()  # at most SPAN + 1
+    masks = masks_for([r["n"] for r in lengths if r["n"] >= max(1, shortest)])
     bit = F.shiftrightunsigned("hash", 64 - BITS)
     blocks = (
         item_seeds.select(bit.alias("bit")).distinct()
@@ -114,7 +146,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, same
             rows = []
             for doc_id, key, text in zip(batch["doc_id"], batch["text_key"], batch["text"], strict=True):
                 tokens = tokens_of(text)
-                hashes, places = seeds(tokens)
+                hashes, places = seeds(tokens, masks)
                 slots = (hashes >> np.uint64(64 - BITS)).astype(np.int64) - 1  # as block and position, from bit 1
                 slots[slots < 0] = len(bits) * 8 - size
                 maybe = np.flatnonzero(bits[slots >> 3] >> (slots & 7).astype(np.uint8) & 1)
@@ -155,7 +187,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, same
 
     sides = (
         diagonals.join(found.drop("hits").dropDuplicates(["doc_id", "text_key", "cluster"]), ["doc_id", "text_key", "cluster"])
-        .join(items.mapInPandas(_item_tokens, "item_id long, item_tokens binary"), "item_id")
+        .join(item_tokens, "item_id")
         .select("doc_id", "item_id", "shift", "start", "tokens", "item_tokens")
     )
     overlaps = sides.mapInPandas(compare, "doc_id long, item_id long, doc_start int, item_start int, n_tokens int, n_equal int")
@@ -163,13 +195,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, same
     return overlaps.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.*")
 
 
-def without_overlaps(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, same: float = SAME) -> DataFrame:
-    """The documents that overlap with no benchmark item; rows without an id stay."""
-    leaks = staged(contaminated(docs, benchmark, least, same).select("doc_id").distinct(), "leaks")
+def without_overlaps(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, same: float = SAME, shortest: int = 1) -> DataFrame:
+    """The documents that overlap with no benchmark item, however short; rows without an id stay."""
+    leaks = staged(contaminated(docs, benchmark, least, same, shortest).select("doc_id").distinct(), "leaks")
     return docs.join(F.broadcast(leaks) if leaks.count() <= SENT else leaks, "doc_id", "left_anti")
 
 
 @query()
 def op9_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that hold benchmark items, and which."""
-    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), shortest=1)

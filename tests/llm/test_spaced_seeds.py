@@ -1,4 +1,5 @@
 import random
+from itertools import combinations
 
 import numpy as np
 
@@ -51,3 +52,43 @@ def test_empty_tables(spark, docs_of):
     benchmark = spark.createDataFrame([], "item_id long, text string")
     assert d.contaminated(docs_of([(1, "a b c d e f g h i j")]), benchmark).count() == 0
     assert d.contaminated(docs_of([]), spark.createDataFrame([(1, "a b c d e f g h i")], "item_id long, text string")).count() == 0
+
+
+def fits(mask, n, gone):
+    return any(not any(mask[g - at] == "1" for g in gone if at <= g < at + len(mask)) for at in range(n - len(mask) + 1))
+
+
+def test_masks_fit_whatever_differs():
+    for n, k in ((13, 2), (15, 3), (20, 4), (25, 5)):
+        assert all(any(fits(m, n, gone) for m in d.MASKS) for gone in combinations(range(n), k))
+    for n in range(1, 13):
+        assert all(any(fits(m, n, gone) for m in d.whole_masks(n)) for gone in combinations(range(n), n // 5))
+
+
+def test_substitutions_against_brute_force(spark, docs_of):
+    rng = random.Random(12)
+    items = [words(rng, n) for n in [*range(1, 26), 30, 40]]
+    docs = []
+    for doc_id in range(81):
+        item = items[doc_id % len(items)]
+        passage, share = list(item), rng.choice([0.1, 0.15, 0.2, 0.2, 0.25])
+        for at in rng.sample(range(len(passage)), int(len(passage) * share)):
+            passage[at] = words(rng, 1)[0]
+        body = words(rng, 80)
+        body[30:30] = passage
+        docs.append((doc_id, " ".join(body)))
+    expected = set()
+    for doc_id, text in docs:
+        left = d.tokens_of(text)
+        for item_id, item in enumerate(items):
+            right = d.tokens_of(" ".join(item))
+            for shift in range(1 - len(right), len(left)):
+                low, high = max(0, -shift), min(len(right), len(left) - shift)
+                if d.longest_overlap(left[low + shift : high + shift] == right[low:high], d.SAME)[1] >= min(d.LEAST, len(right)):
+                    expected.add((doc_id, item_id))
+                    break
+    benchmark = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    found = d.contaminated(docs_of(docs), benchmark, shortest=1).collect()
+    assert len(expected) > 60 and sorted((r["doc_id"], r["item_id"]) for r in found) == sorted(expected)
+    kept = d.without_overlaps(docs_of(docs), benchmark).collect()
+    assert {r["doc_id"] for r in kept} == set(range(81)) - {doc_id for doc_id, _ in expected}
