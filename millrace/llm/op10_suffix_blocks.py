@@ -18,11 +18,10 @@ from .hashing import BLOCK, BYTE_CODES, Stretches, mixed
 
 LENGTH = 400  # bytes of a string that must not occur twice
 ORDER = 13  # prime; the cover has ORDER + 1 of every ORDER**2 + ORDER + 1 positions
-GRAM = 32  # bytes whose hash chooses the bucket of a suffix
 BUCKET_BYTES = 1 << 25  # text whose samples one bucket takes
 PILE = 1 << 24  # bytes of text a task turns into one row per bucket
 SENT_ROWS, SENT_BYTES = 2_000_000, 1 << 25  # ids, or removed runs, that are broadcast; more are joined by a shuffle
-BLOB = "bucket int, keys binary, counts binary, names binary, places binary"
+BLOB = "bucket int, keys binary, counts binary, names binary, places binary"  # or, in a bucket below 0, keys and the runs found for each
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -92,25 +91,11 @@ def candidate_runs(places: np.ndarray, size: int, length: int) -> tuple[np.ndarr
     return low[new], high[np.concatenate((np.flatnonzero(new)[1:] - 1, [len(low) - 1]))]
 
 
-def _least(values: np.ndarray, window: int) -> np.ndarray:
-    size = 1
-    while size < window:
-        step = min(size, window - size)
-        values = np.minimum(values[:-step], values[step:])
-        size += step
-    return values
-
-
-def suffix_names(data: np.ndarray, low: int, high: int, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For the suffixes that start in [low, high): blocks of first position, names of ``length`` bytes, bucket hashes.
-
-    The bucket hash is the least hash of a gram in the string: equal strings share it,
-    and neighbours mostly do, so a bucket holds stretches of suffixes rather than single ones.
-    """
+def suffix_names(data: np.ndarray, low: int, high: int, length: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For the suffixes that start in [low, high): blocks of first position and names of ``length`` bytes."""
     for start in range(low, high, BLOCK):
         end = min(high, start + BLOCK)
-        stretches = Stretches(BYTE_CODES[data[start : end + length - 1]])
-        yield start, stretches.all(length), _least(stretches.all(GRAM), length - GRAM + 1)
+        yield start, Stretches(BYTE_CODES[data[start : end + length - 1]]).all(length)
 
 
 def _blobs(bucket: np.ndarray, key: np.ndarray, names: np.ndarray, places: np.ndarray, packed) -> pd.DataFrame:
@@ -144,38 +129,65 @@ def _from_runs(data: bytes) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths) + np.repeat(starts, lengths)
 
 
-def _repeated(names: np.ndarray, keys: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Which suffixes have a name that starts at two different places; copies of a text count as one place."""
-    order = np.argsort(names, kind="stable")
+def _repeated(names: np.ndarray, keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which suffixes have a name that starts at two different places; copies of a text count as one place.
+
+    And which suffixes tell others as much as all of them: one of each name, or two at different places.
+    """
+    found, telling = np.zeros(len(names), bool), np.zeros(len(names), bool)
+    if not len(names):
+        return found, telling
+    spots = mixed(keys.astype(np.uint64) ^ (places.astype(np.uint64) * _GOLD))
+    order = np.lexsort((spots, names))
     ranked = names[order]
     starts = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-    spots = mixed(keys[order].astype(np.uint64) ^ (places[order].astype(np.uint64) * _GOLD))
-    different = np.minimum.reduceat(spots, starts) != np.maximum.reduceat(spots, starts)
-    found = np.zeros(len(names), bool)
-    found[order] = np.repeat(different, np.diff(np.concatenate((starts, [len(names)]))))
-    return found
+    ends = np.concatenate((starts[1:], [len(names)]))
+    different = spots[order[starts]] != spots[order[ends - 1]]
+    found[order] = np.repeat(different, ends - starts)
+    telling[order[starts]] = True
+    telling[order[ends[different] - 1]] = True
+    return found, telling
+
 
+def _runs_of(keys: np.ndarray, places: np.ndarray) -> list[tuple[int, bytes]]:
+    """Per text its places, as runs."""
+    order = np.lexsort((places, keys))
+    keys, places = keys[order], places[order]
+    parts = np.split(np.arange(len(keys)), np.flatnonzero(np.diff(keys)) + 1)
+    return [(int(keys[at[0]]), _as_runs(np.unique(places[at[0] : at[-1] + 1]))) for at in parts if len(at)]
 
-def _answer(kind, unpack):
+
+def _settled(bucket: np.ndarray, key: np.ndarray, names: np.ndarray, places: np.ndarray, buckets: int, packed) -> pd.DataFrame:
+    """The rows of one pile: what it finds repeated by itself, and for the buckets at most two suffixes of each name.
+
+    So a bucket takes two suffixes of a name from a pile, however many copies the pile holds.
+    """
+    found, telling = _repeated(names, key, places)
+    own = _runs_of(key[found], places[found])
+    blobs = _blobs(bucket[telling], key[telling], names[telling], places[telling], packed)
+    if not own:
+        return blobs
+    # by text, so that answers spread as texts do
+    rows = [(-1 - k % buckets, np.array([k], np.int64).tobytes(), b"", b"", runs) for k, runs in own]
+    return pd.concat([blobs, pd.DataFrame(rows, columns=blobs.columns)], ignore_index=True)
+
+
+def _answer(kind):
     """Rank one bucket of suffixes by their names and return, per text, the runs of repeated places."""
 
     def rank(rows: pd.DataFrame) -> pd.DataFrame:
+        if rows["bucket"].iloc[0] < 0:  # found in piles
+            out = [(int(key), _as_runs(_union(list(runs)))) for key, runs in rows.groupby(rows["keys"].map(lambda k: np.frombuffer(k, np.int64)[0]))["places"]]
+            return pd.DataFrame(out, columns=["key", "runs"])
         names, keys, places = [], [], []
         for row in rows.itertuples(index=False):
             counts = np.frombuffer(row.counts, np.int32)
             names.append(np.frombuffer(row.names, kind))
             keys.append(np.repeat(np.frombuffer(row.keys, np.int64), counts))
-            places.append(unpack(row.places))
+            places.append(np.cumsum(np.frombuffer(row.places, np.int32), dtype=np.int64))
         names, keys, places = map(np.concatenate, (names, keys, places))
-        found = _repeated(names, keys, places)
-        keys, places = keys[found], places[found]
-        order = np.lexsort((places, keys))
-        keys, places = keys[order], places[order]
-        out = []
-        for at in np.split(np.arange(len(keys)), np.flatnonzero(np.diff(keys)) + 1):
-            if len(at):
-                out.append((int(keys[at[0]]), _as_runs(np.unique(places[at[0] : at[-1] + 1]))))
-        return pd.DataFrame(out, columns=["key", "runs"])
+        found, _ = _repeated(names, keys, places)
+        return pd.DataFrame(_runs_of(keys[found], places[found]), columns=["key", "runs"])
 
     return rank
 
@@ -192,6 +204,8 @@ def removed_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     1. Samples: suffixes at the cover positions of every text are named by their
        first bytes, dealt to buckets, and ranked one bucket at a time; a repeated name
        is what remains of them.  A bucket takes what ``BUCKET_BYTES`` of text give.
+       A task settles piles of ``PILE`` bytes by itself first and passes on at most two
+       suffixes of a name, so copies of a passage don't gather in one bucket.
     2. Suffixes that may tie over ``length`` bytes are those just before a repeated
        sample.  They too go to buckets and are ranked one bucket at a time, by
        the name of their first ``length`` bytes: only equality over these bytes
@@ -214,8 +228,8 @@ def removed_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             key, names, places = (np.concatenate([p[i] for p in pile]) for i in range(3))
             bits = np.uint64(buckets.bit_length() - 1)
             bucket = (names >> (np.uint64(64) - bits)).astype(np.int64)
-            low = (names >> (np.uint64(32) - bits)).astype(np.uint32)  # the 32 bits below those of the bucket
-            return _blobs(bucket, key, low, places, lambda n, p: (n.tobytes(), _as_steps(p)))
+            low = lambda n: (n >> (np.uint64(32) - bits)).astype(np.uint32)  # noqa: E731 - the 32 bits below those of the bucket
+            return _settled(bucket, key, names, places, buckets, lambda n, p: (low(n).tobytes(), _as_steps(p)))
 
         for batch in batches:
             for key, text in zip(batch["key"], batch["text"], strict=True):
@@ -232,7 +246,7 @@ def removed_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         if pile:
             yield flushed()
 
-    answer = _answer(np.uint32, lambda b: np.cumsum(np.frombuffer(b, np.int32), dtype=np.int64))
+    answer = _answer(np.uint32)
     samples = texts.select("key", "text").mapInPandas(sampled, BLOB).groupBy("bucket").applyInPandas(answer, "key long, runs binary")
     # at most one row per bucket and text; a text's rows are its own samples
     samples = staged(samples.groupBy("key").agg(F.collect_list("runs").alias("runs")), "repeated-samples")
@@ -246,16 +260,17 @@ def removed_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         pile, size = [], 0
 
         def flushed() -> pd.DataFrame:
-            key, bucket, names, places = (np.concatenate([p[i] for p in pile]) for i in range(4))
-            return _blobs(bucket, key, names, places, lambda n, p: (n.tobytes(), _as_runs(p)))
+            key, names, places = (np.concatenate([p[i] for p in pile]) for i in range(3))
+            # by name: neighbours of a passage's copies, all different, spread too
+            bucket = (names >> np.uint64(64 - buckets.bit_length() + 1)).astype(np.int64)
+            return _settled(bucket, key, names, places, buckets, lambda n, p: (n.tobytes(), _as_steps(p)))
 
         for batch in batches:
             for key, text, runs in zip(batch["key"], batch["text"], batch["runs"], strict=True):
                 data = _bytes(text)
                 for low, high in zip(*candidate_runs(_union(list(runs)), len(data), length), strict=True):
-                    for start, names, least in suffix_names(data, int(low), int(high), length):
-                        bucket = (mixed(least) & np.uint64(buckets - 1)).astype(np.int64)
-                        pile.append((np.full(len(names), key, np.int64), bucket, names, start + np.arange(len(names))))
+                    for start, names in suffix_names(data, int(low), int(high), length):
+                        pile.append((np.full(len(names), key, np.int64), names, start + np.arange(len(names))))
                         size += len(names)
                         if size > PILE // 8:
                             yield flushed()
@@ -263,7 +278,7 @@ def removed_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         if pile:
             yield flushed()
 
-    answer = _answer(np.uint64, _from_runs)
+    answer = _answer(np.uint64)
     found = texts.select("key", "text", "runs").mapInPandas(suffixes, BLOB).groupBy("bucket").applyInPandas(answer, "key long, runs binary")
     found = found.groupBy("key").agg(F.collect_list("runs").alias("runs"))
 

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from millrace.llm import op10_suffix_blocks as s
@@ -62,3 +63,24 @@ def test_small_blocks_and_piles(docs_of, monkeypatch):
 
 def test_empty_table(docs_of):
     assert s.remove_repeats(docs_of([])).count() == 0
+
+
+def test_copies_of_a_passage_do_not_gather_in_a_bucket(docs_of, monkeypatch):
+    rng = random.Random(6)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = text(600)
+    rows = [(i, text(50) + passage + text(50)) for i in range(800)]
+    whole, most = s._answer, 20_000
+
+    def limited(*args):
+        rank = whole(*args)
+
+        def checked(group: pd.DataFrame) -> pd.DataFrame:
+            assert sum(int(np.frombuffer(c, np.int32).sum()) for c in group["counts"]) < most
+            return rank(group)
+
+        return checked
+
+    monkeypatch.setattr(s, "_answer", limited)
+    found = s.remove_repeats(docs_of(rows).repartition(4)).collect()
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, brute(rows)))
