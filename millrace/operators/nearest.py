@@ -32,12 +32,14 @@ ROWS_PER_BLOCK = 50_000
 QUERIES_PER_BLOCK = 5_000
 SCORES_AT_ONCE = 1_000_000
 DIGITS = 12  # significant digits that decide a rank, so summation order cannot decide a tie
-SPARE = 8  # rows kept per query beyond k until their distances are computed exactly
+PAIRS_AT_ONCE = 100_000  # (row, query) pairs whose differences are held at once
 
 Scorer = Callable[[list], Callable[[list], np.ndarray]]
 
 
 def _vector_scorer(similarity: str) -> Scorer:
+    pairs_at_once = PAIRS_AT_ONCE
+
     def prepare(queries: list) -> Callable[[list], np.ndarray]:
         q = np.asarray([np.asarray(v, dtype="float64") for v in queries]) if isinstance(queries, list) else queries
         q_norm = np.sqrt((q * q).sum(axis=1))
@@ -47,7 +49,7 @@ def _vector_scorer(similarity: str) -> Scorer:
             x = np.asarray([np.asarray(v, dtype="float64") for v in rows])
             products = x @ q.T if similarity != "l2" else None
             if similarity == "l2":
-                # around the queries' middle, where little cancels; ``exact`` settles the rest
+                # around the queries' middle, where little cancels; ``within`` bounds the error and ``exact`` settles the rest
                 near, asked = x - middle, q - middle
                 squares = (near * near).sum(axis=1)[:, None] + (asked * asked).sum(axis=1)[None, :]
                 return -np.maximum(squares - 2 * (near @ asked.T), 0.0)
@@ -56,13 +58,20 @@ def _vector_scorer(similarity: str) -> Scorer:
                 return np.divide(products, lengths, out=np.zeros_like(products), where=lengths > 0)
             return products
 
-        def exact(rows: list, picked: np.ndarray) -> np.ndarray:
-            """Negative squared distances of the picked rows (one line per query) from the differences."""
+        def within(rows: list) -> np.ndarray:
+            """How far a score may be from the true one: rounding of the vectors, of the middle and of the sums."""
+            x = np.asarray([np.asarray(v, dtype="float64") for v in rows])
+            size = np.abs(x).max(axis=1, initial=0.0)[:, None] + np.abs(q).max(axis=1, initial=0.0)[None, :] + np.abs(middle).max(initial=0.0)
+            return 16 * (x.shape[1] + 4) ** 2 * np.finfo("float64").eps * size * size
+
+        def exact(rows: list, picked: np.ndarray, asked: np.ndarray) -> np.ndarray:
+            """Negative squared distances of pairs of a row and a query from the differences."""
             x = np.asarray([np.asarray(v, dtype="float64") for v in rows])
-            return np.stack([-((x[line] - q) ** 2).sum(axis=1) for line in picked])
+            parts = [slice(at, at + pairs_at_once) for at in range(0, len(picked), pairs_at_once)]
+            return np.concatenate([np.zeros(0), *(-((x[picked[p]] - q[asked[p]]) ** 2).sum(axis=1) for p in parts)])
 
         if similarity == "l2":
-            score.exact = exact
+            score.exact, score.within = exact, within
         return score
 
     return prepare
@@ -102,7 +111,7 @@ def _jaccard_scorer() -> Scorer:
 
 def _best_of(k: int, scorer: Scorer, names: tuple[str, str, str]) -> Callable:
     """``(query_ids, queries, batches) -> frame`` with the k best rows per query."""
-    digits, at_once, spare = DIGITS, SCORES_AT_ONCE, SPARE
+    digits, at_once = DIGITS, SCORES_AT_ONCE
 
     def significant(scores: np.ndarray) -> np.ndarray:
         with np.errstate(divide="ignore", invalid="ignore"):
@@ -127,12 +136,23 @@ def _best_of(k: int, scorer: Scorer, names: tuple[str, str, str]) -> Callable:
                 order = sorted(range(len(part)), key=part.__getitem__)
                 part = np.asarray([part[i] for i in order], dtype=object)
                 own = [values[start + i] for i in order]
-                scores = score(own) if exact else significant(score(own))
+                scores = score(own)
+                if exact:
+                    # all rows that may be among the k best count with their exact scores, the others not at all
+                    error = score.within(own)
+                    few = min(k, len(part))
+                    least = np.partition(scores - error, len(part) - few, axis=0)[len(part) - few]
+                    near = scores + error >= least - 10.0 ** (1 - digits) * np.abs(least)
+                    near |= ~np.isfinite(scores + error)
+                    rows_near, asked_near = np.nonzero(near)
+                    scores = np.full(scores.shape, -np.inf)
+                    scores[rows_near, asked_near] = significant(exact(own, rows_near, asked_near))
+                else:
+                    scores = significant(scores)
                 picked_scores, picked_ids = [top_scores], [top_ids]
-                for _ in range(min(k + (spare if exact else 0), len(part))):
+                for _ in range(min(k, len(part))):
                     first = scores.argmax(axis=0)
-                    kept = significant(exact(own, first[None, :])) if exact else scores[first, np.arange(width)][None, :]
-                    picked_scores.append(kept)
+                    picked_scores.append(scores[first, np.arange(width)][None, :])
                     picked_ids.append(part[first][None, :])
                     scores[first, np.arange(width)] = -np.inf
                 all_scores = np.concatenate(picked_scores)

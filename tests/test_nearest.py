@@ -97,6 +97,19 @@ def test_nearest_at_small_and_offset_scale(spark):
     assert {r.qid: r.id for r in N.nearest_rows(rows, asked, "id", "qid", "v", "w").collect()} == {1: 3, 2: 6}
 
 
+@pytest.mark.parametrize("most", [N.MAX_SENT_BYTES, 0])
+def test_nearest_when_queries_are_far_apart(spark, most):
+    offsets = np.random.default_rng(8).permutation(np.linspace(1e-4, 1e-2, 2000))
+    rows = spark.createDataFrame([(i, [2e6 + v]) for i, v in enumerate(offsets.tolist())], "id int, v array<double>").coalesce(1)
+    asked = spark.createDataFrame([(1, [0.0]), (2, [2e6])], "qid int, w array<double>")
+    found = N.best_rows(rows, asked, "id", "qid", "v", "w", "l2", 3, max_sent_bytes=most).orderBy("rank").collect()
+    x = 2e6 + offsets
+    for qid, at in ((1, 0.0), (2, 2e6)):
+        # ranks are by 12 digits of the squared distance, ties by id
+        true = sorted(range(2000), key=lambda i: (float(f"{(x[i] - at) ** 2:.11e}"), i))[:3]
+        assert [r.id for r in found if r.qid == qid] == true
+
+
 def test_unknown_similarity(vectors):
     with pytest.raises(ValueError):
         N.best_rows(vectors[2], vectors[3], "id", "qid", "v", "w", "euclid")
