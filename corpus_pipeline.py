@@ -44,8 +44,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The training order of all documents that are left; the text stays in the stage before, under the same id."""
-    return op4_pfair_mix.mix(docs.select("doc_id", "lang", "source", "n_chars"))
+    """All documents that are left, with their redacted texts, in training order."""
+    return op4_pfair_mix.mix(docs)
 
 
 STAGES = [

@@ -64,3 +64,13 @@ def test_queries_with_sql(spark):
 def test_all_are_registered():
     names = entry.queries()
     assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in llm.QUERIES} and "pipeline" in names
+
+
+def test_mixing_returns_the_texts_of_the_stage_before(spark):
+    rows = [(n if n < 40 else None, f"text {n % 45}", "de", "s" if n % 3 else None, 6) for n in range(50)]
+    docs = spark.createDataFrame([*rows, (1, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars long")
+    mixed = corpus_pipeline.mix_sources(spark, docs, FOLDER)
+    key = lambda r: repr(tuple(r[c] for c in docs.columns))
+    found = mixed.collect()
+    assert sorted(map(key, found)) == sorted(map(key, docs.collect()))
+    assert sorted(r["position"] for r in found) == list(range(51))
