@@ -40,12 +40,11 @@ def with_arrays(df: DataFrame, added: dict[str, str], make: Callable, replaced:
 
     ``make()`` is called once per task and returns a function of a record batch
     that gives one list or array per column of ``added`` (name to type), then
-    one per column of ``replaced``.  Added names must be new (``ValueError``).
+    one per column of ``replaced``.  A column of ``df`` with an added name, in
+    whatever case, gives way to the new one; the function still sees it.
     """
-    clash = set(added) & set(df.columns)
-    if clash:
-        raise ValueError(f"columns exist already: {sorted(clash)}")
-    kept = [f for f in df.schema.fields if f.name not in dropped]
+    new_names = {name.lower() for name in added}
+    kept = [f for f in df.schema.fields if f.name not in dropped and f.name.lower() not in new_names]
     new = [] if not added else T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in added.items())).fields
     schema = T.StructType([*kept, *new])
     arrow = to_arrow_schema(schema)
