@@ -331,7 +331,7 @@ def _oracle() -> str:
 
     counts = " UNION ALL ".join(f"SELECT lang, {words(1, k)} AS phrase, {k} AS k, count(*) AS c FROM t WHERE w{k} IS NOT NULL GROUP BY ALL" for k in range(1, 5))
     longer = [f"SELECT lang, {words(at, at + size - 1)} AS phrase, c FROM cand WHERE k = {k}" for k in (3, 4) for size in range(2, k) for at in range(1, k - size + 2)]
-    cuts = [f"SELECT lang, phrase, c AS a, {cut} AS cut, {words(1, cut)} AS first, {words(cut + 1, k)} AS rest FROM cand WHERE k = {k}" for k in (2, 3, 4) for cut in range(1, k)]
+    cuts = [f"SELECT lang, phrase, c AS a, {cut} AS cut, lang || ': ' || {words(1, cut)} AS head, lang || ': ' || {words(cut + 1, k)} AS rest FROM cand WHERE k = {k}" for k in (2, 3, 4) for cut in range(1, k)]
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{upper}', '{lower}') AS text FROM documents),
 p AS (SELECT lang, r, unnest(list_transform(string_split_regex(text, '[.,;:!?\\x0A-\\x0D]'), lambda piece, i: {{'i': i, 'piece': piece}})) AS x FROM d),
@@ -341,8 +341,8 @@ f AS ({counts}),
 cand AS (SELECT lang, phrase, k, c, split_part(phrase, ' ', 1) AS w1, split_part(phrase, ' ', 2) AS w2, split_part(phrase, ' ', 3) AS w3, split_part(phrase, ' ', 4) AS w4 FROM f WHERE k >= 2 AND c >= 30),
 longer AS (SELECT lang, phrase, max(c) AS c FROM ({' UNION ALL '.join(longer)}) GROUP BY ALL),
 cuts AS ({' UNION ALL '.join(cuts)}),
-scored AS (SELECT cuts.lang, cuts.phrase, a, cut, x.c AS l, y.c AS r, ((2000000::HUGEINT * a) // (x.c + y.c))::BIGINT AS score
-    FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = first JOIN f y ON y.lang = cuts.lang AND y.phrase = rest),
+scored AS (SELECT lang, phrase, a, cut, x.c AS l, y.c AS r, ((2000000::HUGEINT * a) // (x.c + y.c))::BIGINT AS score
+    FROM cuts JOIN (SELECT lang || ': ' || phrase AS head, c FROM f) x USING (head) JOIN (SELECT lang || ': ' || phrase AS rest, c FROM f) y USING (rest)),
 best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
 kept AS (SELECT best.* FROM best LEFT JOIN longer USING (lang, phrase) WHERE longer.c IS NULL OR 100 * longer.c < 80 * a),
 n AS (SELECT lang, count(*) AS n FROM t GROUP BY lang)
