@@ -26,7 +26,7 @@ def collected(slots: DataFrame, bits: int) -> np.ndarray:
     for row in blocks.toLocalIterator():
         own = np.frombuffer(bytes(row["bits"]), np.uint8)
         at = (row["block"] - 1) * len(own)
-        bitmap[at : at + len(own)] = own
+        bitmap[at : at + len(own)] = own[: len(bitmap) - at]
     return bitmap
 
 

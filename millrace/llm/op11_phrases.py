@@ -168,8 +168,8 @@ def _windows(words: np.ndarray, size: int) -> list[np.ndarray]:
 
 def _score(a: Column, l: Column, r: Column) -> Column:  # noqa: E741
     """floor(SCALE * a / (l + r)) in exact arithmetic."""
-    whole = "decimal(38,0)"
-    return F.call_function("div", F.lit(SCALE).cast("decimal(10,0)") * a.cast("decimal(20,0)"), (l + r).cast(whole).cast("decimal(20,0)")).cast("long")
+    a, l, r = (c.cast("decimal(19,0)") for c in (a, l, r))  # noqa: E741
+    return F.call_function("div", F.lit(SCALE).cast("decimal(7,0)") * a, l + r).cast("long")
 
 
 def _with_score(phrases: DataFrame, cuts: list[tuple[str, str]]) -> DataFrame:
