@@ -130,11 +130,11 @@ def answer_candidates(spark, sf):
 WITH_TEXT = "(SELECT * FROM embeddings WHERE vec_id IN (SELECT row_id FROM rationales))"
 
 
-@query(f"SELECT r.source AS question, r.rationale AS answer FROM ({lloyd_sql(20, 3, WITH_TEXT)}) p JOIN rationales r ON r.row_id = p.vec_id", "rationales")
+@query(f"SELECT r.source AS question, r.rationale AS answer FROM ({lloyd_sql(20, 25, WITH_TEXT)}) p JOIN rationales r ON r.row_id = p.vec_id", "rationales")
 def selected_examples(spark, sf):
     rows = table(spark, sf, "embeddings").withColumnRenamed("vec_id", "row_id")
     texts = view(spark, sf, "rationales").select("row_id", F.col("source").alias("question"), F.col("rationale").alias("answer"))
-    return R.selected_examples(rows.join(texts, "row_id"), k=20, iterations=3)
+    return R.selected_examples(rows.join(texts, "row_id"), k=20)
 
 
 @query(f"""

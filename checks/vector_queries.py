@@ -119,12 +119,12 @@ def vector_functions(spark, sf):
 
 def lloyd_sql(k, steps, rows="embeddings"):
     """Lloyd steps from the k vectors whose hashed ids are least, one CTE per step."""
-    parts = [f"""c0 AS (SELECT CAST(row_number() OVER (ORDER BY {key('42', 'vec_id')}) - 1 AS INT) AS cluster, embedding::DOUBLE[] AS center
+    parts = [f"""c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY {key('42', 'vec_id')}) - 1 AS INT) AS cluster, embedding::DOUBLE[] AS center
              FROM {rows} QUALIFY cluster < {k})"""]
     for n in range(steps):
-        parts.append(f"""a{n} AS (SELECT vec_id, embedding, arg_min(cluster, {L2.replace('m.center', 'center')}) AS cluster
+        parts.append(f"""a{n} AS MATERIALIZED (SELECT vec_id, embedding, arg_min(cluster, {L2.replace('m.center', 'center')}) AS cluster
              FROM {rows} v CROSS JOIN c{n} GROUP BY vec_id, embedding)""")
-        parts.append(f"""c{n + 1} AS (SELECT cluster, coalesce(moved, center) AS center FROM c{n} LEFT JOIN
+        parts.append(f"""c{n + 1} AS MATERIALIZED (SELECT cluster, coalesce(moved, center) AS center FROM c{n} LEFT JOIN
             (SELECT cluster, list(mean ORDER BY pos) AS moved FROM (SELECT cluster, pos, avg(x) AS mean FROM
              (SELECT cluster, unnest(embedding::DOUBLE[]) AS x, unnest(range(len(embedding))) AS pos FROM a{n}) GROUP BY cluster, pos) GROUP BY cluster) USING (cluster))""")
     return "WITH " + ", ".join(parts) + f""" SELECT cluster, vec_id, round(d2, 6) AS d2 FROM
@@ -132,9 +132,9 @@ def lloyd_sql(k, steps, rows="embeddings"):
         QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY d2, vec_id) = 1"""
 
 
-@query(lloyd_sql(10, 3))
+@query(lloyd_sql(10, 25))
 def kmeans_representatives(spark, sf):
-    found = N.diverse_rows(table(spark, sf, "embeddings"), "vec_id", "embedding", k=10, iterations=3)
+    found = N.diverse_rows(table(spark, sf, "embeddings"), "vec_id", "embedding", k=10)
     return found.withColumn("d2", F.round("d2", 6))
 
 

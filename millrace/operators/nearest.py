@@ -25,6 +25,8 @@ from pyspark.sql import types as T
 
 from ..functions import fixed_values as V
 from ..functions.keys import hash_key
+from ..session import staged
+from .centers import GROUPED_FROM, Centers
 from .order import top_k
 
 MAX_SENT_BYTES = 256 * 2**20  # all query vectors (as doubles) or token lists together
@@ -78,7 +80,8 @@ def _vector_scorer(similarity: str) -> Scorer:
 
 
 def _jaccard_scorer() -> Scorer:
-    """Shared items are counted through an index from item to the queries holding it."""
+    """Shared items are counted through an index from item to the queries holding it, some hits at a time."""
+    hits_at_once = SCORES_AT_ONCE
 
     def prepare(queries: list) -> Callable[[list], np.ndarray]:
         width = len(queries)
@@ -96,10 +99,12 @@ def _jaccard_scorer() -> Scorer:
             shared = np.zeros(len(rows) * width)
             if known:
                 at, items = np.asarray(known, dtype="int64").T
-                repeats = counts[items]
-                offsets = np.arange(repeats.sum()) - np.repeat(np.cumsum(repeats) - repeats, repeats)
-                hits = np.repeat(at * width, repeats) + holders[np.repeat(starts[items], repeats) + offsets]
-                shared = np.bincount(hits, minlength=len(rows) * width).astype("float64")
+                upto = np.cumsum(counts[items])
+                for part in np.split(np.arange(len(items)), np.searchsorted(upto, np.arange(hits_at_once, upto[-1], hits_at_once))):
+                    repeats = counts[items[part]]  # an item adds at most one hit per query
+                    offsets = np.arange(repeats.sum()) - np.repeat(np.cumsum(repeats) - repeats, repeats)
+                    hits = np.repeat(at[part] * width, repeats) + holders[np.repeat(starts[items[part]], repeats) + offsets]
+                    shared += np.bincount(hits, minlength=len(shared))
             shared = shared.reshape(len(rows), width)
             union = row_sizes[:, None] + sizes[None, :] - shared
             return np.divide(shared, union, out=np.zeros_like(shared), where=union > 0)
@@ -114,9 +119,9 @@ def _best_of(k: int, scorer: Scorer, names: tuple[str, str, str]) -> Callable:
     digits, at_once = DIGITS, SCORES_AT_ONCE
 
     def significant(scores: np.ndarray) -> np.ndarray:
-        with np.errstate(divide="ignore", invalid="ignore"):
+        with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
             scale = 10.0 ** (digits - 1 - np.floor(np.log10(np.abs(scores))))
-        return np.where(np.isfinite(scale), np.round(scores * scale) / scale, scores)
+            return np.where(np.isfinite(scale), np.round(scores * scale) / scale, scores)
 
     query_name, row_name, score_name = names
 
@@ -287,60 +292,99 @@ def nearest_rows(
 
 
 def _nearest_center(sent, row_id: str | None = None) -> Callable:
-    """Per task: the sums of the rows of each center, or with ``row_id`` the nearest row of each."""
+    """Per task: how far the rows of each center lie from it in sum, or with ``row_id`` the nearest row of each."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        centers = sent.value
-        squares = (centers * centers).sum(axis=1)
-        totals, counts = np.zeros_like(centers), np.zeros(len(centers), "int64")
+        found = Centers(sent.value)
+        totals: dict[int, np.ndarray] = {}
+        counts: dict[int, int] = {}
         best: dict[int, tuple] = {}
         for frame in frames:
-            step = max(1, SCORES_AT_ONCE // len(centers))
-            for start in range(0, len(frame), step):
-                part = frame.iloc[start : start + step]
-                x = np.asarray([np.asarray(v, dtype="float64") for v in part["__value"]])
-                own = (squares[None, :] - 2 * (x @ centers.T)).argmin(axis=1)
-                np.add.at(totals, own, x)
-                counts += np.bincount(own, minlength=len(centers))
-                if row_id:
-                    d2 = ((x - centers[own]) ** 2).sum(axis=1)
-                    for cluster, pair in zip(own.tolist(), zip(d2.tolist(), part[row_id].tolist(), strict=True), strict=True):
-                        best[cluster] = min(best.get(cluster, pair), pair)
-        if not counts.any():  # an empty partition
+            if not len(frame):
+                continue
+            x = np.asarray([np.asarray(v, dtype="float64") for v in frame["__value"]])
+            own, d2 = found.nearest(x)
+            if row_id:
+                for cluster, pair in zip(own.tolist(), zip(d2.tolist(), frame[row_id].tolist(), strict=True), strict=True):
+                    best[cluster] = min(best.get(cluster, pair), pair)
+                continue
+            order = np.argsort(own, kind="stable")
+            used, starts = np.unique(own[order], return_index=True)
+            away = np.add.reduceat((x - found.centers[own])[order], starts, axis=0)
+            sizes = np.diff(np.append(starts, len(own)))
+            for cluster, total, n in zip(used.tolist(), away, sizes.tolist(), strict=True):
+                totals[cluster] = totals.get(cluster, 0.0) + total
+                counts[cluster] = counts.get(cluster, 0) + n
+        if not totals and not best:  # an empty partition
             return
         if row_id:
             yield pd.DataFrame([(c, i, d) for c, (d, i) in best.items()], columns=["cluster", row_id, "d2"])
         else:
-            used = np.flatnonzero(counts)
-            yield pd.DataFrame({"cluster": used.astype("int32"), "n": counts[used], "total": list(totals[used])})
+            yield pd.DataFrame({"cluster": np.fromiter(totals, "int32"), "n": np.fromiter(counts.values(), "int64"), "total": list(totals.values())})
 
     return run
 
 
+def _by_region(given: DataFrame, row_id: str, centers: np.ndarray) -> DataFrame:
+    """The rows stored by the group of their nearest center, so that a task meets few centers.
+
+    Tasks then pass on little more than one sum per center altogether, instead of
+    one per center and task.  Ranges also cut within a group, so a group that
+    holds most rows is spread too.
+    """
+    sent = given.sparkSession.sparkContext.broadcast(centers)
+
+    def placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = Centers(sent.value)
+        region = np.zeros(len(found.centers), "int32")
+        for number, members in enumerate(found.groups):
+            region[members] = number
+        for frame in frames:
+            x = np.asarray([np.asarray(v, dtype="float64") for v in frame["__value"]]).reshape(len(frame), -1)
+            own = found.nearest(x)[0] if len(frame) else np.zeros(0, int)
+            yield frame.assign(__region=region[own], __center=own.astype("int32"))
+
+    schema = T.StructType([*given.schema.fields, *T.StructType.fromDDL("__region int, __center int").fields])
+    regions = given.mapInPandas(placed, schema).repartitionByRange("__region", "__center", hash_key(V.SEED, row_id))
+    return staged(regions.drop("__region", "__center"), "clusters")
+
+
+def center_sums(given: DataFrame, centers: np.ndarray) -> tuple[DataFrame, Any]:
+    """(cluster, n, total): per task and center how many rows are nearest to it and the sum of their differences; and what was sent."""
+    sent = given.sparkSession.sparkContext.broadcast(centers)
+    return given.mapInPandas(_nearest_center(sent), "cluster int, n long, total array<double>"), sent
+
+
 def cluster_centers(
     rows: DataFrame, row_id: str, vector: str, k: int = V.CLUSTERS, iterations: int = V.CLUSTER_ITERATIONS,
     seed: int = V.SEED,
 ) -> np.ndarray:
     """k-means centers: Lloyd steps from the k rows whose hashed ids are least.
 
-    Every step is one pass: tasks add up the rows of each center, one sum per
-    center and task is shuffled, and the k new centers come to the driver.  A center
-    without rows stays where it is.  Rows without a vector take no part.
+    Every step is one pass: each row goes to its nearest center, exactly (ties to
+    the smaller number); tasks add up the differences of the rows to their center, one sum per
+    center met is shuffled, and the k new centers come to the driver.  From some
+    hundred centers on, centers form groups, rows are compared only with
+    groups that can hold the nearest, and rows are stored once by group, so tasks
+    meet few centers each.  A center without rows stays where it is.  Rows without a vector take no part.
     """
-    spark = rows.sparkSession
     given = rows.where(F.col(vector).isNotNull()).select(row_id, F.col(vector).cast("array<double>").alias("__value"))
-    first = given.orderBy(hash_key(seed, row_id), row_id).limit(k).select("__value").collect()
-    centers = np.asarray([r["__value"] for r in first], dtype="float64")
+    first = given.orderBy(hash_key(seed, row_id), row_id).limit(k).select("__value").toArrow()
+    centers = np.asarray([np.asarray(v, dtype="float64") for v in first.column("__value").to_pylist()], dtype="float64")
+    if len(centers) >= GROUPED_FROM and iterations > 1:
+        given = _by_region(given, row_id, centers)
 
     def added(parts: pd.DataFrame) -> pd.DataFrame:
         total = np.sum([np.asarray(t) for t in parts["total"]], axis=0)
-        return pd.DataFrame({"cluster": parts["cluster"].iloc[:1], "center": [total / parts["n"].sum()]})
+        return pd.DataFrame({"cluster": parts["cluster"].iloc[:1], "step": [total / parts["n"].sum()]})
 
     for _ in range(iterations if len(centers) else 0):
-        sums = given.mapInPandas(_nearest_center(spark.sparkContext.broadcast(centers)), "cluster int, n long, total array<double>")
+        sums, sent = center_sums(given, centers)
+        steps = sums.groupBy("cluster").applyInPandas(added, "cluster int, step array<double>").toArrow()  # k rows
+        sent.destroy()
         moved = centers.copy()
-        for row in sums.groupBy("cluster").applyInPandas(added, "cluster int, center array<double>").collect():  # k rows
-            moved[row["cluster"]] = row["center"]
+        for cluster, step in zip(steps.column("cluster").to_pylist(), steps.column("step").to_pylist(), strict=True):
+            moved[cluster] += step
         if np.array_equal(moved, centers):
             break
         centers = moved
