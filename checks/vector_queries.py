@@ -5,9 +5,12 @@ from pyspark.sql import functions as F
 from millrace.functions import vectors as V
 from millrace.functions.tokens import split_tokens
 from millrace.operators import nearest as N
+from millrace.operators.setsearch import BandIndex, best_sets, prefix_index
+from millrace.operators.vectorsearch import VectorIndex
 from millrace.operators.workers import embed, enrich
+from millrace.session import work_path
 
-from .base import TOKENS, key, query, table
+from .base import SQL, TOKENS, key, query, table
 
 MEANS = """
     m AS (SELECT label, list(mean ORDER BY pos) AS center FROM
@@ -163,3 +166,43 @@ def enrich_map_in_pandas(spark, sf):
 
     items = table(spark, sf, "benchmark").select("item_id", "text")
     return enrich(items, "text", write, wait=0.0).select("item_id", "rationale")
+
+
+@query()
+def cosine_topk_probed(spark, sf):
+    """The three best rows for every twentieth vector, from the nearest tenth of the lists."""
+    rows = table(spark, sf, "embeddings")
+    index = VectorIndex(spark, work_path(spark, "vectors")).build(rows, "vec_id", "embedding")
+    asked = rows.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    found = index.search(asked, "query_id", "embedding", "vec_id", 3, probes=12)
+    return found.withColumn("score", F.round("score", 6))
+
+
+@query(topk_sql(COSINE, 3))
+def cosine_topk_bounded(spark, sf):
+    """The exact result from the lists whose bounds allow one of the three best rows."""
+    rows = table(spark, sf, "embeddings")
+    index = VectorIndex(spark, work_path(spark, "vectors")).build(rows, "vec_id", "embedding")
+    asked = rows.select(F.col("vec_id").alias("query_id"), "embedding")
+    found = index.search(asked, "query_id", "embedding", "vec_id", 3, exact=True)
+    return found.drop("probed").withColumn("score", F.round(F.round("score", 9), 6))  # rounded as in the SQL
+
+
+@query(SQL["jaccard_topk"])
+def jaccard_topk_prefix(spark, sf):
+    """The exact result from a rare-first index of the documents."""
+    docs = table(spark, sf, "documents").select("doc_id", split_tokens("text").alias("tokens"))
+    items = table(spark, sf, "benchmark").select("item_id", split_tokens("text").alias("asked"))
+    found = best_sets(prefix_index(docs, "doc_id", "tokens"), items, "item_id", "asked", "doc_id", 2)
+    return found.withColumn("score", F.round("score", 6))
+
+
+@query()
+def jaccard_topk_lsh(spark, sf):
+    """Up to three other texts half as similar or more for every twentieth document, from bands; loaded in two batches."""
+    docs = table(spark, sf, "documents").select("doc_id", split_tokens("text").alias("tokens"))
+    index = BandIndex(spark, work_path(spark, "bands"), 0.5)
+    index.add(docs.where("doc_id % 2 = 0"), "doc_id", "tokens", "even")
+    index.add(docs.where("doc_id % 2 = 1"), "doc_id", "tokens", "odd")
+    asked = docs.where("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), "tokens")
+    return index.search(asked, "query_id", "tokens", "doc_id", 3).withColumn("score", F.round("score", 6))
