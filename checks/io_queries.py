@@ -1,5 +1,6 @@
 """Readers, writers and streams: what is written has to be read back unchanged."""
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from millrace.functions.keys import content_hash
@@ -115,3 +116,71 @@ def stream_dedup_bounded_state(spark, sf):
         sink, work_path(spark, "checkpoint"),
     ).awaitTermination()
     return spark.read.schema("content_key string").parquet(sink)
+
+
+def arriving(df, when, parts):
+    """The rows as files that arrive one after the other, in ``parts`` periods of about as many rows."""
+    borders = df.agg(F.percentile_approx(when, [i / parts for i in range(1, parts)])).first()[0] or []
+    number = sum((F.col(when) >= b).cast("int") for b in borders) if borders else F.lit(0)
+    return [df.where(number == i) for i in range(len(borders) + 1)]
+
+
+@query("""
+    SELECT event_id, user_id || ':' || event_type AS content_key FROM
+        (SELECT *, lag(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS before FROM events)
+    WHERE before IS NULL OR epoch_us(ts) - epoch_us(before) > 43200000000
+""")
+def stream_seen_after_pause(spark, sf):
+    """Four deliveries; keys are forgotten on the way, and repeats after half a day come back."""
+    events = table(spark, sf, "events").withColumn("at", F.unix_micros(F.col("ts").cast("timestamp")))
+    folder, checkpoint, sink = (work_path(spark, name) for name in ("arriving", "checkpoint", "seen"))
+    key = F.concat_ws(":", F.col("user_id").cast("string"), "event_type")
+    for part in arriving(events, "at", 4):
+        part.write.mode("append").parquet(folder)
+        files = I.new_files(spark, folder, events.schema)
+        I.append_stream(files, lambda rows: I.seen_after_pause(rows, key, "ts", "event_id", 43200, "0 seconds").drop("ts"), sink, checkpoint).awaitTermination()
+    return spark.read.schema("event_id bigint, content_key string").parquet(sink)
+
+
+@query("SELECT doc_id, source FROM documents")
+def stream_resumed_append(spark, sf):
+    """Three deliveries; the second is stopped between its rows and the ledger, and repeated."""
+    docs = table(spark, sf, "documents").select("doc_id", "source")
+    folder, checkpoint = (work_path(spark, name) for name in ("arriving", "checkpoint"))
+    out, stopped = I.BatchTable(spark, work_path(spark, "batches")), []
+
+    def stop_once(number):
+        if number == 1 and not stopped:
+            stopped.append(number)
+            raise InterruptedError("stopped before the commit")
+
+    for part in arriving(docs, "doc_id", 3):
+        part.write.mode("append").parquet(folder)
+        for _ in range(2):  # a repeat finds nothing to do
+            try:
+                I.append_batches(I.new_files(spark, folder, docs.schema), lambda rows: rows, out, checkpoint, stop_once).awaitTermination()
+            except StreamingQueryException:
+                pass
+    return out.read(docs.schema)
+
+
+@query("""
+    WITH w AS (SELECT doc_id, strlen(text) AS width, coalesce(sum(strlen(text)) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM documents)
+    SELECT CAST(before // 100000 AS BIGINT) AS shard, count(*) AS rows, CAST(sum(width) AS BIGINT) AS bytes FROM w GROUP BY ALL
+""")
+def shards_by_bytes(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", F.octet_length("text").alias("width"))
+    shards = W.sized_shards(docs, number_order(docs, "doc_id"), F.col("width"), 100_000)
+    return shards.groupBy("shard").agg(F.count("*").alias("rows"), F.sum("width").cast("bigint").alias("bytes"))
+
+
+@query("SELECT doc_id, text, lang AS split, CAST(doc_id % 2 AS INT) AS batch_no FROM documents")
+def json_batches_by_number(spark, sf):
+    """Batch files per language, written twice each and read back with the number in their name."""
+    folder = work_path(spark, "batches")
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    langs = [r["lang"] for r in docs.select("lang").distinct().collect()]
+    for lang in langs:
+        for number in (1, 0, 1):
+            W.write_json_batch(docs.where((F.col("lang") == lang) & (F.col("doc_id") % 2 == number)).drop("lang"), folder, lang, number)
+    return R.read_json_batches(spark, folder, "doc_id bigint, text string", lines=True)

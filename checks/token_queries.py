@@ -67,10 +67,10 @@ MASKED = f"""
 
 def masked(spark, sf):
     rows = view(spark, sf, "quiz").select(
-        "row_id", T.hashed_ids(T.split_tokens(quiz_prompt("question", "choices"))).alias("a"),
-        T.hashed_ids(T.split_tokens(quiz_completion("choices", "answer", "rationale"))).alias("b"),
+        "row_id", T.split_tokens(quiz_prompt("question", "choices")).alias("a"),
+        T.split_tokens(quiz_completion("choices", "answer", "rationale")).alias("b"),
     )
-    return Q.masked_sequences(rows, "a", "b").drop("a", "b")
+    return Q.masked_token_sequences(rows, "a", "b").drop("a", "b")
 
 
 @query(f"""

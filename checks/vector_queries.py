@@ -7,6 +7,7 @@ from millrace.functions.tokens import split_tokens
 from millrace.operators import nearest as N
 from millrace.operators.setsearch import BandIndex, best_sets, prefix_index
 from millrace.operators.vectorsearch import VectorIndex
+from millrace.operators import workers as E
 from millrace.operators.workers import embed, enrich
 from millrace.session import work_path
 
@@ -168,6 +169,22 @@ def enrich_map_in_pandas(spark, sf):
     return enrich(items, "text", write, wait=0.0).select("item_id", "rationale")
 
 
+@query("""
+    SELECT item_id, CASE WHEN length(text) % 2 = 0 THEN 'even ' || length(text) END AS rationale,
+           CAST(CASE WHEN length(text) % 2 = 0 THEN 1 ELSE 3 END AS INT) AS tries FROM benchmark
+""")
+def enrich_resumed(spark, sf):
+    """First some of the items, then all: stored answers are kept and only the rest is sent."""
+    def write(request):
+        if len(request) % 2:
+            raise ValueError("refused")
+        return f" even {len(request)} "
+
+    items, path = table(spark, sf, "benchmark").select("item_id", "text"), work_path(spark, "answers")
+    E.enrich_resumed(items.where("item_id % 3 = 0"), "item_id", "text", write, path, wait=0.0).count()
+    return E.enrich_resumed(items, "item_id", "text", write, path, wait=0.0, wave_rows=20).select("item_id", "rationale", "tries")
+
+
 @query()
 def cosine_topk_probed(spark, sf):
     """The three best rows for every twentieth vector, from the nearest tenth of the lists."""

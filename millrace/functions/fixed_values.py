@@ -139,3 +139,4 @@ MATH_ROWS = 200_000
 CODE_ROWS = 80_000
 ENCODE_BATCH = 256
 WRITE_BATCH = 25
+SHARD_BYTES = 500 * 10**6  # of a written file

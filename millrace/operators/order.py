@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions import fixed_values as V
@@ -21,6 +22,14 @@ from ..functions.keys import hash_key
 from .attach import attach, refuse_columns
 
 KEY, BUCKET, GROUP = "__key", "__bucket", "__group"
+BUCKET_ROWS = 1_000_000  # rows of a bucket; callers with wide rows state less (``rows_for``)
+BUCKET_BYTES = 1 << 28
+
+
+def rows_for(df: DataFrame, width: Column, bytes_: int = BUCKET_BYTES) -> int:
+    """How many rows of the measured average width make a bucket of so many bytes."""
+    mean = df.agg(F.avg(width).alias("mean")).first()["mean"]
+    return max(1, int(bytes_ / max(1.0, mean or 1.0)))
 
 
 @dataclass(frozen=True)
@@ -31,31 +40,70 @@ class RowOrder:
     bucket: Column
 
 
-def hash_order(id_column: str, seed: int | str = V.SEED, digits: int = 3) -> RowOrder:
+def hash_order(
+    id_column: str, seed: int | str = V.SEED, digits: int = 3, rows: int | None = None, most: int = BUCKET_ROWS,
+) -> RowOrder:
     """Seeded shuffle order; 16**digits evenly filled buckets per group.
 
-    More digits for larger groups: a bucket is what one task sorts.
+    With the number of ``rows``, so many more digits that a bucket, which is what
+    one task sorts, holds about ``most`` rows or fewer.
     """
     key = hash_key(seed, id_column)
+    while rows is not None and rows > most * 16**digits:
+        digits += 1
     return RowOrder(key, F.substring(key, 1, digits))
 
 
-def number_order(df: DataFrame, id_column: str, parts: int = 256) -> RowOrder:
+def sortable_hex(value: Column) -> Column:
+    """16 hex digits that order as the whole number does."""
+    return F.lpad(F.hex(value.cast("bigint").bitwiseXOR(F.lit(-(2**63)))), 16, "0")
+
+
+def fitted_buckets(df: DataFrame, digits: Column, most: int = BUCKET_ROWS, step: int = 1) -> Column:
+    """Prefixes of a hex key as buckets that follow its order and hold at most ``most`` rows each, as counted.
+
+    A bucket that holds more is cut again, by ``step`` more digits, until none does
+    or the key has no more digits; other buckets stay as they are.  Each round reads the key of the rows
+    in overfull buckets only and brings back those buckets, at most one for every ``most`` rows.
+    """
+    ends = df.agg(F.min(digits).alias("low"), F.max(digits).alias("high"), F.max(F.length(digits)).alias("size")).first()
+    if ends["low"] is None:
+        return F.substring(digits, 1, 1)
+    width = 0
+    while width < ends["size"] and ends["low"][width : width + 1] == ends["high"][width : width + 1]:
+        width += 1  # what all keys begin with
+    width = min(ends["size"], width + step)
+    bucket, open_rows = F.substring(digits, 1, width), df.select(digits.alias("__digits"))
+    while width < ends["size"]:
+        counts = open_rows.groupBy(F.substring("__digits", 1, width).alias("prefix")).count()
+        full = [r["prefix"] for r in counts.where(F.col("count") > most).collect()]
+        if not full:
+            break
+        open_rows = open_rows.where(F.substring("__digits", 1, width).isin(full))
+        wider = min(ends["size"], width + step)
+        bucket = F.when(F.substring(digits, 1, width).isin(full), F.substring(digits, 1, wider)).otherwise(bucket)
+        width = wider
+    return bucket
+
+
+def number_order(df: DataFrame, id_column: str, parts: int = 256, most: int = BUCKET_ROWS) -> RowOrder:
     """Ascending order of a numeric id.
 
-    Bucket borders are approximate quantiles (at most ``parts`` values), so uneven
-    ids still fill the buckets evenly.  The borders only decide which task sorts
-    a row, never its rank.
+    Whole numbers: buckets of at most ``most`` rows with different ids, from counts (``fitted_buckets``),
+    however the ids lie; small tables still have some.  Other numbers: ``parts`` buckets between approximate
+    quantiles.  Borders only decide which task sorts a row, never its rank.
     """
+    value = F.col(id_column)
+    if isinstance(df.schema[id_column].dataType, T.IntegralType):
+        return RowOrder(value, fitted_buckets(df, sortable_hex(value), most))
     steps = [i / parts for i in range(1, parts)]
     # a subquery cannot be the argument of a higher-order function, so the borders are fetched: one small job
     borders = df.agg(F.percentile_approx(id_column, steps, 10 * parts).alias("b")).first()["b"]
     borders = sorted(set(borders or []))
     if not borders:
-        return RowOrder(F.col(id_column), F.lit(0))
+        return RowOrder(value, F.lit(0))
     width = max(1, int(len(borders) ** 0.5))
     slices = [borders[i : i + width] for i in range(0, len(borders), width)]
-    value = F.col(id_column)
     coarse = F.size(F.filter(F.lit([s[-1] for s in slices]), lambda b: b < value))
     inside = F.element_at(F.array(*[F.lit(s) for s in slices]), F.least(coarse + 1, F.lit(len(slices))))
     return RowOrder(value, coarse * (width + 1) + F.size(F.filter(inside, lambda b: b < value)))

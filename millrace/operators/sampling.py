@@ -31,13 +31,16 @@ def weight_of(key: str, weights: dict[str, float]) -> Column:
     return F.try_element_at(F.create_map(*entries), F.col(key)).cast("bigint")
 
 
+PIECE_ROWS = 500_000
+
+
 def with_probability(df: DataFrame, weight: str, name: str = "probability") -> DataFrame:
     """Each row's share of all weight."""
     return df.withColumn(name, F.col(weight) / df.agg(F.sum(weight).alias("total")).scalar())
 
 
 def weighted_resample(
-    df: DataFrame, id_column: str, weight: str, seed: int | str = V.SEED, digits: int = 3,
+    df: DataFrame, id_column: str, weight: str, seed: int | str = V.SEED, digits: int | None = None,
     copy_name: str = "copy",
 ) -> DataFrame:
     """As many draws as rows, with replacement, proportional to an integer weight.
@@ -50,10 +53,15 @@ def weighted_resample(
     before they meet the wide rows again, so a heavy row is not a hot key.
 
     Rows with a null or non-positive weight take no part.  ``copy`` numbers the
-    draws of one row from 1.
+    draws of one row from 1.  The line is cut into 16**digits pieces; by default into so many
+    that a piece has about ``PIECE_ROWS`` rows and points, as counted.
     """
     refuse_columns(df, copy_name, "__hit", "__draws")
     usable = df.where(F.col(weight) > 0)
+    if digits is None:
+        digits, rows = 2, usable.count()
+        while rows > PIECE_ROWS * 16**digits:
+            digits += 1
     key = hash_key(seed, id_column)
     narrow = usable.select(
         F.col(id_column).alias("__id"), F.col(weight).cast("bigint").alias("__w"), key.alias("__key")

@@ -10,8 +10,9 @@ from pyspark.sql.window import Window
 
 from ..functions import fixed_values as V
 from ..functions.tokens import (
-    TokenCounter, count_tokens, cut, masked_labels, ones, padded, passages, split_tokens,
+    TokenCounter, count_tokens, cut, hashed_ids, masked_labels, ones, padded, passages, split_tokens,
 )
+from .columns import computed_once
 from .order import number_order
 
 
@@ -34,6 +35,23 @@ def masked_sequences(
     return df.withColumns({"input_ids": ids, "labels": labels, "attention_mask": ones(ids), "dropped": dropped})
 
 
+def masked_token_sequences(
+    df: DataFrame, prompt_tokens: str, completion_tokens: str, encode: Callable[[Column], Column] = hashed_ids,
+    limit: int = V.QUIZ_TOKENS, end_id: int | None = None,
+) -> DataFrame:
+    """``masked_sequences`` of token lists: only the tokens that stay within ``limit`` are encoded.
+
+    ``encode`` turns a list of tokens into as many ids.  ``dropped`` counts the tokens that the cut took away.
+    """
+    prompt, completion = F.col(prompt_tokens), F.col(completion_tokens)
+    room = F.greatest(F.lit(0), F.lit(limit) - F.size(prompt))
+    once = computed_once(
+        df, __prompt=encode(cut(prompt, limit)), __completion=encode(F.slice(completion, F.lit(1), room)),
+        __size=F.size(prompt) + F.size(completion) + int(end_id is not None))
+    found = masked_sequences(once, "__prompt", "__completion", limit, end_id)
+    return found.withColumn("dropped", F.greatest(F.lit(0), F.col("__size") - limit)).drop("__prompt", "__completion", "__size")
+
+
 def padded_sequences(
     df: DataFrame, prompt_ids: str, full_ids: str, limit: int = V.PADDED_TOKENS, fill: int = 0
 ) -> DataFrame:
@@ -90,7 +108,7 @@ def first_passages(
         tokens = df.select(id_column, splitter(F.col(text)).alias("__tokens"))
         return chunk_passages(tokens, id_column, "__tokens", size)
     pieces = F.ceil(counter(F.col(text)) / size).cast("bigint")
-    order = number_order(df, id_column)
+    order = number_order(df, id_column)  # buckets from counts
     counted = df.select(id_column, order.bucket.alias("__bucket"), pieces.alias("__pieces"))
     sums = counted.groupBy("__bucket").agg(F.sum("__pieces").alias("__sum"))
     ahead = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket

@@ -2,31 +2,40 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions.prompts import plain_completion, plain_prompt
 from ..functions.text import ColumnLike
-from ..functions.tokens import hashed_ids, split_tokens
+from ..functions.tokens import cut, hashed_ids, split_tokens
+from ..operators.columns import computed_once
 from ..operators.sequences import padded_sequences
 from ..operators.splits import random_fraction
 
 
-def hashed_encoder(text: ColumnLike) -> Column:
-    return hashed_ids(split_tokens(text))
-
-
 def quantised_sequences(
-    df: DataFrame, row_id: str, encode=hashed_encoder, fraction: float = 1.0,
+    df: DataFrame, row_id: str, encode: Callable[[ColumnLike], Column] | None = None, fraction: float = 1.0,
     limit: int = V.PADDED_TOKENS, fill: int = 0, seed: int = V.SEED,
 ) -> DataFrame:
-    """All rows (or a random fraction of them) as ``input_ids, labels, attention_mask`` of equal length."""
+    """All rows (or a random fraction of them) as ``input_ids, labels, attention_mask`` of equal length.
+
+    ``encode`` turns a text into ids; by default the built-in tokens are hashed.
+    ``dropped`` counts the tokens that the cut took away.
+    """
     prompt = plain_prompt("question", "choices")
     full = F.concat(prompt, F.lit("\n"), plain_completion("choices", "answer", "rationale"))
-    encoded = random_fraction(df, row_id, fraction, seed).select(
-        row_id, encode(F.concat(prompt, F.lit("\n"))).alias("__prompt_ids"), encode(full).alias("__full_ids")
-    )
+    rows = random_fraction(df, row_id, fraction, seed)
+    if encode is None:  # the built-in tokens are cut before they are hashed
+        tokens = computed_once(rows.select(row_id, prompt.alias("__p"), full.alias("__f")),
+                               __head=F.size(split_tokens(F.concat(F.col("__p"), F.lit("\n")))), __tokens=split_tokens("__f"))
+        ids = computed_once(tokens, __full_ids=hashed_ids(cut("__tokens", limit)), __dropped=F.greatest(F.lit(0), F.size("__tokens") - limit))
+        ids = ids.withColumn("__prompt_ids", F.array_repeat(F.lit(0), F.least(F.col("__head"), F.lit(limit))))  # only its size counts
+        found = padded_sequences(ids, "__prompt_ids", "__full_ids", limit, fill)
+        return found.withColumn("dropped", F.col("__dropped")).select(row_id, "input_ids", "labels", "attention_mask", "dropped")
+    encoded = rows.select(row_id, encode(F.concat(prompt, F.lit("\n"))).alias("__prompt_ids"), encode(full).alias("__full_ids"))
     return padded_sequences(encoded, "__prompt_ids", "__full_ids", limit, fill).drop(
         "__prompt_ids", "__full_ids"
     )

@@ -59,16 +59,19 @@ def read_json_list(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path, multiLine=True)
 
 
-def read_json_batches(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    """``{split}_batch_{number}.json`` files with ``split`` and ``batch_no`` from their names."""
-    name = F.col("_metadata.file_name")
-    pattern = r"^(.*)_batch_(\d+)\.json$"
+def read_json_batches(spark: SparkSession, folder: str, schema: str, split: str | None = None, lines: bool = False) -> DataFrame:
+    """``{split}_batch_{number}.json`` with ``split`` and ``batch_no`` from their names: files of one JSON array, or with ``lines`` folders (or files) of JSON rows.
+
+    ``split`` reads only the batches of that name.
+    """
+    path = F.col("_metadata.file_path")
+    pattern = r"([^/]*)_batch_(\d+)\.json(?:/[^/]*)?$"
     return (
-        spark.read.schema(schema).json(f"{folder}/*_batch_*.json", multiLine=True)
+        spark.read.schema(schema).json(f"{folder}/{split or '*'}_batch_*.json", multiLine=not lines)
         .withColumns(
             {
-                "split": F.regexp_extract(name, pattern, 1),
-                "batch_no": F.regexp_extract(name, pattern, 2).cast("int"),
+                "split": F.url_decode(F.regexp_extract(path, pattern, 1)),
+                "batch_no": F.regexp_extract(path, pattern, 2).cast("int"),
             }
         )
     )

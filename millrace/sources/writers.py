@@ -5,11 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from ..functions import fixed_values as V
 from ..functions.text import soften_quotes
+from ..operators.attach import refuse_columns
 from ..operators.joins import drop_rows
+from ..operators.order import RowOrder, number_order
+from ..session import work_path
 
 
 def write_shards(
@@ -26,6 +31,41 @@ def write_shards(
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def sized_shards(df: DataFrame, order: RowOrder, width: Column, shard_bytes: int, name: str = "shard") -> DataFrame:
+    """Add the shard of each row: rows in order, packed so that each shard begins where the widths before it pass a multiple of ``shard_bytes``.
+
+    A running sum of widths, bucket by bucket.  Every shard but the last has
+    ``shard_bytes`` up to the width of a row; a row wider than that may leave numbers out.
+    """
+    refuse_columns(df, name, "__bucket", "__key", "__width", "__ahead", "__b")
+    rows = df.withColumns({"__bucket": order.bucket, "__key": order.key, "__width": F.coalesce(width.cast("bigint"), F.lit(0).cast("bigint"))})
+    sums = rows.groupBy("__bucket").agg(F.sum("__width").alias("__sum"))
+    ahead = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket
+    sums = sums.select(F.col("__bucket").alias("__b"), F.coalesce(F.sum("__sum").over(ahead), F.lit(0)).alias("__ahead"))
+    inside = Window.partitionBy("__bucket").orderBy("__key").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.join(sums, F.col("__bucket").eqNullSafe(F.col("__b"))).withColumn("__before", F.col("__ahead") + F.coalesce(F.sum("__width").over(inside), F.lit(0)))
+    return placed.withColumn(name, F.expr(f"__before div {int(shard_bytes)}")).drop("__bucket", "__key", "__width", "__ahead", "__b", "__before")
+
+
+def write_sized_shards(
+    df: DataFrame, path: str, row_id: str, width: Column, file_bytes: int = V.SHARD_BYTES, mode: str = "overwrite",
+) -> None:
+    """One Parquet file of about ``file_bytes`` per shard, in folders ``shard=n``, rows in the order of ``row_id`` (a whole number).
+
+    ``width`` measures a row.  How many bytes of a file come to one of width is measured on
+    the table itself, written to the work folder once, so files keep their size whatever the encoding saves.
+    """
+    spark = df.sparkSession
+    trial = work_path(spark, "shards")
+    df.write.parquet(trial)
+    rows = spark.read.schema(df.schema).parquet(trial)
+    stored = rows.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("n")).distinct().agg(F.sum("n")).first()[0] or 0
+    wide = rows.agg(F.sum(width)).first()[0] or 0
+    scaled = max(1, int(file_bytes * wide / stored)) if stored else file_bytes
+    shards = sized_shards(rows, number_order(rows, row_id), width, scaled)
+    shards.repartition("shard").sortWithinPartitions("shard", row_id).write.mode(mode).partitionBy("shard").parquet(path)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Parquet as the plan leaves it, without another shuffle."""
     df.write.mode(mode).parquet(path)
@@ -58,3 +98,8 @@ def append_new_rows(df: DataFrame, path: str, row_id: str) -> None:
         written = None
     fresh = df if written is None else drop_rows(df, written, row_id)
     fresh.write.mode("append").parquet(path)
+
+
+def write_json_batch(df: DataFrame, folder: str, split: str, number: int) -> None:
+    """One batch as ``{split}_batch_{number}.json``, a folder of JSON rows (``readers.read_json_batches``); repeating it replaces it."""
+    df.write.mode("overwrite").json(f"{folder}/{split}_batch_{number}.json")

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 
@@ -57,3 +62,94 @@ def first_seen(
     if time is None:
         return keyed.dropDuplicates([name])
     return keyed.withWatermark(time, lateness).dropDuplicatesWithinWatermark([name])
+
+
+class BatchTable:
+    """A table that a stream appends to batch by batch, each exactly once.
+
+    Rows of a batch go to a folder of its number; then an entry of the ledger says that
+    the batch is complete.  A batch that is in the ledger is not computed again, one
+    that stopped halfway is written anew, and readers see the batches of the ledger only.  So a batch that
+    the stream repeats, after a stop at any point, changes nothing, whatever the chain does with it.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def batches(self) -> list[int]:
+        """The numbers of the complete batches."""
+        try:
+            found = self.spark.read.option("basePath", f"{self.path}/ledger").schema("rows long, batch long").parquet(f"{self.path}/ledger")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+        return sorted(r["batch"] for r in found.select("batch").distinct().collect())  # one per batch
+
+    def write(self, batch: DataFrame, number: int, before_commit: Callable[[int], None] | None = None) -> None:
+        """Write a batch, unless the ledger has it.  ``before_commit`` runs between the rows and the ledger's entry."""
+        if number in self.batches():
+            return
+        folder = f"{self.path}/rows/batch={number}"
+        batch.write.mode("overwrite").parquet(folder)
+        rows = self.spark.read.schema(batch.schema).parquet(folder).agg(F.count("*").alias("rows"))
+        if before_commit:
+            before_commit(number)
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/ledger/batch={number}")
+
+    def read(self, schema: StructType) -> DataFrame:
+        """All rows of complete batches."""
+        folders = [f"{self.path}/rows/batch={n}" for n in self.batches()]
+        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
+
+
+def append_batches(
+    stream: DataFrame, chain: Callable[[DataFrame], DataFrame], table: BatchTable, checkpoint: str,
+    before_commit: Callable[[int], None] | None = None,
+) -> StreamingQuery:
+    """Run any chain (joins with tables and aggregates of the batch too) on each batch of what is available and append it to ``table``."""
+    return (
+        stream.writeStream.foreachBatch(lambda batch, number: table.write(chain(batch), number, before_commit))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def seen_after_pause(
+    stream: DataFrame, key: Column, time: str, row_id: str, pause_seconds: int, lateness: str, name: str = "content_key",
+) -> DataFrame:
+    """Rows whose key was not seen for more than ``pause_seconds`` before them (or never): ``content_key``, id and time.
+
+    Keyed state holds the time each key was last seen, and a timer that drops it
+    when the watermark has passed that time by the pause: a key that stops coming takes no
+    more memory, and one that comes back later counts as new, which is the same.
+    Rows are taken in the order of their times, then ids, within a batch.  A row
+    later than ``lateness`` behind the newest one of earlier batches is dropped by the watermark, which starts at 1970.
+    Rows without a time or a key are left out.
+    """
+    keyed = stream.select(key.alias(name), F.col(row_id), F.col(time).cast("timestamp").alias("ts")).where(F.col(name).isNotNull() & F.col("ts").isNotNull())
+    schema = T.StructType([T.StructField(name, T.StringType()), stream.schema[row_id], T.StructField("ts", T.TimestampType())])
+    pause = pd.Timedelta(seconds=pause_seconds)
+
+    def step(own: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat([frame[[row_id, "ts"]] for frame in frames]).sort_values(["ts", row_id])
+        times = rows["ts"].reset_index(drop=True)
+        last = pd.Timestamp(state.get[0]) if state.exists else None
+        before = times.shift(1)
+        if last is not None:
+            before.iloc[0] = last
+        new = (before.isna() | (times - before > pause)).to_numpy()
+        newest = times.iloc[-1] if last is None else max(times.iloc[-1], last)
+        state.update((newest.to_pydatetime(),))
+        until = int(newest.timestamp() * 1000) + pause_seconds * 1000 + 1
+        state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({name: own[0], row_id: rows[row_id].to_numpy()[new], "ts": times[new].to_numpy()})
+
+    return (
+        keyed.withWatermark("ts", lateness).groupBy(name)
+        .applyInPandasWithState(step, schema, T.StructType([T.StructField("last", T.TimestampType())]), "append", GroupStateTimeout.EventTimeTimeout)
+    )
