@@ -18,6 +18,7 @@ from .hashing import BASE, mixed, shingles, word_hashes
 
 WIDTH = 5  # words of a shingle
 GROUP = 256  # expected most documents of a group
+SHARED = 3  # index tokens that linked sets share, if they are large enough
 FAMILY = 2  # frequency class from which an index token names the group of its documents
 SLOTS = 20  # 2**20 counters (1 MB) tell frequent shingles from rare ones
 PILE = 1 << 22  # shingles a task counts at once
@@ -101,18 +102,23 @@ def misses(own: np.ndarray, other: np.ndarray) -> int:
     return int((folded(own, columns) & ~folded(other, columns)).sum())
 
 
+def needed(size: int, percent: int) -> int:
+    """Index tokens that a linked set of any size must share with a set of this size."""
+    return max(1, min(SHARED, -(-percent * size // 100)))
+
+
 def _index_row(tokens: np.ndarray, classes: np.ndarray, percent: int) -> tuple[list[int], int, int, bytes]:
     """Index tokens, the two parts of the group's name, and the matrix row of one token set.
 
-    Index tokens are the rarest ones.  If even they are frequent, most of the
+    Index tokens are the rarest ones: of n tokens n - ceil(t * n) + s, so that linked sets share s of
+    them (``needed``; the smaller s of two sets counts).  If even they are frequent, most of the
     document is shared by a family of documents, and the first token of their
     most frequent class names the group: nearly all of the family agree in it.
     All others are named by two min-hashes.
     """
     size = len(tokens)
-    needed = size - -(-percent * size // 100) + 1
     often = classes[(tokens >> np.uint64(64 - SLOTS)).astype(np.int64)]
-    order = np.lexsort((tokens, often))[:needed]
+    order = np.lexsort((tokens, often))[: size - -(-percent * size // 100) + needed(size, percent)]
     if often[order[-1]] >= FAMILY:
         first, second = tokens[order[np.searchsorted(often[order], often[order[-1]])]], np.uint64(0)
     else:
@@ -120,22 +126,46 @@ def _index_row(tokens: np.ndarray, classes: np.ndarray, percent: int) -> tuple[l
     return tokens[order].astype(np.int64).tolist(), int(first.astype(np.int64)), int(second.astype(np.int64)), np.packbits(bitmap(tokens)).tobytes()
 
 
-def _qualifying(mine: list[dict], others: list[dict], percent: int) -> list[bytes]:
-    """The documents of one group that the other group's token union still allows to have a partner there."""
-    rows = [np.unpackbits(np.frombuffer(m["bits"], np.uint8)).astype(bool) for m in others]
-    columns = min(map(len, rows))
-    union = np.logical_or.reduce([folded(r, columns) for r in rows])
-    low, high = min(m["n"] for m in others), max(m["n"] for m in others)
-    kept = []
+def _bits(data: bytes) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(data, np.uint8)).astype(bool)
+
+
+def union_of(rows: list[bytes]) -> bytes:
+    """The matrix row of a group: the union of its members' tokens, over the columns of the smallest."""
+    bits = [_bits(r) for r in rows]
+    columns = min(map(len, bits))
+    return np.packbits(np.logical_or.reduce([folded(b, columns) for b in bits])).tobytes()
+
+
+def most_shared(size: int, own: np.ndarray, union: np.ndarray) -> int:
+    """A bound on the tokens that a set of this size and matrix row shares with any set of the group."""
+    return size - misses(own, union)
+
+
+def _qualifying(mine: list[dict], union: bytes, low: int, high: int, percent: int) -> list[bytes]:
+    """The documents that a group's token union, and its sizes from low to high, still allow to have a partner there."""
+    other, kept = _bits(union), []
     for m in mine:
         if 100 * min(m["n"], high) < percent * max(m["n"], low):
             continue
-        own = np.unpackbits(np.frombuffer(m["bits"], np.uint8)).astype(bool)
-        if 100 * (m["n"] - misses(own, union)) >= percent * max(m["n"], low):
+        if 100 * most_shared(m["n"], _bits(m["bits"]), other) >= percent * max(m["n"], low):
             kept.append(m["key"])
     return kept
 
 
+def _least_shared(percent: int) -> str:
+    """SQL for how many index tokens two groups must share, given ``g_low``, ``g_high``, ``h_low`` and ``h_high``, if any of their documents are linked.
+
+    Linked sets of a and b tokens share t / (1 + t) * (a + b) or more.  All of them
+    but those beyond the last index token of one set, at most ceil(t * n) - s, are index tokens of both.
+    That number falls with the smaller and grows with the larger set, so the extreme sizes of the groups give the least.
+    """
+    s = f"least({SHARED}, ceil({percent} * least(g_low, h_low) / 100D))"
+    least = ", ".join(
+        f"{percent}D * ({x} + {y}) / {100 + percent} - {percent}D * greatest({x}, {y}) / 100" for x, y in (("g_low", "h_high"), ("g_high", "h_low")))
+    return f"greatest({s}, {s} - 1 + ceil(least({least}) - 1e-6))"
+
+
 def _links(keys: list[bytes], sets: list[np.ndarray], sides: list[int], percent: int) -> list[tuple[bytes, bytes]]:
     """Links between documents of side 0 and side 1 (all pairs if there is one side): enough to connect what is linked."""
     parent = list(range(len(keys)))
@@ -175,10 +205,13 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     2. Classes that agree in a frequent index token, or else in two min-hashes,
        form a group, cut by a hash into parts of about ``GROUP``.  A group's row of the token-group matrix is the
        union of its tokens over hashed columns.
-    3. Groups meet on index tokens: of each set the first n - ceil(t*n) + 1 in
-       an order from rare to frequent, one of which linked sets must share.
-    4. The matrix bounds the overlap of each document with the other group's union;
-       only groups that pass are opened, and exact sets decide.  Of the links in
+    3. Groups meet on index tokens: of each set the first in
+       an order from rare to frequent, some of which linked sets must share (``needed``).  How many two groups
+       share bounds the overlap of their documents: what is not among the index tokens of both is beyond
+       the last index token of one of them.
+    4. The stored matrix bounds the overlap of each document with the other group's union, first
+       on the row of the group alone; members of a group are fetched for pairs that pass.
+       Only groups that pass are opened, and exact sets decide.  Of the links in
        a pair of groups a spanning forest is kept.
     5. Links become components.
     """
@@ -217,20 +250,52 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     # dealt by token once: that serves the removal of repeats and both sides of the join
     entries = grouped.select("group", F.explode("tokens").alias("token")).repartition("token").distinct()
     left, right = entries.withColumnRenamed("group", "g"), entries.withColumnRenamed("group", "h")
-    pairs = left.join(right, "token").where("g < h").select("g", "h").distinct()
-    alone = grouped.groupBy("group").agg(F.count_distinct("key").alias("n")).where("n > 1").select(F.col("group").alias("g"), F.col("group").alias("h"))
-    matrix = grouped.groupBy("group").agg(F.collect_set(F.struct("key", "n", "bits")).alias("members"))  # about GROUP of them
-    pairs = (
-        pairs.union(alone).join(matrix.select(F.col("group").alias("g"), F.col("members").alias("mine")), "g")
-        .join(matrix.select(F.col("group").alias("h"), F.col("members").alias("others")), "h")
-    )
+    pairs = left.join(right, "token").where("g < h").groupBy("g", "h").agg(F.count("*").alias("shared"))
+    members_of = grouped.groupBy("group").agg(F.collect_set(F.struct("key", "n", "bits")).alias("members"))  # about GROUP of them
+
+    def united():
+        return lambda batch: ([union_of([m["bits"] for m in members]) for members in batch.column("members").to_pylist()],)
+
+    matrix = members_of.withColumns({"low": F.array_min("members.n"), "high": F.array_max("members.n"), "count": F.size("members")})
+    matrix = staged(with_arrays(matrix, {"union": "binary"}, united), "group-matrix")
+    alone = matrix.where(F.col("count") > 1).select(F.col("group").alias("g"), F.col("group").alias("h"))
+    sizes_of = lambda name, own: matrix.select(F.col("group").alias(name), F.col("low").alias(f"{own}_low"), F.col("high").alias(f"{own}_high"))
+    pairs = pairs.join(sizes_of("g", "g"), "g").join(sizes_of("h", "h"), "h")
+    # sizes allow a link, and so do the shared index tokens
+    pairs = pairs.where(f"100 * least(g_high, h_high) >= {percent} * greatest(g_low, h_low) AND shared >= {_least_shared(percent)}")
+    pairs = staged(pairs, "group-pairs")
+
+    def bound_rows():
+        def run(batch):
+            names = [f"{own}_{name}" for own in "gh" for name in ("count", "low", "high", "union")]
+            found = []
+            for g_count, g_low, g_high, g, h_count, h_low, h_high, h in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                g, h = _bits(g), _bits(h)
+                # the row of a single document bounds its overlap; that of several together does not
+                left = g_count > 1 or 100 * most_shared(g_high, g, h) >= percent * max(g_high, h_low)
+                right = h_count > 1 or 100 * most_shared(h_high, h, g) >= percent * max(h_high, g_low)
+                found.append(left and right)
+            return (found,)
+
+        return run
+
+    union = lambda name, own: matrix.select(F.col("group").alias(name), F.col("count").alias(f"{own}_count"), F.col("union").alias(f"{own}_union"))
+    rows_met = pairs.join(union("g", "g"), "g").join(union("h", "h"), "h")
+    passed = with_arrays(rows_met.drop("shared"), {"open": "boolean"}, bound_rows, dropped=tuple(f"{own}_{name}" for own in "gh" for name in ("count", "low", "high", "union")))
+    passed = staged(passed.where("open").select("g", "h"), "bounded-pairs")
+    side = lambda name, own: matrix.select(F.col("group").alias(name), F.struct("members", "union", "low", "high").alias(own))
+    pairs = passed.union(alone).join(side("g", "mine"), "g").join(side("h", "others"), "h")
 
     def bound():
         def run(batch):
             lefts, rights = [], []
             for g, h, mine, others in zip(*(batch.column(c).to_pylist() for c in ("g", "h", "mine", "others")), strict=True):
-                keys = _qualifying(mine, others, percent)
-                back = [] if g == h or not keys else _qualifying(others, [m for m in mine if m["key"] in set(keys)], percent)
+                keys = _qualifying(mine["members"], others["union"], others["low"], others["high"], percent)
+                chosen = [m for m in mine["members"] if m["key"] in set(keys)]
+                back = []
+                if g != h and chosen:
+                    sizes = [m["n"] for m in chosen]
+                    back = _qualifying(others["members"], union_of([m["bits"] for m in chosen]), min(sizes), max(sizes), percent)
                 lefts.append(keys if g == h or back else [])
                 rights.append(back)
             return lefts, rights

@@ -18,6 +18,7 @@ WORD = re.compile(r"[^\W\d_]+")  # may hold other signs that count as word chara
 LONGEST, SHORTEST = 5, 1  # lengths of n-grams
 ROWS_PER_LANGUAGE = 2500  # expected number of labelled rows that are learned from
 SAMPLE_ROWS = 100_000  # and of those of all languages together; the model has only their terms
+SENT_LANGUAGES = 100_000  # counts of so many languages go to every task; more are joined by a shuffle
 REMEMBERED = 1 << 20  # numbers (words times languages) a task keeps as evidence of words
 AT_ONCE = 200_000  # words of texts worked on together
 _GOLD = 0x9E3779B97F4A7C15
@@ -85,6 +86,7 @@ def learn(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, sampl
     labelled = labelled.select("doc_id", "text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
     totals = labelled.groupBy("lang").agg(F.count("*").alias("__rows"))
     languages = max(1, totals.count())
+    totals = F.broadcast(totals) if languages <= SENT_LANGUAGES else totals  # no text moves
     rate = F.least(F.lit(1.0), F.lit(min(rows_per_language, sample_rows / languages)) / F.col("__rows"))
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) / 1_000_000
     counts = (
