@@ -24,6 +24,7 @@ RULES = (
     ("access", 1, r"AKIA[A-Z0-9]{14,}", 0, 18),
     ("hex", 1, r"[0-9a-f]{16,}", 0, 16),
 )
+LEDGER_SETTING = "spark.millrace.secretLedger"  # a folder that all executors reach
 SENT_BYTES = 1 << 25  # findings that are broadcast to be joined back to texts
 LEDGER = T.StructType([
     T.StructField("blob", T.BinaryType()), T.StructField("kind", T.StringType()), T.StructField("version", T.IntegerType()),
@@ -113,19 +114,24 @@ def findings(versions: DataFrame, ledger_path: str, rules=RULES) -> DataFrame:
 
 
 def scan(docs: DataFrame, ledger_path: str, rules=RULES, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """Join the findings back to every row of ``docs``: its columns and ``spans`` (empty where nothing was found)."""
-    if {"spans", "__blob"} & set(docs.columns):
-        raise ValueError("columns spans and __blob are taken by the result")
+    """Join the findings back to every row of ``docs``: its columns and ``spans`` (empty where nothing was found).
+
+    A column ``spans`` of ``docs``, in whatever case, gives way to that of the result.
+    """
+    docs = docs.drop(*[c for c in docs.columns if c.lower() == "spans"])
+    blob = "__blob"
+    while blob in docs.columns:
+        blob += "_"
     found = findings(docs.select(F.col(id_column).alias("path"), F.col(text).alias("text")), ledger_path, rules)
-    found = found.withColumnRenamed("blob", "__blob")
+    found = found.withColumnRenamed("blob", blob)
     empty = F.array().cast(found.schema["spans"].dataType)
     seen = found.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("spans")), F.lit(0)).alias("spans")).first()
     if 64 * seen["n"] + 48 * seen["spans"] <= SENT_BYTES:  # else texts and findings meet by a shuffle
         found = F.broadcast(found)
     return (
-        docs.withColumn("__blob", blob_of(text))
-        .join(found, "__blob", "left")
-        .withColumn("spans", F.coalesce("spans", empty)).drop("__blob")
+        docs.withColumn(blob, blob_of(text))
+        .join(found, blob, "left")
+        .withColumn("spans", F.coalesce("spans", empty)).drop(blob)
     )
 
 
@@ -159,11 +165,16 @@ def _is(kind: str):
     return lambda value: value == kind
 
 
+def ledger_of(spark: SparkSession) -> str:
+    """The ledger that lasts from run to run, as the session's ``LEDGER_SETTING`` names it; a new one where that is not set."""
+    return spark.conf.get(LEDGER_SETTING, None) or work_path(spark, "secret-ledger")
+
+
 @query()
 def op5_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The secrets of every document; the ledger starts empty."""
+    """The secrets of every document; blobs that the session's ledger knows are not scanned again."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = findings(docs.withColumnRenamed("doc_id", "path"), work_path(spark, "secret-ledger"))
+    found = findings(docs.withColumnRenamed("doc_id", "path"), ledger_of(spark))
     per_blob = found.select(
         "blob", *[F.array_size(F.filter(F.col("spans.kind"), _is(kind))).cast("long").alias(f"n_{kind}") for kind, *_ in RULES],
         _written("spans").alias("spans"))

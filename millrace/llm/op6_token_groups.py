@@ -339,10 +339,24 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """One row of each component stays: that of the least doc_id (of equal ids, those rows; null ids stay)."""
-    gone = near_duplicates(docs, percent).where("doc_id <> component_id").select("doc_id").distinct()
-    gone = staged(gone, "near-duplicates")
-    return docs.join(F.broadcast(gone) if gone.count() <= SENT else gone, "doc_id", "left_anti")
+    """One row of each component stays: that of the least doc_id, null ids last; of equal ids one of those rows.
+
+    Rows are told apart by a number of their own, so null and repeated ids are grouped like others,
+    a repeated row goes, and a row that shares the id of a dropped one stays.
+    Rows without words all stay.  The rows are stored once with their numbers.
+    """
+    row = "__row"
+    while row in docs.columns:
+        row += "_"
+    rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered-rows")
+    found = staged(near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), percent), "near-duplicates")
+    grouped = found.where("doc_id <> component_id").select("component_id").distinct()
+    members = found.join(grouped, "component_id", "left_semi").select(F.col("doc_id").alias(row), "component_id")
+    ids = members.join(rows.select(row, F.col("doc_id").cast("long").alias("id")), row)
+    order = F.struct(F.col("id").isNull().alias("none"), "id", row)
+    first = ids.groupBy("component_id").agg(F.min(order).alias("first")).select(F.col(f"first.{row}").alias(row))
+    gone = staged(members.select(row).join(first, row, "left_anti"), "dropped-rows")
+    return rows.join(F.broadcast(gone) if gone.count() <= SENT else gone, row, "left_anti").drop(row)
 
 
 @query()

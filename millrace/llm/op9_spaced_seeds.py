@@ -25,7 +25,7 @@ AROUND = 128  # tokens kept on each side of a hit for the comparison
 LEAST = 13  # tokens an overlap must span
 SENT = 1_000_000  # ids that are broadcast; more are joined by a shuffle
 SAME = 0.8  # and the share of them that must be equal
-HIT = "doc_id long, text_key long, cluster int, start int, tokens binary, hits array<struct<hash: long, at: int>>"
+HIT = "text_key long, cluster int, start int, tokens binary, hits array<struct<hash: long, at: int, step: int, times: int>>"
 
 
 def tokens_of(text: str | None) -> np.ndarray:
@@ -72,13 +72,51 @@ def seeds(tokens: np.ndarray, masks: list[tuple[int, str]]) -> tuple[np.ndarray,
     return np.concatenate(hashes), np.concatenate(places)
 
 
+def strides(hashes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Equal hashes at places of equal distance as one entry: hash, first place, distance (0 if alone), number of places.
+
+    So a repeated token or pattern is a few entries, however long it goes on.
+    """
+    order = np.lexsort((places, hashes))
+    hashes, places = hashes[order], places[order]
+    if not len(hashes):
+        return hashes, places, places, places
+    same = hashes[1:] == hashes[:-1]
+    gap = np.where(same, np.diff(places), 0)  # to the next place of the hash; 0 at its last
+    starts = [0]
+    at = 0
+    change = np.flatnonzero((gap[1:] != gap[:-1]) | ~same[1:]) + 1 if len(gap) else np.zeros(0, int)
+    change = np.append(change, len(gap))
+    while at < len(hashes) - 1:  # an entry goes on while the distance stays the same
+        if not gap[at]:
+            at += 1
+        else:
+            at = int(change[np.searchsorted(change, at, side="right")]) + 1
+        if at < len(hashes):
+            starts.append(at)
+    starts = np.array(starts)
+    times = np.diff(np.append(starts, len(hashes)))
+    step = np.where(times > 1, np.append(gap, 0)[starts], 0)
+    return hashes[starts], places[starts], step, times
+
+
+#: All differences of a place of the document and one of the item, for two entries with the same hash
+SHIFTS = """
+    CASE WHEN step = item_step OR times = 1 OR item_times = 1
+         THEN sequence(at - item_at - (item_times - 1) * item_step, at - item_at + (times - 1) * step, greatest(step, item_step, 1))
+         ELSE flatten(transform(sequence(0, times - 1), i -> transform(sequence(0, item_times - 1), j -> at + i * step - item_at - j * item_step))) END
+"""
+
+
 def _item_seeds(shortest: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for item_id, text in zip(batch["item_id"], batch["text"], strict=True):
                 tokens = tokens_of(text)
                 hashes, places = seeds(tokens, masks_for([len(tokens)]) if len(tokens) >= max(1, shortest) else [])
-                yield pd.DataFrame({"item_id": item_id, "hash": hashes.astype(np.int64), "item_at": places.astype(np.int32)})
+                hashes, first, step, times = strides(hashes, places)
+                columns = {"item_at": first, "item_step": step, "item_times": times}
+                yield pd.DataFrame({"item_id": item_id, "hash": hashes.astype(np.int64), **{name: c.astype(np.int32) for name, c in columns.items()}})
 
     return run
 
@@ -102,7 +140,7 @@ def longest_overlap(equal: np.ndarray, same: float) -> tuple[int, int]:
     return int(starts[best]), int(ends[best] - starts[best])
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, same: float = SAME, shortest: int = 8) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, same: float = SAME, shortest: int = 1) -> DataFrame:
     """The overlaps of documents (doc_id, text) with benchmark items (item_id, text).
 
     One row per document and item that overlap: doc_id, item_id, ``doc_start``
@@ -117,13 +155,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, same
 
     The filter only holds back hashes that no item has; the join on the hash
     and the comparison decide.  A null or empty text on either side overlaps
-    with nothing; equal rows give one result; an item that is frequent in the
-    documents is joined on (hash, document) rows and so spreads with them.
+    with nothing.  Equal texts are compared once, and equal rows give one result, as do
+    rows without an id (for each item, the longest overlap); other columns are ignored.  An item that is frequent in the
+    documents is joined on (hash, text) rows and so spreads with them; a pattern that repeats in a text is one row.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long"), "text").where("text IS NOT NULL")
     item_tokens = items.mapInPandas(_item_tokens, "item_id long, item_tokens binary")
-    item_seeds = items.mapInPandas(_item_seeds(shortest), "item_id long, hash long, item_at int")
+    item_seeds = items.mapInPandas(_item_seeds(shortest), "item_id long, hash long, item_at int, item_step int, item_times int")
     lengths = item_tokens.select(F.least(F.lit(SPAN), F.octet_length("item_tokens") / 8).cast("int").alias("n")).distinct().collect()  # at most SPAN + 1
     masks = masks_for([r["n"] for r in lengths if r["n"] >= max(1, shortest)])
     bit = F.shiftrightunsigned("hash", 64 - BITS)
@@ -144,7 +183,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, same
         bits = shared.value
         for batch in batches:
             rows = []
-            for doc_id, key, text in zip(batch["doc_id"], batch["text_key"], batch["text"], strict=True):
+            for key, text in zip(batch["text_key"], batch["text"], strict=True):
                 tokens = tokens_of(text)
                 hashes, places = seeds(tokens, masks)
                 slots = (hashes >> np.uint64(64 - BITS)).astype(np.int64) - 1  # as block and position, from bit 1
@@ -159,17 +198,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, same
                     own = places[group]
                     start = max(0, int(own[0]) - AROUND)
                     kept = tokens[start : int(own[-1]) + SPAN + AROUND]
-                    hits = [{"hash": h, "at": p} for h, p in zip(hashes[group].astype(np.int64).tolist(), own.tolist(), strict=True)]
-                    rows.append((doc_id, key, number, start, kept.tobytes(), hits))
-            yield pd.DataFrame(rows, columns=["doc_id", "text_key", "cluster", "start", "tokens", "hits"])
+                    entries = strides(hashes[group], own)
+                    hits = [dict(zip(("hash", "at", "step", "times"), e, strict=True)) for e in zip(*(x.astype(np.int64).tolist() for x in entries), strict=True)]
+                    rows.append((key, number, start, kept.tobytes(), hits))
+            yield pd.DataFrame(rows, columns=["text_key", "cluster", "start", "tokens", "hits"])
 
-    keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text").where("text IS NOT NULL AND doc_id IS NOT NULL")
-    found = staged(keyed.mapInPandas(search, HIT), "benchmark-hits")
+    keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text").where("text IS NOT NULL")
+    found = staged(keyed.select("text_key", "text").mapInPandas(search, HIT), "benchmark-hits").dropDuplicates(["text_key", "cluster"])
     diagonals = (
-        found.select("doc_id", "text_key", "cluster", F.explode("hits").alias("hit"))
-        .select("doc_id", "text_key", "cluster", F.col("hit.hash").alias("hash"), F.col("hit.at").alias("at"))
-        .join(item_seeds, "hash")
-        .select("doc_id", "text_key", "cluster", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
+        found.select("text_key", "cluster", F.explode("hits").alias("hit")).select("text_key", "cluster", "hit.*")
+        .join(item_seeds, "hash").select("text_key", "cluster", "item_id", F.explode(F.expr(SHIFTS)).alias("shift")).distinct()
     )
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -182,26 +220,34 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, same
                 equal = left[low + offset : high + offset] == right[low:high]
                 at, length = longest_overlap(equal, same)
                 if length >= min(least, len(right)):
-                    rows.append((row.doc_id, row.item_id, row.start + low + offset + at, low + at, length, int(equal[at : at + length].sum())))
-            yield pd.DataFrame(rows, columns=["doc_id", "item_id", "doc_start", "item_start", "n_tokens", "n_equal"])
+                    rows.append((row.text_key, row.item_id, row.start + low + offset + at, low + at, length, int(equal[at : at + length].sum())))
+            yield pd.DataFrame(rows, columns=["text_key", "item_id", "doc_start", "item_start", "n_tokens", "n_equal"])
 
     sides = (
-        diagonals.join(found.drop("hits").dropDuplicates(["doc_id", "text_key", "cluster"]), ["doc_id", "text_key", "cluster"])
-        .join(item_tokens, "item_id")
-        .select("doc_id", "item_id", "shift", "start", "tokens", "item_tokens")
+        diagonals.join(found.drop("hits"), ["text_key", "cluster"]).join(item_tokens, "item_id")
+        .select("text_key", "item_id", "shift", "start", "tokens", "item_tokens")
     )
-    overlaps = sides.mapInPandas(compare, "doc_id long, item_id long, doc_start int, item_start int, n_tokens int, n_equal int")
+    overlaps = sides.mapInPandas(compare, "text_key long, item_id long, doc_start int, item_start int, n_tokens int, n_equal int")
     best = F.max_by(F.struct("doc_start", "item_start", "n_tokens", "n_equal"), F.struct("n_equal", "n_tokens", -F.col("doc_start"), -F.col("item_start")))
-    return overlaps.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.*")
+    overlaps = staged(overlaps.groupBy("text_key", "item_id").agg(best.alias("best")).select("text_key", "item_id", "best.*"), "overlaps")
+    # texts are read again for their ids only
+    ids = keyed.select("doc_id", "text_key")
+    named = ids.join(F.broadcast(overlaps) if overlaps.count() <= SENT else overlaps, "text_key")
+    return named.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.*")
 
 
 def without_overlaps(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, same: float = SAME, shortest: int = 1) -> DataFrame:
-    """The documents that overlap with no benchmark item, however short; rows without an id stay."""
-    leaks = staged(contaminated(docs, benchmark, least, same, shortest).select("doc_id").distinct(), "leaks")
-    return docs.join(F.broadcast(leaks) if leaks.count() <= SENT else leaks, "doc_id", "left_anti")
+    """The documents that overlap with no benchmark item, however short.
+
+    Decided by text: rows with a null id are searched like others, and of rows that share an
+    id only those go whose own text overlaps.  Rows with a null text stay.
+    """
+    texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    leaks = staged(contaminated(texts, benchmark, least, same, shortest).select(F.col("doc_id").alias("__leak")).distinct(), "leaks")
+    return docs.join(F.broadcast(leaks) if leaks.count() <= SENT else leaks, F.xxhash64(docs["text"]) == F.col("__leak"), "left_anti")
 
 
 @query()
 def op9_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that hold benchmark items, and which."""
-    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), shortest=1)
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

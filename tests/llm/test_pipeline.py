@@ -63,7 +63,7 @@ def test_queries_with_sql(spark):
 
 def test_all_are_registered():
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in llm.QUERIES} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in llm.QUERIES} and "pipeline" in names
 
 
 def test_mixing_returns_the_texts_of_the_stage_before(spark):

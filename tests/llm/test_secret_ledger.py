@@ -38,3 +38,33 @@ def test_redaction_and_empty_table(docs_of, tmp_path):
     found = {r["doc_id"]: r["text"] for r in s.redacted(s.scan(docs_of(rows), str(tmp_path / "a"))).collect()}
     assert found == {1: "a <secret> b <secret> c", 2: None, 3: "clean"}
     assert s.scan(docs_of([]), str(tmp_path / "b")).count() == 0
+
+
+def test_a_second_run_of_the_pipeline_scans_nothing_known(spark):
+    """The ledger of the session lasts; only new texts are added to it, and results stay the same."""
+    import corpus_pipeline
+    from millrace.session import work_path
+
+    path = work_path(spark, "lasting-ledger")
+    rows = [(i, f"document {i} with password = abcdefghijkl{i % 3}", "en", "s", 5) for i in range(12)] + [(None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    spark.conf.set(s.LEDGER_SETTING, path)
+    try:
+        first = sorted(map(str, corpus_pipeline.redact_secrets(spark, docs, "").collect()))
+        known = spark.read.parquet(path).count()
+        assert known == 13 * len(s.RULES)
+        assert sorted(map(str, corpus_pipeline.redact_secrets(spark, docs, "").collect())) == first
+        assert spark.read.parquet(path).count() == known
+        more = docs.union(spark.createDataFrame([(99, "one new text", "en", "s", 5)], docs.schema))
+        assert corpus_pipeline.redact_secrets(spark, more, "").count() == 14
+        assert spark.read.parquet(path).count() == known + len(s.RULES)
+    finally:
+        spark.conf.unset(s.LEDGER_SETTING)
+
+
+def test_clashing_columns_give_way(spark):
+    docs = spark.createDataFrame([(1, "token = abcdefghijklm", 7, "x")], "doc_id long, text string, Spans int, __blob string")
+    from millrace.session import work_path
+
+    row = s.scan(docs, work_path(spark, "ledger")).first()
+    assert len(row["spans"]) == 1 and row["__blob"] == "x"

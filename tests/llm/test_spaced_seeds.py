@@ -35,10 +35,10 @@ def test_planted_passages(spark, docs_of):
             if item == 1:  # every seventh word is replaced
                 passage[3::7] = words(rng, len(passage[3::7]))
             body[100:100] = passage
-            if item < 4:
-                expected[doc_id] = item
+            expected[doc_id] = item
         docs.append((doc_id, " ".join(body).replace("a", "A") + ".", "l", "s"))
-    docs += [(100, None), (101, ""), (None, " ".join(items[0])), docs[0], (102, "word " * 30_000)]
+    docs += [(100, None), (101, ""), (None, " ".join(items[0])), docs[0], (102, "word " * 30_000), (None, " ".join(words(rng, 50)))]
+    expected[None] = 0  # rows without an id are searched too
     benchmark = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)] + [(7, None), (8, "")], "item_id long, text string")
     found = d.contaminated(docs_of(docs), benchmark).collect()
     assert {r["doc_id"]: r["item_id"] for r in found} == expected and len(found) == len(expected)
@@ -92,3 +92,37 @@ def test_substitutions_against_brute_force(spark, docs_of):
     assert len(expected) > 60 and sorted((r["doc_id"], r["item_id"]) for r in found) == sorted(expected)
     kept = d.without_overlaps(docs_of(docs), benchmark).collect()
     assert {r["doc_id"] for r in kept} == set(range(81)) - {doc_id for doc_id, _ in expected}
+
+
+def test_strides():
+    rng = random.Random(7)
+    for _ in range(300):
+        n = rng.randint(0, 40)
+        hashes = np.array([rng.choice((1, 1, 1, 2, 9)) for _ in range(n)], np.uint64)
+        places = np.array(sorted(rng.sample(range(80), n)), np.int64)
+        found = [(int(h), int(at + i * step)) for h, at, step, times in zip(*d.strides(hashes, places), strict=True) for i in range(times)]
+        assert sorted(found) == sorted(zip(hashes.tolist(), places.tolist(), strict=True))
+    assert [x.tolist() for x in d.strides(np.full(1000, 5, np.uint64), np.arange(1000) * 3)] == [[5], [0], [3], [1000]]
+
+
+def test_repeated_tokens_stay_small(spark, docs_of):
+    """A document of one token and an item of the same, and patterns of different periods."""
+    items = [(0, "la " * 200), (1, "la li " * 40), (2, "la la li " * 30)]
+    docs = [(0, "la " * 20_000), (1, "la li " * 500), (2, "li la la " * 500), (3, "lo " * 500)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): r["n_tokens"] for r in d.contaminated(docs_of(docs), benchmark).collect()}
+    for doc_id, text in docs:
+        left = d.tokens_of(text)[:1200]
+        for item_id, item in items:
+            right = d.tokens_of(item)
+            best = max((d.longest_overlap(left[max(0, s) : len(right) + s][: min(len(right) - max(0, -s), len(left) - max(0, s))] == right[max(0, -s) : min(len(right), len(left) - s)], 0.8)[1] for s in range(1 - len(right), len(left))), default=0)
+            assert ((doc_id, item_id) in found) == (best >= 13)
+
+
+def test_rows_go_by_their_own_text(spark, docs_of):
+    rng = random.Random(3)
+    item, clean = " ".join(words(rng, 30)), " ".join(words(rng, 30))
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = docs_of([(1, item), (1, clean), (None, item), (None, clean), (2, item), (2, item), (3, None)]).withColumnRenamed("lang", "text_key")
+    kept = [(r["doc_id"], r["text"]) for r in d.without_overlaps(docs, benchmark).collect()]
+    assert sorted(kept, key=repr) == sorted([(1, clean), (None, clean), (3, None)], key=repr)

@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -67,7 +68,8 @@ def test_repeated_rows_null_ids_and_empty_table(docs_of):
     found = g.near_duplicates(docs_of(rows)).collect()
     assert len(found) == 6 and all(r["component_id"] == 5 for r in found if r["n_shingles"] == 46)
     assert g.near_duplicates(docs_of([])).count() == 0
-    assert sorted(r["doc_id"] or 0 for r in g.keep_first(docs_of(rows)).collect()) == [0, 0, 5, 5, 5]
+    # one row of the four with the same words stays, whatever its id
+    assert sorted(r["doc_id"] or 0 for r in g.keep_first(docs_of(rows)).collect()) == [0, 5, 5]
 
 
 def test_components(spark):
@@ -75,3 +77,30 @@ def test_components(spark):
     found = dict(components(spark.createDataFrame(edges, "u long, v long")).collect())
     assert found == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 104)}}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_rows_of_null_and_shared_ids(spark, docs_of):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(5, text), (5, "other words entirely, five of them here"), (None, text.upper()), (None, text), (3, None), (3, ""), (5, text), (None, "alone but for itself and not like others")]
+    kept = sorted(((r["doc_id"], r["text"]) for r in g.keep_first(docs_of(rows).withColumnRenamed("lang", "__row")).collect()), key=repr)
+    assert kept == sorted([(5, text), (5, rows[1][1]), (3, None), (3, ""), (None, rows[7][1])], key=repr)
+
+
+def test_least_shared_allows_every_link(spark):
+    """Of two linked sets of any sizes, at least as many index tokens are shared as pairs of groups must share."""
+    rng = random.Random(5)
+    for size in (1, 2, 3, 4, 5, 9, 20, 63, 200):
+        for _ in range(60):
+            stock = rng.sample(range(10**6), 3 * size + 20)
+            shared = stock[:size]
+            left = shared + stock[size : size + rng.randint(0, size // 4)]
+            right = shared + stock[2 * size : 2 * size + rng.randint(0, size // 4)]
+            if 100 * size < 80 * len(set(left) | set(right)):
+                continue
+            prefix = lambda own: sorted(own)[: len(own) - -(-80 * len(own) // 100) + g.needed(len(own), 80)]
+            met = len(set(prefix(left)) & set(prefix(right)))
+            low = 80 / 180 * (len(left) + len(right)) - 0.8 * max(len(left), len(right))
+            s = min(g.SHARED, -(-80 * min(len(left), len(right)) // 100))
+            assert met >= max(s, s - 1 + math.ceil(low - 1e-6))
+    sizes = spark.createDataFrame([(10, 10, 10, 10), (100, 100, 100, 100), (80, 80, 100, 100), (1, 500, 90, 90)], "g_low int, g_high int, h_low int, h_high int")
+    assert [int(r[0]) for r in sizes.selectExpr(g._least_shared(80)).collect()] == [3, 11, 3, 1]
