@@ -26,25 +26,28 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every component of near duplicates the document with the least id stays."""
+    """Of every component of near duplicates the document with the least id stays, of null or equal ids one row."""
     return op6_token_groups.keep_first(docs)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item, also with substituted words, go."""
+    """Documents that hold a benchmark item, also with substituted words, go; rows without a text stay, as do all without a benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return op9_spaced_seeds.without_overlaps(docs, benchmark)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents stay; secrets in their texts are replaced by a mark, and n_chars follows."""
-    found = op5_secret_ledger.scan(docs, work_path(spark, "secret-ledger"))
+    """All documents stay; secrets in their texts are replaced by a mark, and n_chars follows.
+
+    Texts that the session's ledger knows from an earlier run are not scanned again.  A null text stays null.
+    """
+    found = op5_secret_ledger.scan(docs, op5_secret_ledger.ledger_of(spark))
     clean = op5_secret_ledger.redacted(found)
     return clean.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents that are left, with their redacted texts, in training order."""
+    """All documents that are left, with their redacted texts, in training order; no rows give none."""
     return op4_pfair_mix.mix(docs)
 
 
