@@ -99,15 +99,20 @@ def suffix_names(data: np.ndarray, low: int, high: int, length: int) -> Iterator
 
 
 def _blobs(bucket: np.ndarray, key: np.ndarray, names: np.ndarray, places: np.ndarray, packed) -> pd.DataFrame:
-    """One row per bucket; rows of a bucket are ordered by key and place.  ``packed`` turns its rows into the two last columns."""
-    order = np.lexsort((places, key, bucket))
+    """One row per bucket; within a bucket rows keep their order, by text and place.  ``packed`` turns its rows into the two last columns."""
+    order = np.argsort(bucket.astype(np.uint16) if len(bucket) and bucket.max() < 1 << 16 else bucket, kind="stable")
     bucket, key, names, places = bucket[order], key[order], names[order], places[order]
+    new_bucket = np.append(True, bucket[1:] != bucket[:-1]) if len(bucket) else np.zeros(0, bool)
+    # texts of a bucket: where the text or the bucket changes
+    firsts = np.flatnonzero(new_bucket | np.append(True, key[1:] != key[:-1])) if len(bucket) else np.zeros(0, np.int64)
+    counts = np.diff(np.append(firsts, len(key))).astype(np.int32)
+    cuts = np.flatnonzero(new_bucket)
+    ends = np.append(cuts[1:], len(bucket))
+    texts = np.searchsorted(firsts, np.append(cuts, len(bucket)))
     rows = []
-    for at in np.split(np.arange(len(bucket)), np.flatnonzero(np.diff(bucket)) + 1):
-        if len(at):
-            own = slice(at[0], at[-1] + 1)
-            keys, counts = np.unique(key[own], return_counts=True)
-            rows.append((int(bucket[at[0]]), keys.astype(np.int64).tobytes(), counts.astype(np.int32).tobytes(), *packed(names[own], places[own])))
+    for n, (low, high) in enumerate(zip(cuts.tolist(), ends.tolist(), strict=True)):
+        own = slice(texts[n], texts[n + 1])
+        rows.append((int(bucket[low]), key[firsts[own]].astype(np.int64).tobytes(), counts[own].tobytes(), *packed(names[low:high], places[low:high])))
     return pd.DataFrame(rows, columns=["bucket", "keys", "counts", "names", "places"])
 
 
@@ -115,20 +120,6 @@ def _as_steps(places: np.ndarray) -> bytes:
     return np.diff(places, prepend=0).astype(np.int32).tobytes()  # small numbers, which compress well
 
 
-def _as_runs(places: np.ndarray) -> bytes:
-    """Places as (start, length) runs; a new document starts lower, so runs never cross documents by mistake of order."""
-    cut = np.flatnonzero(np.diff(places) != 1) + 1
-    starts = places[np.concatenate(([0], cut))] if len(places) else places
-    lengths = np.diff(np.concatenate(([0], cut, [len(places)])))
-    return np.stack((starts, lengths[: len(starts)])).astype(np.int32).tobytes()
-
-
-def _from_runs(data: bytes) -> np.ndarray:
-    starts, lengths = np.frombuffer(data, np.int32).reshape(2, -1).astype(np.int64)
-    ends = np.cumsum(lengths)
-    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths) + np.repeat(starts, lengths)
-
-
 def _repeated(names: np.ndarray, keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which suffixes have a name that starts at two different places; copies of a text count as one place.
 
@@ -138,23 +129,38 @@ def _repeated(names: np.ndarray, keys: np.ndarray, places: np.ndarray) -> tuple[
     if not len(names):
         return found, telling
     spots = mixed(keys.astype(np.uint64) ^ (places.astype(np.uint64) * _GOLD))
-    order = np.lexsort((spots, names))
+    order = np.argsort(names)
     ranked = names[order]
-    starts = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-    ends = np.concatenate((starts[1:], [len(names)]))
-    different = spots[order[starts]] != spots[order[ends - 1]]
-    found[order] = np.repeat(different, ends - starts)
+    starts = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
+    sizes = np.diff(np.append(starts, len(names)))
     telling[order[starts]] = True
-    telling[order[ends[different] - 1]] = True
+    several = sizes > 1
+    if several.any():
+        starts, sizes = starts[several], sizes[several]
+        own = np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)  # ranks of names met more than once
+        other = spots[order[own]] != np.repeat(spots[order[starts]], sizes)
+        groups = np.append(0, np.cumsum(sizes)[:-1])
+        last = np.maximum.reduceat(np.where(other, own, -1), groups)
+        different = last >= 0
+        found[order[own]] = np.repeat(different, sizes)
+        telling[order[last[different]]] = True
     return found, telling
 
 
 def _runs_of(keys: np.ndarray, places: np.ndarray) -> list[tuple[int, bytes]]:
     """Per text its places, as runs."""
+    if not len(keys):
+        return []
     order = np.lexsort((places, keys))
     keys, places = keys[order], places[order]
-    parts = np.split(np.arange(len(keys)), np.flatnonzero(np.diff(keys)) + 1)
-    return [(int(keys[at[0]]), _as_runs(np.unique(places[at[0] : at[-1] + 1]))) for at in parts if len(at)]
+    new_key = np.append(True, keys[1:] != keys[:-1])
+    once = new_key | np.append(True, places[1:] != places[:-1])
+    keys, places, new_key = keys[once], places[once], new_key[once]
+    firsts = np.flatnonzero(new_key | np.append(True, np.diff(places) != 1))  # of runs
+    starts, lengths = places[firsts].astype(np.int32), np.diff(np.append(firsts, len(places))).astype(np.int32)
+    cuts = np.flatnonzero(new_key)
+    ends = np.searchsorted(firsts, np.append(cuts, len(keys)))
+    return [(key, starts[a:b].tobytes() + lengths[a:b].tobytes()) for key, a, b in zip(keys[cuts].tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
 def _settled(bucket: np.ndarray, key: np.ndarray, names: np.ndarray, places: np.ndarray, buckets: int, packed) -> pd.DataFrame:
@@ -177,8 +183,12 @@ def _answer(kind):
 
     def rank(rows: pd.DataFrame) -> pd.DataFrame:
         if rows["bucket"].iloc[0] < 0:  # found in piles
-            out = [(int(key), _as_runs(_union(list(runs)))) for key, runs in rows.groupby(rows["keys"].map(lambda k: np.frombuffer(k, np.int64)[0]))["places"]]
-            return pd.DataFrame(out, columns=["key", "runs"])
+            keys = [np.frombuffer(k, np.int64)[0] for k in rows["keys"]]
+            parts = [np.frombuffer(b, np.int32) for b in rows["places"]]
+            starts, lengths = (np.concatenate([p[i * len(p) // 2 : (i + 1) * len(p) // 2] for p in parts]).astype(np.int64) for i in range(2))
+            owner = np.repeat(np.array(keys, np.int64), [len(p) // 2 for p in parts])
+            places = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(starts, lengths)
+            return pd.DataFrame(_runs_of(np.repeat(owner, lengths), places), columns=["key", "runs"])
         names, keys, places = [], [], []
         for row in rows.itertuples(index=False):
             counts = np.frombuffer(row.counts, np.int32)
@@ -193,7 +203,15 @@ def _answer(kind):
 
 
 def _union(blobs: list[bytes]) -> np.ndarray:
-    return np.unique(np.concatenate([_from_runs(b) for b in blobs]))
+    """All places of some lists of runs, ascending, once each."""
+    parts = [np.frombuffer(b, np.int32) for b in blobs]
+    starts = np.concatenate([p[: len(p) // 2] for p in parts]).astype(np.int64)
+    lengths = np.concatenate([p[len(p) // 2 :] for p in parts]).astype(np.int64)
+    order = np.argsort(starts)
+    starts, ends = starts[order], np.maximum.accumulate((starts + lengths)[order])
+    starts[1:] = np.maximum(starts[1:], ends[:-1])  # what an earlier run holds already is left out
+    lengths = np.maximum(0, ends - starts)
+    return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(starts, lengths)
 
 
 def removed_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
