@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import joins as J
 from millrace.operators.dedup import keep_first
-from millrace.operators.profile import composition, dataset_card
+from millrace.operators.profile import card_lines, composition, dataset_card
 from millrace.operators.shape import prefixed_id, union_sources
 from millrace.plans.preference import preference_corpus
 
@@ -146,3 +146,18 @@ def keep_first_null_text(spark, sf):
     """A null text is equal to nothing: all its rows stay."""
     docs = table(spark, sf, "documents").withColumn("text", F.when(F.col("doc_id") % 5 != 0, F.col("text")))
     return keep_first(docs, F.md5("text"), "doc_id").select("doc_id")
+
+
+@query("""
+    WITH r AS (SELECT CASE WHEN conv_id % 2 = 0 THEN 'metamath' ELSE 'codealpaca' END AS dataset, role AS split FROM conversations),
+    c AS (SELECT dataset, split, count(*) AS rows, grouping(dataset) AS d, grouping(split) AS s FROM r GROUP BY CUBE (dataset, split))
+    SELECT CASE WHEN d + s = 2 THEN 'whole' WHEN s = 1 THEN 'source' WHEN d = 1 THEN 'split' ELSE 'part' END AS section,
+           CASE WHEN d + s = 2 THEN '(all)' WHEN s = 1 THEN dataset WHEN d = 1 THEN split ELSE dataset || ' / ' || split END AS name,
+           rows, round(100.0 * rows / (SELECT count(*) FROM r), 6) AS percent FROM c
+""")
+def composition_lines(spark, sf):
+    rows = table(spark, sf, "conversations").select(
+        F.when(F.col("conv_id") % 2 == 0, "metamath").otherwise("codealpaca").alias("dataset"),
+        F.col("role").alias("split"),
+    )
+    return card_lines(rows).drop("line").withColumn("percent", F.round("percent", 6))

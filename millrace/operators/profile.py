@@ -66,6 +66,9 @@ def violation_counts(df: DataFrame, rule: Column, by: Sequence[str] = ("split",)
     return df.where(rule).groupBy(*by).agg(F.count("*").alias("violations"))
 
 
+CARD_LINES = 1000  # sources, and splits, that a card lists
+
+
 def composition(df: DataFrame, source: str = "dataset", split: str = "split") -> DataFrame:
     """Rows and percent of the whole per source and split, with all totals.
 
@@ -84,28 +87,42 @@ def composition(df: DataFrame, source: str = "dataset", split: str = "split") ->
     )
 
 
-def dataset_card(df: DataFrame, title: str, source: str = "dataset", split: str = "split") -> DataFrame:
-    """A Markdown card with the composition, as a one-row table ``card``.
+def card_lines(df: DataFrame, source: str = "dataset", split: str = "split") -> DataFrame:
+    """The lines of a card as rows (section, name, rows, percent, line), however many sources and splits there are.
 
-    Built from the composition table, one line per source and per split.
+    ``section`` is ``whole``, ``source``, ``split`` or, for one source in one split, ``part``.
     """
     shares = composition(df, source, split)
     all_sources, all_splits = F.col(source) == "(all)", F.col(split) == "(all)"
+    section = F.when(all_sources & all_splits, "whole").when(all_splits, "source").when(all_sources, "split").otherwise("part")
+    name = F.when(all_sources & all_splits, "(all)").when(all_splits, F.col(source)).when(all_sources, F.col(split)).otherwise(F.concat_ws(" / ", source, split))
+    line = F.format_string("- **%s**: %,d samples (%.1f%%)", F.col("name"), F.col("rows"), F.col("percent"))
+    return shares.select(section.alias("section"), name.alias("name"), "rows", "percent").withColumn("line", line)
 
-    def section(name: str, rows: Column) -> Column:
-        line = F.format_string("- **%s**: %,d samples (%.1f%%)", F.col(name), F.col("rows"), F.col("percent"))
-        entry = F.struct(F.col(name).alias("name"), line.alias("line"))
-        listed = F.array_sort(F.collect_list(F.when(rows, entry)))
-        return F.array_join(F.transform(listed, lambda s: s["line"]), "\n")
 
-    return shares.agg(
+def dataset_card(df: DataFrame, title: str, source: str = "dataset", split: str = "split", most: int = CARD_LINES) -> DataFrame:
+    """A Markdown card with the composition, as a one-row table ``card``.
+
+    One line per source and per split, by name; the ``most`` largest of each if there are more,
+    followed by how many are left out (``card_lines`` has them all as rows).
+    """
+    lines = card_lines(df, source, split).where("section <> 'part'")
+    largest = F.row_number().over(Window.partitionBy("section").orderBy(F.desc("rows"), "name"))
+    lines = lines.withColumn("__place", largest).groupBy("section").agg(
+        F.count("*").alias("__lines"), F.max("rows").alias("rows"),
+        F.array_sort(F.collect_list(F.when(F.col("__place") <= most, F.struct("name", "line")))).alias("__listed"))
+
+    def section(name: str) -> Column:
+        own = F.col("section") == name
+        text = F.array_join(F.transform("__listed", lambda s: s["line"]), "\n")
+        more = F.when(F.col("__lines") > most, F.format_string("\n- and %,d more", F.col("__lines") - most)).otherwise("")
+        return F.coalesce(F.max(F.when(own, F.concat(text, more))), F.lit(""))
+
+    return lines.agg(
         F.concat(
             F.lit(f"# {title}\n\nThis dataset contains "),
-            F.format_string("%,d", F.max(F.when(all_sources & all_splits, F.col("rows")))),
-            F.lit(" samples.\n\n## Dataset Composition\n\n"),
-            section(source, ~all_sources & all_splits),
-            F.lit("\n\n## Dataset Splits\n\n"),
-            section(split, all_sources & ~all_splits),
-            F.lit("\n"),
+            F.format_string("%,d", F.max(F.when(F.col("section") == "whole", F.col("rows")))),
+            F.lit(" samples.\n\n## Dataset Composition\n\n"), section("source"),
+            F.lit("\n\n## Dataset Splits\n\n"), section("split"), F.lit("\n"),
         ).alias("card")
     )

@@ -70,3 +70,11 @@ def test_answer_shares_list_missing_letters(spark):
     found = {r.answer: (r["rows"], r.percent) for r in profile.answer_shares(df).collect()}
     assert found == {"A": (2, 50.0), "B": (0, 0.0), "C": (1, 25.0), "D": (0, 0.0)}
     assert {r.answer for r in profile.answer_shares(df, letters=None).collect()} == {"A", "C", "E"}
+
+
+def test_card_of_many_sources(spark):
+    df = spark.range(500).select(F.concat(F.lit("s"), F.col("id").cast("string")).alias("dataset"), F.lit("train").alias("split"))
+    df = df.union(df.where("dataset = 's7'"))
+    card = profile.dataset_card(df, "T", most=3).first()["card"]
+    assert card.count("- **s") == 3 and "**s7**: 2 samples" in card and "- and 497 more" in card and "501 samples.\n" in card
+    assert profile.card_lines(df).count() == 1 + 500 + 1 + 500
