@@ -123,12 +123,12 @@ def mix(
     dropped or repeated: a source that runs out leaves its share to the rest.
 
     Adds ``block`` (of its source, from 0), ``phase``, ``slot`` and ``position``
-    (of the row, dense from 0).  A null source is a source; null ids, equal ids and
+    (of the row, dense from 0), in place of columns of these names.  A null source is a source; null ids, equal ids and
     repeated rows are rows like all others; an empty table stays empty.
     """
-    taken = (set(RESULT) | {"__name", "__row", "__key", "__bucket", "__before", "__plan", "__at"}) & set(docs.columns)
-    if taken:
-        raise ValueError(f"columns exist already: {sorted(taken)}")
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in RESULT])
+    aside = {c: f"{c}__own" for c in docs.columns if c.lower() in ("__name", "__row", "__key", "__bucket", "__before", "__plan", "__at")}
+    docs = docs.withColumnsRenamed(aside)
     found = docs.groupBy(F.col(source).alias("source"), _name(F.col(source)).alias("name")).count().limit(SOURCES + 1).collect()
     if len(found) > SOURCES:
         raise ValueError(f"more than {SOURCES} sources")
@@ -159,7 +159,7 @@ def mix(
         .withColumn("slot", F.col("__at.start") + F.floor(place / each) * F.col("__at.size") + F.get(own, (place % each).cast("int")))
         .withColumn("position", F.col("slot") * block + row % block - F.aggregate(
             F.filter(gaps, lambda g: g["slot"] < F.col("slot")), F.lit(0).cast("long"), lambda total, g: total + g["gap"]))
-        .drop("__name", "__row", "__plan", "__at")
+        .drop("__name", "__row", "__plan", "__at").withColumnsRenamed({new: old for old, new in aside.items()})
     )
 
 

@@ -54,9 +54,11 @@ def test_rows_against_simulation(docs_of):
 
 
 def test_empty_table_and_clash(docs_of):
+    """Columns with the names of the result give way, all others stay."""
     assert m.mix(docs_of([])).count() == 0
-    with pytest.raises(ValueError):
-        m.mix(docs_of([]).withColumnRenamed("lang", "slot"))
+    docs = docs_of([(n, "t", f"l{n}", "s") for n in range(20)])
+    found = m.mix(docs.withColumnsRenamed({"lang": "Slot", "text": "__row"})).collect()
+    assert sorted(r["position"] for r in found) == list(range(20)) and all(r["__row"] == "t" and isinstance(r["slot"], int) for r in found)
 
 
 def test_native_plan(spark):
