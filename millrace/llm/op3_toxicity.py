@@ -32,14 +32,20 @@ def subwords(word: str) -> list[int]:
     return [value % BUCKETS for value in found]
 
 
-def window_borders(words: int) -> tuple[np.ndarray, np.ndarray]:
+def window_borders(words: int, whole: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """First words and ends of the stretches that are averaged: windows, or the whole text."""
+    if whole:
+        return np.zeros(1, int), np.full(1, words)
     starts = np.arange(0, max(1, words - WINDOW + STEP), STEP)
     return starts, np.minimum(starts + WINDOW, words)
 
 
-def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float]:
+def train(texts: list[str], toxic: np.ndarray, seed: int = 7, whole: bool = False) -> tuple[np.ndarray, float]:
     """Learn subword vectors and the softmax together; returns each bucket's log-odds and the bias.
 
+    With ``whole`` there is one window, the text.  A few toxic words then weigh little in a long
+    text (README has both figures), which is why windows are the default.
+
     A window's vector is the mean over its words of the mean over their
     subwords; a softmax over it says how likely the window is toxic.  A text is
     toxic if any window is: one minus the product of what the windows leave.
@@ -53,7 +59,7 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> tuple[np.ndarra
         if not own:
             continue
         words.append(np.array([place.setdefault(w, len(place)) for w in own], np.int32))
-        low, high = window_borders(len(own))
+        low, high = window_borders(len(own), whole)
         starts.append(low + at)
         ends.append(high + at)
         of_text.append(np.full(len(low), number))
@@ -101,7 +107,7 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> tuple[np.ndarra
     return vectors @ (softmax[:, 1] - softmax[:, 0]), float(bias[1] - bias[0])
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
+def learn(docs: DataFrame, labels: DataFrame, whole: bool = False) -> tuple[np.ndarray, float]:
     """Fit on the labelled rows (labels: doc_id, toxic); one task trains on a bounded sample of them.
 
     A document's rows are drawn by a hash of its id at a rate that expects at
@@ -120,15 +126,15 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["doc_id", "text"])
-        odds, bias = train(rows["text"].tolist(), rows["toxic"].to_numpy())
+        odds, bias = train(rows["text"].tolist(), rows["toxic"].to_numpy(), whole=whole)
         return pd.DataFrame({"odds": [odds.astype(np.float32).tobytes()], "bias": [bias]})
 
     row = sample.groupBy().applyInPandas(fit, "odds binary, bias double").first()
     return (np.frombuffer(row["odds"], np.float32), row["bias"]) if row else (np.zeros(BUCKETS), -6.0)
 
 
-def score(docs: DataFrame, odds: np.ndarray, bias: float, text: str = "text") -> DataFrame:
-    """Add ``score`` and ``predicted`` to every row; nothing is shuffled.
+def score(docs: DataFrame, odds: np.ndarray, bias: float, text: str = "text", whole: bool = False) -> DataFrame:
+    """Add ``score`` and ``predicted`` to every row, in place of columns of these names; nothing is shuffled.
 
     A null or empty text, or one without a word, is a single window of no
     evidence.  Repeated rows score alike.
@@ -151,7 +157,7 @@ def score(docs: DataFrame, odds: np.ndarray, bias: float, text: str = "text") ->
             for value in batch.column(text).to_pylist():
                 words = WORD.findall(value.lower()) if value else []
                 sums = np.concatenate(([0.0], np.cumsum([of_word(word) for word in words])))
-                low, high = window_borders(len(words))
+                low, high = window_borders(len(words), whole)
                 z = WINDOW * (sums[high] - sums[low]) / np.maximum(1, high - low) + bias
                 scores.append(float(1 - np.exp(-np.logaddexp(0, z).sum())))
             return scores, [int(s >= THRESHOLD) for s in scores]

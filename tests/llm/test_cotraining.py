@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from millrace.llm import op7_cotraining as c
 
@@ -26,6 +27,14 @@ def test_held_out_documents(spark):
     assert np.mean([r["quality_pred"] == r["quality"] for r in rows]) > 0.9
 
 
+def test_labels_that_were_not_seen(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    model = c.learn(docs, labels.where("doc_id % 2 = 0").select("doc_id", "quality"))
+    rows = c.score(docs, model).join(labels.where("doc_id % 2 = 1").select("doc_id", F.col("quality").alias("truth")), "doc_id").collect()
+    assert len(rows) > 200 and np.mean([(r["score"] > 0.5) == (r["truth"] == 1) for r in rows if r["truth"] is not None]) > 0.9
+
+
 def test_edges(spark, docs_of):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     docs = spark.createDataFrame([(1, None, None, None, None), (None, "", "x", "y", 0), (2, "a" * 300_000, "x", "y", 300_000)], schema)
