@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -35,6 +36,15 @@ def id_hash(id_column, parts: int):
     return F.pmod(F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")), F.lit(parts))
 
 
+def release() -> None:
+    """Give memory that a task no longer uses back to the system: Python workers go on to serve later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library; only the size of idle workers differs
+        pass
+
+
 def with_arrays(df: DataFrame, added: dict[str, str], make: Callable, replaced: tuple[str, ...] = (), dropped: tuple[str, ...] = ()) -> DataFrame:
     """Add columns that Python computes batch by batch; all others pass through as Arrow, nulls included.
 
@@ -57,5 +67,8 @@ def with_arrays(df: DataFrame, added: dict[str, str], make: Callable, replaced:
                 pa.array(values[f.name], f.type) if f.name in values else batch.column(f.name).cast(f.type) for f in arrow
             ]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+            del values, columns, batch
+        del compute
+        release()
 
     return df.mapInArrow(run, schema)

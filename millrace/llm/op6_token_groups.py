@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.session import staged
 
-from .base import query, table, with_arrays
+from .base import query, release, table, with_arrays
 from .components import components
 from .hashing import BASE, mixed, shingles, word_hashes
 
@@ -21,7 +21,7 @@ GROUP = 256  # expected most documents of a group
 SHARED = 3  # index tokens that linked sets share, if they are large enough
 FAMILY = 2  # frequency class from which an index token names the group of its documents
 SLOTS = 20  # 2**20 counters (1 MB) tell frequent shingles from rare ones
-PILE = 1 << 22  # shingles a task counts at once
+PILE = 1 << 21  # shingles a task counts at once
 SENT = 1_000_000  # keys (some 50 bytes each) that are broadcast; more are joined by a shuffle
 _SALT = np.uint64(0xA0761D6478BD642F)
 
@@ -60,6 +60,8 @@ def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out.assign(slots=None, counts=None)
     if pile:
         yield counted().reindex(columns=["doc_id", "key", "n_shingles", "slots", "counts"]).astype({"doc_id": "Int64", "n_shingles": "Int64"})
+    del pile, seen
+    release()
 
 
 def _unpacked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

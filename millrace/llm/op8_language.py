@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import id_hash, query, table, with_arrays
+from .base import id_hash, query, release, table, with_arrays
 from .hashing import BASE, BASE_INVERSE, mixed, powers
 
 WORD = re.compile(r"[^\W\d_]+")  # may hold other signs that count as word characters, such as fractions
@@ -20,7 +20,7 @@ ROWS_PER_LANGUAGE = 2500  # expected number of labelled rows that are learned fr
 SAMPLE_ROWS = 100_000  # and of those of all languages together; the model has only their terms
 SENT_LANGUAGES = 100_000  # counts of so many languages go to every task; more are joined by a shuffle
 REMEMBERED = 1 << 20  # numbers (words times languages) a task keeps as evidence of words
-AT_ONCE = 200_000  # words of texts worked on together
+AT_ONCE = 50_000  # words of texts worked on together
 _GOLD = 0x9E3779B97F4A7C15
 _SALTS = [np.uint64(_GOLD * (size + 1) % 2**64) for size in range(LONGEST + 1)]
 
@@ -74,6 +74,7 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 totals = np.zeros(len(found), np.int64)
                 np.add.at(totals, own, times[owner])
                 yield pd.DataFrame({"lang": lang, "size": np.int32(size), "term": found.view(np.int64), "n": totals})
+    release()
 
 
 def learn(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, sample_rows: int = SAMPLE_ROWS) -> Model:

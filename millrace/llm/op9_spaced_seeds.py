@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.session import staged
 
-from .base import query, table
+from .base import query, release, table
 from .hashing import BASE, MARKS, mixed, word_hashes
 
 #: Which of the tokens in a row count (1) and which may differ (0); six count in each mask.  Chosen by enumeration: one of them
@@ -202,6 +202,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, same
                     hits = [dict(zip(("hash", "at", "step", "times"), e, strict=True)) for e in zip(*(x.astype(np.int64).tolist() for x in entries), strict=True)]
                     rows.append((key, number, start, kept.tobytes(), hits))
             yield pd.DataFrame(rows, columns=["text_key", "cluster", "start", "tokens", "hits"])
+        release()
 
     keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text").where("text IS NOT NULL")
     found = staged(keyed.select("text_key", "text").mapInPandas(search, HIT), "benchmark-hits").dropDuplicates(["text_key", "cluster"])
