@@ -116,40 +116,56 @@ def append_batches(
     )
 
 
+PAUSE_BUCKETS = 256  # groups of keys that ``seen_after_pause`` keeps its state in
+
+
 def seen_after_pause(
     stream: DataFrame, key: Column, time: str, row_id: str, pause_seconds: int, lateness: str, name: str = "content_key",
+    buckets: int = PAUSE_BUCKETS,
 ) -> DataFrame:
     """Rows whose key was not seen for more than ``pause_seconds`` before them (or never): ``content_key``, id and time.
 
-    Keyed state holds the time each key was last seen, and a timer that drops it
-    when the watermark has passed that time by the pause: a key that stops coming takes no
+    Keys are dealt to ``buckets`` by hash; the state of a bucket holds the time each of its keys was last seen, so a
+    batch costs one call per bucket and not one per key.  A timer drops the keys
+    whose last time the watermark has passed by the pause: a key that stops coming takes no
     more memory, and one that comes back later counts as new, which is the same.
     Rows are taken in the order of their times, then ids, within a batch.  A row
     later than ``lateness`` behind the newest one of earlier batches is dropped by the watermark, which starts at 1970.
-    Rows without a time or a key are left out.
+    Rows without a time or a key are left out.  ``buckets`` belongs to the checkpoint and cannot change with it.
     """
     keyed = stream.select(key.alias(name), F.col(row_id), F.col(time).cast("timestamp").alias("ts")).where(F.col(name).isNotNull() & F.col("ts").isNotNull())
+    keyed = keyed.withColumns({"__at": F.unix_micros("ts"), "__bucket": F.pmod(F.xxhash64(name), F.lit(buckets)).cast("int")})
     schema = T.StructType([T.StructField(name, T.StringType()), stream.schema[row_id], T.StructField("ts", T.TimestampType())])
-    pause = pd.Timedelta(seconds=pause_seconds)
+    pause = pause_seconds * 1_000_000
+
+    def keep(state: GroupState, seen: pd.Series) -> None:
+        """Store the keys that a row may still meet, with a timer for the one that goes first."""
+        mark = state.getCurrentWatermarkMs()
+        until = (seen + pause) // 1000 + 1
+        seen, until = seen[until > mark], until[until > mark]
+        if len(seen):
+            state.update((seen.index.tolist(), seen.tolist()))
+            state.setTimeoutTimestamp(int(until.min()))
+        elif state.exists:
+            state.remove()
 
-    def step(own: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    def step(_own: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        keys, last = state.get if state.exists else ([], [])
+        seen = pd.Series(list(last), index=pd.Index(list(keys), dtype="object"), dtype="int64")
         if state.hasTimedOut:
-            state.remove()
+            keep(state, seen)
             return
-        rows = pd.concat([frame[[row_id, "ts"]] for frame in frames]).sort_values(["ts", row_id])
-        times = rows["ts"].reset_index(drop=True)
-        last = pd.Timestamp(state.get[0]) if state.exists else None
-        before = times.shift(1)
-        if last is not None:
-            before.iloc[0] = last
-        new = (before.isna() | (times - before > pause)).to_numpy()
-        newest = times.iloc[-1] if last is None else max(times.iloc[-1], last)
-        state.update((newest.to_pydatetime(),))
-        until = int(newest.timestamp() * 1000) + pause_seconds * 1000 + 1
-        state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({name: own[0], row_id: rows[row_id].to_numpy()[new], "ts": times[new].to_numpy()})
+        rows = pd.concat([frame[[name, row_id, "ts", "__at"]] for frame in frames]).sort_values([name, "__at", row_id], ignore_index=True)
+        first = rows[name].ne(rows[name].shift(1))
+        before = rows["__at"].shift(1).where(~first, rows[name].map(seen))
+        new = before.isna() | (rows["__at"] - before > pause)
+        newest = rows.groupby(name, sort=False)["__at"].max()
+        keep(state, pd.concat([seen, newest]).groupby(level=0).max())
+        yield rows.loc[new, [name, row_id, "ts"]]
 
     return (
-        keyed.withWatermark("ts", lateness).groupBy(name)
-        .applyInPandasWithState(step, schema, T.StructType([T.StructField("last", T.TimestampType())]), "append", GroupStateTimeout.EventTimeTimeout)
+        keyed.withWatermark("ts", lateness).groupBy("__bucket")
+        .applyInPandasWithState(
+            step, schema, T.StructType([T.StructField("keys", T.ArrayType(T.StringType())), T.StructField("last", T.ArrayType(T.LongType()))]),
+            "append", GroupStateTimeout.EventTimeTimeout)
     )

@@ -71,6 +71,25 @@ def test_old_keys_leave_the_state(spark):
     assert max(kept) <= 200 and spark.read.parquet(sink).count() == 400
 
 
+def test_state_is_kept_by_buckets_of_keys(spark):
+    """Many keys share few state rows, and each key still has its own pause."""
+    folder, checkpoint, sink = (work_path(spark, name) for name in ("in", "checkpoint", "sink"))
+    rows = [(i, f"k{i * 7 % 300}", i // 400 * 40 + i * 31 % 90) for i in range(1600)]
+    kept, last, expected = [], {}, set()
+    for part in range(4):
+        own = rows[part * 400 : part * 400 + 400]
+        made = spark.createDataFrame(own, "id long, k string, s long").select("id", "k", F.timestamp_seconds(F.col("s") + 100_000).alias("ts"))
+        made.write.mode("append").parquet(folder)
+        run = I.append_stream(I.new_files(spark, folder, made.schema), lambda s: I.seen_after_pause(s, F.col("k"), "ts", "id", 30, "1000 seconds", buckets=5), sink, checkpoint)
+        run.awaitTermination()
+        kept.append(run.lastProgress["stateOperators"][0]["numRowsTotal"])
+        for i, k, at in sorted(own, key=lambda r: (r[2], r[0])):
+            if k not in last or at - last[k] > 30:
+                expected.add(i)
+            last[k] = max(at, last.get(k, at))
+    assert max(kept) <= 5 and {r["id"] for r in spark.read.parquet(sink).collect()} == expected and len(expected) > 300
+
+
 def test_requests_are_sent_once(spark, tmp_path):
     """A run that breaks off loses no answer; refused rows are tried with pauses and do not stop the others."""
     log, path = tmp_path / "log", work_path(spark, "answers")
