@@ -33,32 +33,26 @@ MAX_SENT_BYTES = 256 * 2**20  # all query vectors (as doubles) or token lists to
 ROWS_PER_BLOCK = 50_000
 QUERIES_PER_BLOCK = 5_000
 SCORES_AT_ONCE = 1_000_000
+QUERIES_AT_ONCE = 2_000  # of one matrix product
 DIGITS = 12  # significant digits that decide a rank, so summation order cannot decide a tie
 PAIRS_AT_ONCE = 100_000  # (row, query) pairs whose differences are held at once
 
 Scorer = Callable[[list], Callable[[list], np.ndarray]]
 
 
-def _vector_scorer(similarity: str) -> Scorer:
+def _distance_scorer() -> Scorer:
     pairs_at_once = PAIRS_AT_ONCE
 
     def prepare(queries: list) -> Callable[[list], np.ndarray]:
         q = np.asarray([np.asarray(v, dtype="float64") for v in queries]) if isinstance(queries, list) else queries
-        q_norm = np.sqrt((q * q).sum(axis=1))
         middle = q.mean(axis=0)
 
         def score(rows: list) -> np.ndarray:
+            # around the queries' middle, where little cancels; ``within`` bounds the error and ``exact`` settles the rest
             x = np.asarray([np.asarray(v, dtype="float64") for v in rows])
-            products = x @ q.T if similarity != "l2" else None
-            if similarity == "l2":
-                # around the queries' middle, where little cancels; ``within`` bounds the error and ``exact`` settles the rest
-                near, asked = x - middle, q - middle
-                squares = (near * near).sum(axis=1)[:, None] + (asked * asked).sum(axis=1)[None, :]
-                return -np.maximum(squares - 2 * (near @ asked.T), 0.0)
-            if similarity == "cosine":
-                lengths = np.sqrt((x * x).sum(axis=1))[:, None] * q_norm[None, :]
-                return np.divide(products, lengths, out=np.zeros_like(products), where=lengths > 0)
-            return products
+            near, asked = x - middle, q - middle
+            squares = (near * near).sum(axis=1)[:, None] + (asked * asked).sum(axis=1)[None, :]
+            return -np.maximum(squares - 2 * (near @ asked.T), 0.0)
 
         def within(rows: list) -> np.ndarray:
             """How far a score may be from the true one: rounding of the vectors, of the middle and of the sums."""
@@ -72,8 +66,7 @@ def _vector_scorer(similarity: str) -> Scorer:
             parts = [slice(at, at + pairs_at_once) for at in range(0, len(picked), pairs_at_once)]
             return np.concatenate([np.zeros(0), *(-((x[picked[p]] - q[asked[p]]) ** 2).sum(axis=1) for p in parts)])
 
-        if similarity == "l2":
-            score.exact, score.within = exact, within
+        score.exact, score.within = exact, within
         return score
 
     return prepare
@@ -114,15 +107,86 @@ def _jaccard_scorer() -> Scorer:
     return prepare
 
 
-def _best_of(k: int, scorer: Scorer, names: tuple[str, str, str]) -> Callable:
-    """``(query_ids, queries, batches) -> frame`` with the k best rows per query."""
-    digits, at_once = DIGITS, SCORES_AT_ONCE
-
+def _significant(digits: int) -> Callable[[np.ndarray], np.ndarray]:
     def significant(scores: np.ndarray) -> np.ndarray:
         with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
             scale = 10.0 ** (digits - 1 - np.floor(np.log10(np.abs(scores))))
             return np.where(np.isfinite(scale), np.round(scores * scale) / scale, scores)
 
+    return significant
+
+
+def _best_products(k: int, cosine: bool, names: tuple[str, str, str]) -> Callable:
+    """As ``_best_of``, by matrix products: only scores that may be among the k best so far are rounded and ranked.
+
+    A product is one tile of rows and queries; the k-th best score of each query, less what rounding
+    may change, rules out nearly all of a tile in one comparison.
+    """
+    digits, at_once, wide = DIGITS, SCORES_AT_ONCE, QUERIES_AT_ONCE
+    significant = _significant(digits)
+    query_name, row_name, score_name = names
+
+    def matrix(values: list) -> np.ndarray:
+        x = values if isinstance(values, np.ndarray) else np.asarray([np.asarray(v, dtype="float64") for v in values])
+        if not cosine:
+            return x
+        lengths = np.sqrt((x * x).sum(axis=1, keepdims=True))
+        return np.divide(x, lengths, out=np.zeros_like(x), where=lengths > 0)
+
+    def best(query_ids: list, queries: list, batches: Iterator[tuple[list, list]]) -> pd.DataFrame:
+        q = matrix(queries)
+        width, found = len(query_ids), 0
+        top_scores = np.full((width, k), -np.inf)
+        top_ids = np.empty((width, k), dtype=object)
+        step = max(1, at_once // max(1, min(width, wide)))
+        for ids, values in batches:
+            present = [i for i, value in enumerate(values) if value is not None]
+            ids, values = [ids[i] for i in present], [values[i] for i in present]
+            if not ids:
+                continue
+            x, names_of = matrix(values), np.empty(len(ids), dtype=object)
+            names_of[:] = ids
+            for start in range(0, len(ids), step):
+                rows, own = x[start : start + step], names_of[start : start + step]
+                more = min(k, found + len(rows))
+                for at in range(0, width, wide):
+                    scores = rows @ q[at : at + wide].T
+                    least = top_scores[at : at + wide, k - 1] if found >= k else np.full(scores.shape[1], -np.inf)
+                    if found < k <= len(rows):
+                        least = np.partition(scores, len(rows) - k, axis=0)[len(rows) - k]
+                        least = np.where(np.isnan(least), -np.inf, least)
+                    low = least - np.where(np.isfinite(least), 10.0 ** (1 - digits) * np.abs(least), 0.0)
+                    row, asked = np.nonzero(~(scores < low[None, :]))
+                    if not len(row):
+                        continue
+                    touched = np.unique(asked)
+                    all_queries = np.concatenate([np.repeat(touched, found), asked])
+                    all_scores = np.concatenate([top_scores[at + touched, :found].ravel(), significant(scores[row, asked])])
+                    all_ids = np.concatenate([top_ids[at + touched, :found].ravel(), own[row]])
+                    order = np.argsort(all_ids, kind="stable")
+                    order = order[np.lexsort((-all_scores[order], all_queries[order]))]  # ties stay in the order of ids
+                    ranked = all_queries[order]
+                    place = np.arange(len(ranked)) - np.searchsorted(ranked, ranked)
+                    kept = place < more
+                    top_scores[at + ranked[kept], place[kept]] = all_scores[order[kept]]
+                    top_ids[at + ranked[kept], place[kept]] = all_ids[order[kept]]
+                found = more
+        return pd.DataFrame({
+            query_name: [query for query in query_ids for _ in range(found)],
+            row_name: list(top_ids[:, :found].ravel()), score_name: top_scores[:, :found].ravel()})
+
+    return best
+
+
+def _best_vectors(k: int, similarity: str, names: tuple[str, str, str]) -> Callable:
+    """``_best_of`` for vectors."""
+    return _best_of(k, _distance_scorer(), names) if similarity == "l2" else _best_products(k, similarity == "cosine", names)
+
+
+def _best_of(k: int, scorer: Scorer, names: tuple[str, str, str]) -> Callable:
+    """``(query_ids, queries, batches) -> frame`` with the k best rows per query."""
+    digits, at_once = DIGITS, SCORES_AT_ONCE
+    significant = _significant(digits)
     query_name, row_name, score_name = names
 
     def best(query_ids: list, queries: list, batches: Iterator[tuple[list, list]]) -> pd.DataFrame:
@@ -194,7 +258,6 @@ def best_rows(
     """
     if similarity not in ("cosine", "dot_product", "max_inner_product", "l2", "jaccard"):
         raise ValueError(f"unknown similarity: {similarity}")
-    scorer = _jaccard_scorer() if similarity == "jaccard" else _vector_scorer(similarity)
     as_set = F.array_distinct if similarity == "jaccard" else F.col
     given = rows.select(F.col(row_id).alias("__row"), as_set(row_value).alias("__value"))
     asked = queries.where(F.col(query_value).isNotNull()).select(
@@ -207,7 +270,8 @@ def best_rows(
             T.StructField("score", T.DoubleType()),
         ]
     )
-    best = _best_of(k, scorer, ("__query", "__row", "score"))
+    columns = ("__query", "__row", "score")
+    best = _best_of(k, _jaccard_scorer(), columns) if similarity == "jaccard" else _best_vectors(k, similarity, columns)
     width = F.octet_length(F.to_json("__asked")) if similarity == "jaccard" else F.size("__asked") * 8
     measured = asked.agg(
         F.count("*").alias("asked"), F.coalesce(F.sum(width), F.lit(0)).alias("sent")

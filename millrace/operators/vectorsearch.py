@@ -19,7 +19,7 @@ from ..functions import fixed_values as V
 from ..functions.keys import hash_key
 from ..session import staged
 from .centers import Centers, squared
-from .nearest import QUERIES_PER_BLOCK, ROWS_PER_BLOCK, _best_of, _vector_scorer, cluster_centers
+from .nearest import QUERIES_PER_BLOCK, ROWS_PER_BLOCK, _best_vectors, cluster_centers
 from .order import top_k
 
 LISTS = 4096  # most lists; their centers go to every task
@@ -118,7 +118,7 @@ class VectorIndex:
         mine = wanted.join(load, "list").withColumn("block", F.expr("pmod(xxhash64(query), blocks)")).withColumn("part", F.explode(F.sequence(zero, F.col("parts") - 1)))
         mine = mine.join(queries.select("query", "vector"), "query").select(F.col("list").alias("l"), F.col("part").alias("p"), F.col("block").alias("b"), "query", "vector")
         schema = T.StructType([T.StructField("query", queries.schema["query"].dataType), T.StructField("id", stored.schema["id"].dataType), T.StructField("score", T.DoubleType())])
-        best = _best_of(k, _vector_scorer(self.similarity), ("query", "id", "score"))
+        best = _best_vectors(k, self.similarity, ("query", "id", "score"))
 
         def scored(block: pd.DataFrame, questions: pd.DataFrame) -> pd.DataFrame:
             if block.empty or questions.empty:

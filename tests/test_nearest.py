@@ -113,3 +113,21 @@ def test_nearest_when_queries_are_far_apart(spark, most):
 def test_unknown_similarity(vectors):
     with pytest.raises(ValueError):
         N.best_rows(vectors[2], vectors[3], "id", "qid", "v", "w", "euclid")
+
+
+def test_few_scores_are_ranked(monkeypatch):
+    """Only scores that may be among the best so far are rounded; the others go by one comparison."""
+    rng, ranked = np.random.default_rng(3), []
+    kept = N._significant
+
+    def counted(digits):
+        return lambda scores: ranked.append(scores.size) or kept(digits)(scores)
+
+    monkeypatch.setattr(N, "_significant", counted)
+    monkeypatch.setattr(N, "SCORES_AT_ONCE", 4000)
+    monkeypatch.setattr(N, "QUERIES_AT_ONCE", 16)
+    rows, queries = rng.normal(size=(5000, 6)), rng.normal(size=(40, 6))
+    found = N._best_vectors(3, "cosine", ("q", "id", "score"))(list(range(40)), queries, iter([(list(range(5000)), list(rows))]))
+    assert sum(ranked) < 0.05 * 5000 * 40
+    scores = (rows / np.linalg.norm(rows, axis=1)[:, None]) @ (queries / np.linalg.norm(queries, axis=1)[:, None]).T
+    assert [list(g["id"]) for _, g in found.groupby("q")] == [list(np.argsort(-scores[:, q])[:3]) for q in range(40)]
