@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from ..functions import fixed_values as V
 from ..functions.rules import within_tokens
 from ..functions.tokens import TokenCounter, count_tokens
+from ..session import staged
 from .attach import attach
 from .columns import computed_once
 
@@ -32,7 +33,8 @@ def exact_quantile(df: DataFrame, value: Column, share: float, group: Sequence[s
     A sketch, which tasks merge, brackets the two values around the wanted place;
     its rank error is at most the size of the group by ``accuracy``.  A second
     pass counts what lies below the bracket and how often each value in it occurs:
-    a small part of the rows, read out exactly.  Nulls do not count.
+    a small part of the rows, read out exactly.  Nulls do not count.  The brackets are
+    written first: Spark then knows how small they are, and no group is gathered in one task.
     """
     by = list(group)
     rows = df.select(*by, value.cast("bigint").alias("__v")).where(F.col("__v").isNotNull())
@@ -44,7 +46,7 @@ def exact_quantile(df: DataFrame, value: Column, share: float, group: Sequence[s
     small = F.col("__n") <= 10 * accuracy
     bracket = sketch.select(
         *by, "__n", F.when(small, F.col("__min")).otherwise(F.col("__b")[0]).alias("__low"), F.when(small, F.col("__max")).otherwise(F.col("__b")[1]).alias("__high"))
-    near = attach(rows, bracket, by, how="inner")
+    near = attach(rows, staged(bracket, "quantile-brackets"), by, how="inner")
     below, inside = F.col("__v") < F.col("__low"), F.col("__v") <= F.col("__high")
     # one row for all values below, one for each value of the bracket
     counts = near.where(inside).groupBy(*by, "__n", F.when(below, F.col("__low") - 1).otherwise(F.col("__v")).alias("__at")).agg(F.count("*").alias("__c"))
@@ -65,9 +67,10 @@ def drop_shortest(
     """Keep texts longer than the exact ``share`` quantile of lengths in their group.
 
     Empty texts do not count towards the quantile, which takes bounded state (``exact_quantile``).
+    The cuts are written first, so that they are sent to the texts and no text is shuffled by its group.
     """
     size = F.length(text)
-    cuts = exact_quantile(df.where(size > 0), size, share, group)
+    cuts = staged(exact_quantile(df.where(size > 0), size, share, group), "quantile-cuts")
     return attach(df, cuts, list(group)).where(size > F.col("__cut")).drop("__cut")
 
 

@@ -107,3 +107,12 @@ def test_drop_shortest_matches_linear_percentile(spark):
         (s, n) for s, ns in lengths.items() for n in ns if n > np.percentile([m for m in ns if m], 10)
     )
     assert kept == expected
+
+
+def test_texts_are_not_shuffled_by_their_group(spark):
+    """Two groups: a shuffle by them would put most texts in one task."""
+    df = spark.range(400).selectExpr("if(id % 9 = 0, null, 'train') AS split", "repeat('x', cast(id % 50 as int)) AS t")
+    kept = filtering.drop_shortest(df, "t")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert 300 < kept.count() < 400
