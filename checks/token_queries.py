@@ -16,7 +16,7 @@ from .choice_queries import PLAIN_PROMPT, QUIZ_COMPLETION, QUIZ_PROMPT
 
 
 def joined(name):
-    return F.array_join(F.col(name).cast("array<string>"), ",").alias(name)
+    return F.btrim(F.to_json(name), F.lit("[]")).alias(name)
 
 
 def ids(value):
@@ -65,12 +65,12 @@ MASKED = f"""
                  list_slice(list_concat(list_transform(a, lambda x: -100), b), 1, 384) AS labels FROM p)"""
 
 
-def masked(spark, sf):
-    rows = view(spark, sf, "quiz").select(
-        "row_id", T.split_tokens(quiz_prompt("question", "choices")).alias("a"),
-        T.split_tokens(quiz_completion("choices", "answer", "rationale")).alias("b"),
+def masked(rows):
+    texts = rows.select(
+        "row_id", quiz_prompt("question", "choices").alias("a"),
+        quiz_completion("choices", "answer", "rationale").alias("b"),
     )
-    return Q.masked_token_sequences(rows, "a", "b").drop("a", "b")
+    return Q.masked_token_sequences(texts, "a", "b").drop("a", "b")
 
 
 @query(f"""
@@ -79,7 +79,7 @@ def masked(spark, sf):
            {text_of('list_transform(ids, lambda x: 1)')} AS attention_mask FROM m
 """, "quiz")
 def mask_labels(spark, sf):
-    return masked(spark, sf).select("row_id", joined("input_ids"), joined("labels"), joined("attention_mask"))
+    return masked(view(spark, sf, "quiz")).select("row_id", joined("input_ids"), joined("labels"), joined("attention_mask"))
 
 
 @query(f"""
@@ -93,7 +93,7 @@ def mask_labels(spark, sf):
     FROM w
 """, "quiz")
 def pad_batch(spark, sf):
-    rows = masked(spark, sf)
+    rows = masked(view(spark, sf, "quiz"))
     batched = O.row_batches(rows, O.number_order(view(spark, sf, "quiz"), "row_id"), size=8)
     return Q.pad_batches(batched).select(
         "row_id", "batch_id", joined("input_ids"), joined("labels"), joined("attention_mask")

@@ -69,6 +69,23 @@ SYMBOL = f"[^{W_SET}{S_SET}]"
 TOKEN = f"{W}+|{SYMBOL}"
 TOKEN_AND_SPACE = f"(?:{W}++|{SYMBOL}){S}*+"
 
+# letters and numbers of Unicode 14 to 15.1: words to Python 3.13, symbols to Java 17, and so here
+LATER_WORD = (
+    r"\u0870-\u0887\u0889-\u088e\u08b5\u08c8-\u08c9\u0c5d\u0cdd\u170d\u171f\u1b4c\u2c2f\u2c5f"
+    r"\u9ffd-\u9fff\ua7c0-\ua7c1\ua7d0-\ua7d1\ua7d3\ua7d5-\ua7d9\ua7f2-\ua7f4\U00010570-\U0001057a"
+    r"\U0001057c-\U0001058a\U0001058c-\U00010592\U00010594-\U00010595\U00010597-\U000105a1"
+    r"\U000105a3-\U000105b1\U000105b3-\U000105b9\U000105bb-\U000105bc\U00010780-\U00010785"
+    r"\U00010787-\U000107b0\U000107b2-\U000107ba\U00010f70-\U00010f81\U00011071-\U00011072\U00011075"
+    r"\U0001123f-\U00011240\U00011740-\U00011746\U00011ab0-\U00011abf\U00011f02\U00011f04-\U00011f10"
+    r"\U00011f12-\U00011f33\U00011f50-\U00011f59\U00012f90-\U00012ff0\U0001342f\U00013441-\U00013446"
+    r"\U00016a70-\U00016abe\U00016ac0-\U00016ac9\U0001aff0-\U0001aff3\U0001aff5-\U0001affb"
+    r"\U0001affd-\U0001affe\U0001b11f-\U0001b122\U0001b132\U0001b155\U0001d2c0-\U0001d2d3"
+    r"\U0001df00-\U0001df1e\U0001df25-\U0001df2a\U0001e030-\U0001e06d\U0001e290-\U0001e2ad"
+    r"\U0001e4d0-\U0001e4eb\U0001e4f0-\U0001e4f9\U0001e7e0-\U0001e7e6\U0001e7e8-\U0001e7eb"
+    r"\U0001e7ed-\U0001e7ee\U0001e7f0-\U0001e7fe\U0002a6de-\U0002a6df\U0002b735-\U0002b739"
+    r"\U0002ebf0-\U0002ee5d\U00031350-\U000323af"
+)
+
 # -- fixed values: characters accepted besides ASCII, maths symbols, lower-case letters
 EXTRA_ALLOWED = "⁄×⇒→…‘’“”−∴∵πθαβΔ‹›€"
 # characters whose Unicode name contains GREEK although their script is not Greek
@@ -126,6 +143,8 @@ MIN_SHORT_RATIONALE = 8
 MIN_ANSWER_CHARS = 10
 PASSAGE_TOKENS = 512
 MAX_PASSAGES = 100_000
+HASHED_TOKENS = 400_000  # kept by a task with their ids
+HASHED_BYTES = 8_000_000  # of texts cut into tokens at once
 QUIZ_TOKENS = 384
 PADDED_TOKENS = 512
 PREFERENCE_PROMPT_TOKENS = 400

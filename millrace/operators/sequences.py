@@ -6,11 +6,12 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions import fixed_values as V
 from ..functions.tokens import (
-    TokenCounter, count_tokens, cut, hashed_ids, masked_labels, ones, padded, passages, split_tokens,
+    TokenCounter, count_tokens, cut, hashed_ids, hashed_text, masked_labels, ones, padded, passages, split_tokens,
 )
 from .columns import computed_once
 from .order import number_order
@@ -36,20 +37,28 @@ def masked_sequences(
 
 
 def masked_token_sequences(
-    df: DataFrame, prompt_tokens: str, completion_tokens: str, encode: Callable[[Column], Column] = hashed_ids,
+    df: DataFrame, prompt: str, completion: str, encode: Callable[[Column], Column] | None = None,
     limit: int = V.QUIZ_TOKENS, end_id: int | None = None,
 ) -> DataFrame:
-    """``masked_sequences`` of token lists: only the tokens that stay within ``limit`` are encoded.
+    """``masked_sequences`` of texts or of token lists: only the tokens that stay within ``limit`` are encoded.
 
-    ``encode`` turns a list of tokens into as many ids.  ``dropped`` counts the tokens that the cut took away.
+    ``encode`` turns a list of tokens into as many ids.  Without it tokens are hashed; columns of texts are then
+    split and hashed together (``hashed_text``).  ``dropped`` counts the tokens that the cut took away.
     """
-    prompt, completion = F.col(prompt_tokens), F.col(completion_tokens)
-    room = F.greatest(F.lit(0), F.lit(limit) - F.size(prompt))
-    once = computed_once(
-        df, __prompt=encode(cut(prompt, limit)), __completion=encode(F.slice(completion, F.lit(1), room)),
-        __size=F.size(prompt) + F.size(completion) + int(end_id is not None))
+    if encode is None and df.schema[prompt].dataType == df.schema[completion].dataType == T.StringType():
+        once = computed_once(df, __p=hashed_text(prompt, limit), __c=hashed_text(completion, limit))
+        once = once.withColumns({"__prompt": F.col("__p.ids"), "__completion": F.col("__c.ids")})
+        sizes, extra = F.col("__p.size") + F.col("__c.size"), ["__p", "__c"]
+    else:
+        head = split_tokens(prompt) if df.schema[prompt].dataType == T.StringType() else F.col(prompt)
+        tail = split_tokens(completion) if df.schema[completion].dataType == T.StringType() else F.col(completion)
+        encode, room = encode or hashed_ids, F.greatest(F.lit(0), F.lit(limit) - F.size(head))
+        once = computed_once(df, __prompt=encode(cut(head, limit)), __completion=encode(F.slice(tail, F.lit(1), room)),
+                             __size=F.size(head) + F.size(tail))
+        sizes, extra = F.col("__size"), ["__size"]
     found = masked_sequences(once, "__prompt", "__completion", limit, end_id)
-    return found.withColumn("dropped", F.greatest(F.lit(0), F.col("__size") - limit)).drop("__prompt", "__completion", "__size")
+    dropped = F.greatest(F.lit(0), sizes + int(end_id is not None) - limit)
+    return found.withColumn("dropped", dropped).drop("__prompt", "__completion", *extra)
 
 
 def padded_sequences(

@@ -1,7 +1,12 @@
 from pyspark.sql import functions as F
 
+from millrace.functions import tokens as T
 from millrace.operators import sequences as Q
 
+from __spark_entry__ import queries
+
+from .conftest import SMALL
+
 
 def test_masked_sequences(spark):
     df = spark.createDataFrame([(1, [1, 2, 3], [4, 5]), (2, [1] * 6, [9]), (3, [], [7])], "id int, p array<int>, c array<int>")
@@ -42,3 +47,36 @@ def test_first_passages_for_every_limit(spark):
     for most in (0, 1, 5, len(whole)):
         found = Q.first_passages(df, "id", "t", 4, most).select("id", "passage_no").collect()
         assert sorted(map(tuple, found)) == whole[:most]
+
+
+def test_hashed_text_equals_split_and_hashed_tokens(spark):
+    texts = [None, "", " \t", "Ab_1 c.d  é漢字x!", "\U000323afࡰa 𝔘², ٣٤", "a" * 70 + "-b", "x y z"] * 3 + ["\x85 a\x1cb　"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string").coalesce(1)
+    old = df.select("id", T.hashed_ids(T.split_tokens("t")).alias("ids"))
+    wanted = {r.id: r.ids for r in old.collect()}
+    for most in (None, 0, 3):
+        found = {r.id: r.n for r in df.select("id", T.hashed_text("t", most).alias("n")).collect()}
+        for i, ids in wanted.items():
+            assert (found[i] is None) == (ids is None)
+            assert ids is None or (found[i].ids, found[i].size) == (ids[:most], len(ids))
+
+
+def test_masked_texts_equal_masked_token_lists(spark):
+    rows = [(1, "a b c", "d e"), (2, "a b c d e f g", "h"), (3, "", "x y z u v w"), (4, None, "x"), (5, "x", None)]
+    df = spark.createDataFrame(rows, "id int, p string, c string")
+    lists = df.select("id", T.split_tokens("p").alias("p"), T.split_tokens("c").alias("c"))
+    for end in (None, 7):
+        found, wanted = (
+            sorted(Q.masked_token_sequences(d, "p", "c", limit=5, end_id=end).drop("p", "c").collect()) for d in (df, lists))
+        assert found == wanted and [r.dropped for r in found[:2]] == [0 + (end is not None), 3 + (end is not None)]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_token_queries_hash_in_batches_and_number_rows_before(spark):
+    for name in ("mask_labels",):
+        plan = plan_of(queries()[name](spark, SMALL))
+        assert "md5(" not in plan and "regexp_extract_all" not in plan, name
+        assert plan.count("ArrowEvalPython") == 1, name
