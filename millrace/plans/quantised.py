@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions.prompts import plain_completion, plain_prompt
 from ..functions.text import ColumnLike
-from ..functions.tokens import cut, hashed_ids, split_tokens
+from ..functions.tokens import hashed_text
 from ..operators.columns import computed_once
 from ..operators.sequences import padded_sequences
 from ..operators.splits import random_fraction
@@ -28,13 +28,16 @@ def quantised_sequences(
     prompt = plain_prompt("question", "choices")
     full = F.concat(prompt, F.lit("\n"), plain_completion("choices", "answer", "rationale"))
     rows = random_fraction(df, row_id, fraction, seed)
-    if encode is None:  # the built-in tokens are cut before they are hashed
-        tokens = computed_once(rows.select(row_id, prompt.alias("__p"), full.alias("__f")),
-                               __head=F.size(split_tokens(F.concat(F.col("__p"), F.lit("\n")))), __tokens=split_tokens("__f"))
-        ids = computed_once(tokens, __full_ids=hashed_ids(cut("__tokens", limit)), __dropped=F.greatest(F.lit(0), F.size("__tokens") - limit))
-        ids = ids.withColumn("__prompt_ids", F.array_repeat(F.lit(0), F.least(F.col("__head"), F.lit(limit))))  # only its size counts
+    if encode is None:  # only tokens that stay are hashed
+        texts = rows.select(row_id, F.concat(prompt, F.lit("\n")).alias("__p"), full.alias("__f"))
+        ids = computed_once(texts, __head=hashed_text("__p", 0), __full=hashed_text("__f", limit))
+        ids = ids.withColumns({
+            "__full_ids": F.col("__full.ids"),
+            "__prompt_ids": F.array_repeat(F.lit(0), F.least(F.col("__head.size"), F.lit(limit))),  # only its size counts
+        })
         found = padded_sequences(ids, "__prompt_ids", "__full_ids", limit, fill)
-        return found.withColumn("dropped", F.col("__dropped")).select(row_id, "input_ids", "labels", "attention_mask", "dropped")
+        return found.withColumn("dropped", F.greatest(F.lit(0), F.col("__full.size") - limit)).select(
+            row_id, "input_ids", "labels", "attention_mask", "dropped")
     encoded = rows.select(row_id, encode(F.concat(prompt, F.lit("\n"))).alias("__prompt_ids"), encode(full).alias("__full_ids"))
     return padded_sequences(encoded, "__prompt_ids", "__full_ids", limit, fill).drop(
         "__prompt_ids", "__full_ids"
