@@ -76,7 +76,7 @@ def plan_of(df):
 
 
 def test_token_queries_hash_in_batches_and_number_rows_before(spark):
-    for name in ("mask_labels", "quantised_training_rows"):
+    for name in ("mask_labels", "pad_batch", "quantised_training_rows"):
         plan = plan_of(queries()[name](spark, SMALL))
         assert "md5(" not in plan and "regexp_extract_all" not in plan, name
         assert plan.count("ArrowEvalPython") == 1, name
