@@ -220,3 +220,21 @@ def test_registered_recalls(spark):
     expected = brute(rows, [r for r in rows if r[0] % 20 == 0], 3, 0.5)
     found = grouped(queries["jaccard_topk_lsh"](spark, folder).withColumnRenamed("doc_id", "id"), "query_id")
     assert recall(found, expected) >= 0.9
+
+
+@pytest.mark.parametrize("name,k", [("cosine_topk", 3), ("dot_topk", 2), ("dot_topk_in_blocks", 2), ("cosine_topk_bounded", 3)])
+def test_every_vector_is_a_query(spark, tmp_path, name, k):
+    """Also those whose id is not divisible by 20, in the query and in its SQL."""
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    x = np.random.default_rng(4).normal(size=(45, 5)).astype("float32")
+    rows = [(7 * i + 3, v.tolist(), i % 3) for i, v in enumerate(x)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = entry.queries()[name](spark, str(tmp_path)).select("query_id", "vec_id", "rank").collect()
+    assert sorted({r["query_id"] for r in found}) == [i for i, _, _ in rows] and len(found) == k * len(rows)
+    duck = duckdb.connect()
+    duck.execute(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
+    expected = duck.execute(f"select query_id, vec_id, rank from ({entry.oracle_sql()[name]})").fetchall()
+    assert sorted(map(tuple, found)) == sorted(expected)
