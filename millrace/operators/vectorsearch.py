@@ -33,6 +33,11 @@ def _unit(vector: str) -> Column:
     return F.when(norm > 0, F.transform(values, lambda x: x / norm)).otherwise(values)
 
 
+def _kept(rows: DataFrame, vector: str) -> Column:
+    """Single precision stays as it is, half as many bytes; scores are computed in doubles from it."""
+    return F.col(vector) if rows.schema[vector].dataType == T.ArrayType(T.FloatType(), rows.schema[vector].dataType.containsNull) else F.col(vector).cast("array<double>")
+
+
 def _placed(similarity: str, vector: str) -> Column:
     """What lists are made of: directions for cosine, the vectors themselves for l2."""
     return _unit(vector) if similarity == "cosine" else F.col(vector).cast("array<double>")
@@ -55,8 +60,8 @@ class VectorIndex:
 
         A list that holds most rows is written by several tasks, and searched in parts.
         """
-        given = rows.where(F.col(vector).isNotNull()).select(F.col(row_id).alias("id"), F.col(vector).cast("array<double>").alias("vector"))
-        given = given.withColumn("placed", _placed(self.similarity, "vector"))
+        given = rows.where(F.col(vector).isNotNull()).select(F.col(row_id).alias("id"), _kept(rows, vector).alias("vector"))
+        given = staged(given.withColumn("placed", _placed(self.similarity, "vector")), "vector-rows")  # every step of the clustering reads them
         if lists is None:
             lists = min(LISTS, max(1, round(given.count() ** 0.5)))
         centers = cluster_centers(given, "id", "placed", lists, STEPS, seed)
@@ -81,7 +86,7 @@ class VectorIndex:
         return self
 
     def _asked(self, queries: DataFrame) -> DataFrame:
-        """(query, list, place, bound): per query the lists by the distance of their centers, and the best score a list can hold."""
+        """(query, list, place, bound, reached): per query the lists by the distance of their centers, and the best score a list can hold."""
         stats = self.spark.read.parquet(f"{self.path}/lists").orderBy("list").toArrow().to_pandas()  # at most LISTS rows
         kind = queries.schema["query"].dataType
         sent = self.spark.sparkContext.broadcast((stats["list"].to_numpy(), _matrix(stats["center"]), *(stats[c].to_numpy() for c in ("low", "high", "norm"))))
@@ -102,10 +107,11 @@ class VectorIndex:
                     place = np.argsort(np.argsort(away, axis=1, kind="stable"), axis=1)
                     yield pd.DataFrame({
                         "query": np.repeat(part["query"].to_numpy(), len(names)), "list": np.tile(names, len(part)),
-                        "place": place.ravel().astype("int32"), "bound": bound.ravel()})
+                        "place": place.ravel().astype("int32"), "bound": bound.ravel(), "reached": np.repeat(part["reached"].to_numpy(), len(names))})
 
-        schema = T.StructType([T.StructField("query", kind), *T.StructType.fromDDL("list int, place int, bound double").fields])
-        return queries.select("query", "placed").mapInPandas(order, schema)
+        schema = T.StructType([T.StructField("query", kind), *T.StructType.fromDDL("list int, place int, bound double, reached string").fields])
+        # as text, in which no score and a score that is not a number stay two things
+        return queries.select("query", "placed", F.col("reached").cast("string")).mapInPandas(order, schema).withColumn("reached", F.col("reached").cast("double"))
 
     def _looked_up(self, asked: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         """(query, id, score): per query the k best rows of each part of each list asked for."""
@@ -135,18 +141,17 @@ class VectorIndex:
         them, which may miss rows of others.  With it, the k-th best score so far
         rules out the lists that cannot reach it, and the rest are looked at too.
         """
-        asked = queries.where(F.col(vector).isNotNull()).select(F.col(query_id).alias("query"), F.col(vector).cast("array<double>").alias("vector"))
+        asked = queries.where(F.col(vector).isNotNull()).select(F.col(query_id).alias("query"), _kept(queries, vector).alias("vector"))
         if self.spark.read.parquet(f"{self.path}/lists").isEmpty():
             return asked.where("false").select(F.col("query").alias(query_id), F.lit(None).cast("bigint").alias(row_id)).selectExpr("*", "0d AS score", "0 AS rank", "0L AS probed")
         asked = staged(asked.withColumn("placed", _placed(self.similarity, "vector")), "vector-queries")
-        order = staged(self._asked(asked), "vector-lists")
-        near = order.where(F.col("place") < probes)
+        near = staged(self._asked(asked.withColumn("reached", F.lit(None))).where(F.col("place") < probes).select("query", "list"), "vector-lists")
         found = staged(self._looked_up(near, asked, k), "vector-scores")
         if exact:
             reached = top_k(found, ["query"], "score", "id", k).where(F.col("rank") == k).select("query", F.col("score").alias("reached"))
-            far = order.where(F.col("place") >= probes).join(reached, "query", "left")
+            far = self._asked(asked.join(reached, "query", "left")).where(F.col("place") >= probes)  # what is ruled out is not stored
             # scores are compared in so many digits that a bound has to give way a little
-            far = staged(far.where(F.col("reached").isNull() | (F.col("bound") >= F.col("reached") - 1e-9 * F.abs("reached"))).drop("reached"), "vector-more")
+            far = staged(far.where(F.col("reached").isNull() | (F.col("bound") >= F.col("reached") - 1e-9 * F.abs("reached"))).select("query", "list"), "vector-more")
             found = found.union(self._looked_up(far, asked, k))
             near = near.union(far)
         probed = near.groupBy("query").agg(F.count("*").alias("probed"))

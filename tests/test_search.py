@@ -272,3 +272,22 @@ def test_every_vector_is_a_query(spark, tmp_path, name, k):
     duck.execute(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
     expected = duck.execute(f"select query_id, vec_id, rank from ({entry.oracle_sql()[name]})").fetchall()
     assert sorted(map(tuple, found)) == sorted(expected)
+
+
+def test_only_lists_that_are_looked_at_are_stored(spark, monkeypatch):
+    """Not every list of every query; and vectors of single precision are not made wider to be moved."""
+    seen, staged = {}, X.staged
+
+    def counted(df, label):
+        seen[label] = staged(df, label)
+        return seen[label]
+
+    monkeypatch.setattr(X, "staged", counted)
+    rows = vectors(spark).withColumn("v", F.col("v").cast("array<float>"))
+    queries = rows.where("v is not null").select(F.col("id").alias("q"), F.col("v").alias("a"))
+    index = X.VectorIndex(spark, work_path(spark, "index")).build(rows, "id", "v", 25)
+    exact = index.search(queries, "q", "a", "id", 3, probes=2, exact=True)
+    expected = grouped(N.best_rows(rows, queries, "id", "q", "v", "a", "cosine", 3))
+    assert {q: [i for i, _ in best] for q, best in grouped(exact).items()} == {q: [i for i, _ in best] for q, best in expected.items()}
+    assert seen["vector-lists"].count() == 2 * 800 and seen["vector-more"].count() < 20 * 800
+    assert dict(seen["vector-queries"].dtypes)["vector"] == "array<float>"
